@@ -3,7 +3,8 @@
 ``lead(v) OVER (PARTITION BY g ORDER BY o)`` sends every row of a group to one task. Here the rows are
 range-partitioned on ``(g, o)`` instead, so a large group is spread over several blocks; ``lead`` runs per
 ``(g, block)`` and the last row of each block takes the first value of the next block of the same group.
-The block table has at most ``groups + blocks`` rows.
+The block table has at most ``groups + blocks`` rows. Both operators read the partitioned rows twice
+(block summary and rows), so the partitioned rows are materialised once in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -14,12 +15,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _blocks(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Range-partition on ``keys`` and record the block id of each row.
+
+    Materialised with a reliable checkpoint: the two branches that read it (per-block summary and rows)
+    must see the same block ids, and a second range exchange would sample its own bounds."""
+    return df.repartitionByRange(n, *keys).withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def next_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str,
                   out_col: str, num_blocks: int | None = None) -> DataFrame:
     """Adds ``out_col`` = ``value_col`` of the next row of the same group in ``order_cols`` order (null for the last)."""
     group_cols, order_cols = list(group_cols), list(order_cols)
     n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *(group_cols + order_cols)).withColumn("_blk", F.spark_partition_id())
+    ranged = _blocks(df, group_cols + order_cols, n)
 
     blocks = ranged.groupBy(*group_cols, "_blk").agg(
         F.min_by(value_col, F.struct(*order_cols)).alias("_head"))
@@ -34,3 +43,21 @@ def next_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     out = out.join(carry, group_cols + ["_blk"], "left")
     out = out.withColumn(out_col, F.when(F.col("_is_last"), F.col("_carry")).otherwise(F.col(out_col)))
     return out.drop("_blk", "_carry", "_is_last")
+
+
+def rank_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str,
+                  num_blocks: int | None = None) -> DataFrame:
+    """Adds ``out_col`` = ``row_number() OVER (PARTITION BY group ORDER BY order)`` (1-based).
+
+    Rows are numbered per ``(group, block)`` after a range partitioning, and each block adds the row count
+    of the earlier blocks of its group (a running sum over the small block table). ``order_cols`` should
+    be a total order within a group; ties are numbered in an unspecified order."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _blocks(df, group_cols + order_cols, n)
+    earlier = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*group_cols, "_blk").count()
+               .select(*group_cols, "_blk", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_off")))
+    in_block = Window.partitionBy(*group_cols, "_blk").orderBy(*order_cols)
+    out = ranged.withColumn("_rn", F.row_number().over(in_block)).join(offsets, group_cols + ["_blk"])
+    return out.withColumn(out_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_blk", "_off", "_rn")

@@ -26,7 +26,7 @@ TRIPS_EVENT = """trips_event AS (
   SELECT * FROM (
     SELECT event_id AS seq, user_id AS src,
            lead(user_id) OVER (PARTITION BY CAST(ts AS DATE), event_type ORDER BY ts, event_id) AS dst,
-           CAST(floor(value) AS BIGINT) + 1 AS weight, ts
+           CAST(floor(value) AS BIGINT) + 1 AS weight, ts, event_type AS kind
     FROM events) t
   WHERE dst IS NOT NULL)"""
 
