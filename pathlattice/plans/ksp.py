@@ -91,14 +91,17 @@ def node_ids(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     return edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node")))
 
 
-def valid_seeds(queries: DataFrame, edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def valid_seeds(queries: DataFrame, edges: DataFrame, nodes: DataFrame | None = None,
+                adj: DataFrame | None = None) -> DataFrame:
     """requested ids that are nodes of the graph.
 
     The requested ids are few; the node side is scanned once and probed against them, and the distinct
-    runs on the matches only (never on the node table)."""
+    runs on the matches only (never on the node table). With ``adj`` (cached, both directions) and no
+    explicit node table, the node side is the adjacency's ``frm`` column, so the edges are not derived again."""
     seeds = seed_rows(queries)
     wanted = seeds.select("node").distinct()
-    present = node_ids(edges, nodes).join(F.broadcast(wanted), "node").distinct()
+    side = adj.select(F.col("frm").alias("node")) if (adj is not None and nodes is None) else node_ids(edges, nodes)
+    present = side.join(F.broadcast(wanted), "node").distinct()
     return seeds.join(present, "node", "left_semi")
 
 
@@ -213,7 +216,7 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     adj = adjacency(edges, nodes).persist(StorageLevel.MEMORY_AND_DISK)
     hubs = None
     try:
-        seeds = valid_seeds(queries, edges, nodes)
+        seeds = valid_seeds(queries, edges, nodes, adj=adj)
         state, counters = _materialise(seeds.select(
             "query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"),
             F.lit(True).alias("is_new")))
