@@ -16,7 +16,8 @@ Execution:
 * both sides run in one frame over one doubled adjacency table ``(side, frm, to, weight)``, so a round is
   one join and one ``row_number`` window; Spark splits the window limit into a partial limit before the
   shuffle and a final one after it, so a node with many in-edges sends at most ``k`` rows per map task;
-* the frontier is broadcast only when its observed row count is below ``broadcast_rows``; larger
+* the frontier is broadcast only when its observed rows and bytes are below ``broadcast_rows`` and
+  ``broadcast_bytes`` (both counted in the previous round's job); larger
   frontiers use a shuffle join in which the adjacency of hub nodes is salted over several tasks;
 * each round is materialised once with a reliable ``checkpoint`` (the session's ``spark.checkpoint.dir``),
   which cuts the lineage, survives executor loss, and collects the new-row count through ``observe``
@@ -40,14 +41,17 @@ START, END = "start", "end"
 STATE_COLS = ["query_id", "side", "node", "cost", "path"]
 
 _obs_ids = itertools.count()
+# Bytes per frontier row besides the path text (ids, cost, side, row header), for the broadcast estimate.
+_ROW_OVERHEAD = 48
 
 
 @dataclass
 class SearchConfig:
     steps: int = 5
     k: int = 3
-    # Frontier rows up to which the frontier is broadcast; above it the join shuffles.
+    # Frontier rows and estimated bytes up to which the frontier is broadcast; above either the join shuffles.
     broadcast_rows: int = 2_000_000
+    broadcast_bytes: int = 64 * 1024 * 1024
     # Adjacency rows per (side, node) above which a node's edges are salted over several tasks.
     hub_rows: int = 200_000
     # Hub-table rows up to which the hub table itself may be broadcast.
@@ -101,7 +105,8 @@ def valid_seeds(queries: DataFrame, edges: DataFrame, nodes: DataFrame | None =
     seeds = seed_rows(queries)
     wanted = seeds.select("node").distinct()
     side = adj.select(F.col("frm").alias("node")) if (adj is not None and nodes is None) else node_ids(edges, nodes)
-    present = side.join(F.broadcast(wanted), "node").distinct()
+    # No hint: a query table from the driver is small and its size estimate exact; a large one shuffles.
+    present = side.join(wanted, "node").distinct()
     return seeds.join(present, "node", "left_semi")
 
 
@@ -109,7 +114,7 @@ def unknown_ids(queries: DataFrame, edges: DataFrame, nodes: DataFrame | None =
     """requested ids that are not nodes, per query and side."""
     seeds = seed_rows(queries)
     wanted = seeds.select("node").distinct()
-    present = node_ids(edges, nodes).join(F.broadcast(wanted), "node").distinct()
+    present = node_ids(edges, nodes).join(wanted, "node").distinct()
     return seeds.join(present, "node", "left_anti")
 
 
@@ -149,22 +154,20 @@ def expand(frontier: DataFrame, adj: DataFrame, broadcast: bool = True,
            hubs: DataFrame | None = None) -> DataFrame:
     """J1 + J2: every frontier row extended along every edge of its node on its side.
 
-    ``broadcast``: the frontier's size was checked by the caller. Otherwise the join shuffles; with a hub
-    table ``(side, frm, n_salt)`` the adjacency of hub nodes is spread over ``n_salt`` salts and the few
-    frontier rows of a hub are copied to each salt."""
+    ``broadcast=True``: the frontier's size was checked by the caller; the adjacency is not shuffled.
+    Otherwise ``adj`` must be the output of ``salted_adjacency`` (column ``salt``, partitioned on the join
+    keys) and ``hubs`` its hub table (or None): each frontier row is copied to every salt of its node, so
+    only the frontier is shuffled and a hub's edges are joined by ``n_salt`` tasks."""
     f = frontier.select("query_id", "side", F.col("node").alias("frm"), "cost", "path")
     if broadcast:
         j = adj.join(F.broadcast(f), ["side", "frm"])
     elif hubs is None:
-        j = adj.join(f, ["side", "frm"])
+        j = adj.join(f.withColumn("salt", F.lit(0)), ["side", "frm", "salt"])
     else:
         h = F.broadcast(hubs.select("side", "frm", "n_salt"))
-        adj_s = adj.join(h, ["side", "frm"], "left").withColumn(
-            "salt", F.when(F.col("n_salt").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64("to"), F.col("n_salt")).cast("int")))
         f_s = f.join(h, ["side", "frm"], "left").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)))
-        j = adj_s.drop("n_salt").join(f_s.drop("n_salt"), ["side", "frm", "salt"])
+            "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))).drop("n_salt")
+        j = adj.join(f_s, ["side", "frm", "salt"])
     return j.select(*_extension_columns())
 
 
@@ -175,6 +178,18 @@ def hub_table(adj: DataFrame, hub_rows: int) -> DataFrame:
             .select("side", "frm", F.ceil(F.col("count") / F.lit(hub_rows)).cast("int").alias("n_salt")))
 
 
+def salted_adjacency(adj: DataFrame, hubs: DataFrame | None, num_partitions: int) -> DataFrame:
+    """The adjacency for shuffle joins: a hub's edges get ``salt = hash(to) mod n_salt``, others salt 0; the
+    table is hash-partitioned on ``(side, frm, salt)`` once, so later rounds shuffle only the frontier."""
+    if hubs is None:
+        salted = adj.withColumn("salt", F.lit(0))
+    else:
+        salted = adj.join(F.broadcast(hubs.select("side", "frm", "n_salt")), ["side", "frm"], "left").withColumn(
+            "salt", F.when(F.col("n_salt").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64("to"), F.col("n_salt")).cast("int"))).drop("n_salt")
+    return salted.repartition(num_partitions, "side", "frm", "salt")
+
+
 def top_k(rows: DataFrame, k: int, keys: Sequence[str] = ("query_id", "side", "node")) -> DataFrame:
     """Best ``k`` rows per key by ``(cost, path)``."""
     w = Window.partitionBy(*keys).orderBy("cost", "path")
@@ -194,7 +209,9 @@ def step(state: DataFrame, adj: DataFrame, k: int, broadcast: bool = True,
 
 def _materialise(df: DataFrame) -> tuple[DataFrame, dict]:
     obs = Observation(f"ksp_round_{next(_obs_ids)}")
+    new_bytes = F.sum(F.when(F.col("is_new"), F.length("path") + F.lit(_ROW_OVERHEAD)).otherwise(F.lit(0)))
     out = df.observe(obs, F.count_if(F.col("is_new")).alias("new_rows"),
+                     F.coalesce(new_bytes, F.lit(0)).cast("bigint").alias("new_bytes"),
                      F.count(F.lit(1)).alias("state_rows")).checkpoint(eager=True)
     return out, dict(obs.get)
 
@@ -214,7 +231,8 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     checkpoint_base(spark)
 
     adj = adjacency(edges, nodes).persist(StorageLevel.MEMORY_AND_DISK)
-    hubs = None
+    cached = [adj]
+    shuffled = None  # (salted adjacency, hub table or None), built the first time a frontier is too large
     try:
         seeds = valid_seeds(queries, edges, nodes, adj=adj)
         state, counters = _materialise(seeds.select(
@@ -225,21 +243,29 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
             frontier_rows = counters["new_rows"]
             if frontier_rows == 0:
                 break
-            broadcast = frontier_rows <= cfg.broadcast_rows
-            if not broadcast and hubs is None:
-                hubs = hub_table(adj, cfg.hub_rows).persist(StorageLevel.MEMORY_AND_DISK)
-                if hubs.count() > cfg.hub_table_rows:  # salting would not fit a broadcast; let AQE split skew
-                    hubs = None
-            state, counters = _materialise(step(state, adj, cfg.k, broadcast=broadcast, hubs=hubs))
+            broadcast = frontier_rows <= cfg.broadcast_rows and counters["new_bytes"] <= cfg.broadcast_bytes
+            if broadcast:
+                nxt = step(state, adj, cfg.k, broadcast=True)
+            else:
+                if shuffled is None:
+                    hubs = hub_table(adj, cfg.hub_rows).persist(StorageLevel.MEMORY_AND_DISK)
+                    cached.append(hubs)
+                    if hubs.count() > cfg.hub_table_rows:  # too many hubs to broadcast: AQE splits skew instead
+                        hubs = None
+                    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                    salted = salted_adjacency(adj, hubs, n).persist(StorageLevel.MEMORY_AND_DISK)
+                    cached.append(salted)
+                    shuffled = (salted, hubs)
+                nxt = step(state, shuffled[0], cfg.k, broadcast=False, hubs=shuffled[1])
+            state, counters = _materialise(nxt)
             run.rounds.append(dict(round=r, broadcast=broadcast, **counters))
             if between_rounds is not None:
                 state = between_rounds(r, state)
         run.state = state
         return run
     finally:
-        adj.unpersist()
-        if hubs is not None:
-            hubs.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def meet(state: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ def build_session(master: str = "local[8]", app: str = "pathlattice", shuffle_pa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
