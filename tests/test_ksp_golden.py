@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pathlattice.functions.messages import parse_edges
 from pathlattice.operators import graph as G
@@ -111,3 +112,24 @@ def test_shuffle_and_salted_join_paths(spark, seed_map_path, broadcast_rows):
     q = ksp.query_table(spark, [(1, [120, 285], [36, 80])])
     got = sorted(r.line for r in ksp.k_shortest_paths(e, q, cfg).collect())
     assert len(got) == 25 and "1076 285 100 106 976 80" in got
+
+
+def test_string_ids_from_documents(spark, seed_map_path):
+    """Snapshot graphs carry string ids; the search works on them unchanged."""
+    docs = S.load_seed_map(spark, seed_map_path)
+    e = G.edge_flatten(docs).select("src", "dst", "weight")
+    nodes = G.document_nodes(docs)
+    q = ksp.query_table(spark, [(1, ["120"], ["80"])], id_type=StringType())
+    got = sorted(r.line for r in ksp.k_shortest_paths(e, q, nodes=nodes).collect())
+    assert got == sorted(SEED_120_80)
+
+
+def test_superseded_query_is_dropped_between_rounds(spark, seed_map_path):
+    e = _edges(spark, seed_map_path)
+    q = ksp.query_table(spark, [(1, [120], [80]), (2, [75], [80])])
+    flags = spark.createDataFrame([(1, True), (2, False)], "query_id bigint, superseded boolean")
+    from pathlattice.streaming.jobs import superseded_filter
+    run = ksp.search(e, q, ksp.SearchConfig(steps=5, k=3), between_rounds=superseded_filter(flags))
+    res = ksp.results(run.state)
+    assert {r.query_id for r in res.collect()} == {2}
+    assert res.count() == 5
