@@ -488,7 +488,7 @@ def q_state_merge(spark, sf_dir):
 @register("top_k_per_node", W(ROUND1, "SELECT * FROM s1"))
 def q_top_k_per_node(spark, sf_dir):
     s0, ext = _round1_parts(spark, sf_dir)
-    return ksp.top_k(s0.unionByName(ext).dropDuplicates(), K)
+    return ksp.top_k(s0.unionByName(ext).dropDuplicates(), K).select(*ksp.STATE_COLS)
 
 
 PART_STATE = O.part_graph() + O.seeds_cte(PART_QUERY, "edges_part") + O.search_ctes("edges_part", STEPS, K)[0]

@@ -43,6 +43,8 @@ STATE_COLS = ["query_id", "side", "node", "cost", "path"]
 _obs_ids = itertools.count()
 # Bytes per frontier row besides the path text (ids, cost, side, row header), for the broadcast estimate.
 _ROW_OVERHEAD = 48
+# Bytes per row of the cost-bound table (query_id, side, node, bound).
+_BOUND_ROW_BYTES = 48
 
 
 @dataclass
@@ -56,6 +58,8 @@ class SearchConfig:
     hub_rows: int = 200_000
     # Hub-table rows up to which the hub table itself may be broadcast.
     hub_table_rows: int = 1_000_000
+    # Drop candidates that cannot enter a full node's top k before building their path (exact).
+    prune: bool = True
 
 
 @dataclass
@@ -151,13 +155,17 @@ def _extension_columns(cost: str = "cost", path: str = "path") -> list[Column]:
 
 
 def expand(frontier: DataFrame, adj: DataFrame, broadcast: bool = True,
-           hubs: DataFrame | None = None) -> DataFrame:
+           hubs: DataFrame | None = None, bound: DataFrame | None = None) -> DataFrame:
     """J1 + J2: every frontier row extended along every edge of its node on its side.
 
     ``broadcast=True``: the frontier's size was checked by the caller; the adjacency is not shuffled.
     Otherwise ``adj`` must be the output of ``salted_adjacency`` (column ``salt``, partitioned on the join
     keys) and ``hubs`` its hub table (or None): each frontier row is copied to every salt of its node, so
-    only the frontier is shuffled and a hub's edges are joined by ``n_salt`` tasks."""
+    only the frontier is shuffled and a hub's edges are joined by ``n_salt`` tasks.
+
+    ``bound(query_id, side, node, bound)``: the k-th best cost of nodes whose state is full (size-checked by
+    the caller). A candidate costing more cannot enter that node's top k (k old rows are strictly better),
+    so it is dropped before its path text is built and before the shuffle."""
     f = frontier.select("query_id", "side", F.col("node").alias("frm"), "cost", "path")
     if broadcast:
         j = adj.join(F.broadcast(f), ["side", "frm"])
@@ -168,6 +176,10 @@ def expand(frontier: DataFrame, adj: DataFrame, broadcast: bool = True,
         f_s = f.join(h, ["side", "frm"], "left").withColumn(
             "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))).drop("n_salt")
         j = adj.join(f_s, ["side", "frm", "salt"])
+    if bound is not None:
+        b = F.broadcast(bound.select("query_id", "side", F.col("node").alias("to"), "bound"))
+        j = j.join(b, ["query_id", "side", "to"], "left").filter(
+            F.col("bound").isNull() | (F.col("cost") + F.col("weight") <= F.col("bound")))
     return j.select(*_extension_columns())
 
 
@@ -193,16 +205,22 @@ def salted_adjacency(adj: DataFrame, hubs: DataFrame | None, num_partitions: int
 def top_k(rows: DataFrame, k: int, keys: Sequence[str] = ("query_id", "side", "node")) -> DataFrame:
     """Best ``k`` rows per key by ``(cost, path)``."""
     w = Window.partitionBy(*keys).orderBy("cost", "path")
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def cost_bounds(state: DataFrame, k: int) -> DataFrame:
+    """``(query_id, side, node, bound)`` for nodes holding k rows: the cost of their k-th row."""
+    return state.filter(F.col("rank") == k).select("query_id", "side", "node", F.col("cost").alias("bound"))
 
 
 def step(state: DataFrame, adj: DataFrame, k: int, broadcast: bool = True,
-         hubs: DataFrame | None = None) -> DataFrame:
+         hubs: DataFrame | None = None, prune: bool = False) -> DataFrame:
     """One semi-naive round: extend the new rows, merge with the old state, keep the best ``k``.
 
     Input and output carry ``is_new``; rows kept from the old state are no longer new."""
     frontier = state.filter(F.col("is_new"))
-    ext = expand(frontier, adj, broadcast=broadcast, hubs=hubs).withColumn("is_new", F.lit(True))
+    bound = cost_bounds(state, k) if prune else None
+    ext = expand(frontier, adj, broadcast=broadcast, hubs=hubs, bound=bound).withColumn("is_new", F.lit(True))
     old = state.select(*STATE_COLS, F.lit(False).alias("is_new"))
     return top_k(old.unionByName(ext), k)
 
@@ -237,15 +255,17 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
         seeds = valid_seeds(queries, edges, nodes, adj=adj)
         state, counters = _materialise(seeds.select(
             "query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"),
-            F.lit(True).alias("is_new")))
+            F.lit(True).alias("is_new"), F.lit(1).alias("rank")))
         run = SearchRun(state, [dict(round=0, **counters)])
         for r in range(1, cfg.steps + 1):
             frontier_rows = counters["new_rows"]
             if frontier_rows == 0:
                 break
             broadcast = frontier_rows <= cfg.broadcast_rows and counters["new_bytes"] <= cfg.broadcast_bytes
+            # the bound table has at most state_rows / k rows of fixed width
+            prune = cfg.prune and (counters["state_rows"] // cfg.k) * _BOUND_ROW_BYTES <= cfg.broadcast_bytes
             if broadcast:
-                nxt = step(state, adj, cfg.k, broadcast=True)
+                nxt = step(state, adj, cfg.k, broadcast=True, prune=prune)
             else:
                 if shuffled is None:
                     hubs = hub_table(adj, cfg.hub_rows).persist(StorageLevel.MEMORY_AND_DISK)
@@ -256,7 +276,7 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
                     salted = salted_adjacency(adj, hubs, n).persist(StorageLevel.MEMORY_AND_DISK)
                     cached.append(salted)
                     shuffled = (salted, hubs)
-                nxt = step(state, shuffled[0], cfg.k, broadcast=False, hubs=shuffled[1])
+                nxt = step(state, shuffled[0], cfg.k, broadcast=False, hubs=shuffled[1], prune=prune)
             state, counters = _materialise(nxt)
             run.rounds.append(dict(round=r, broadcast=broadcast, **counters))
             if between_rounds is not None:
