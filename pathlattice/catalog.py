@@ -842,3 +842,14 @@ def q_off_graph_hops(spark, sf_dir):
 def q_node_ids(spark, sf_dir):
     _, _, nodes = _layers_base(spark, sf_dir)
     return nodes.select("id").distinct().orderBy("id")
+
+
+@register("node_layer_append", W(BASE + [NODE_STATE_ALL], """
+SELECT id, lon, lat FROM node_all WHERE first_seq > (SELECT max(event_id) // 50 FROM events)"""))
+def q_node_layer_append(spark, sf_dir):
+    """L1 append: nodes first seen after an early publish (the first 2% of changes) are added to the layer once."""
+    t = td.trip_rows(spark, sf_dir)
+    cut = td.snapshot_cut(spark, sf_dir, 1, 50)
+    shown = L.node_layer(G.node_state(t.filter(F.col("seq") <= cut)))
+    current = G.node_upsert(G.node_state(t.filter(F.col("seq") <= cut)), t.filter(F.col("seq") > cut))
+    return L.new_nodes(current, shown)
