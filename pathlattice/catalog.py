@@ -853,3 +853,31 @@ def q_node_layer_append(spark, sf_dir):
     shown = L.node_layer(G.node_state(t.filter(F.col("seq") <= cut)))
     current = G.node_upsert(G.node_state(t.filter(F.col("seq") <= cut)), t.filter(F.col("seq") > cut))
     return L.new_nodes(current, shown)
+
+
+LATEST_Q_SEEDS = """
+  SELECT seq AS query_id, 'start' AS side, s1 AS node FROM latest_q
+  UNION ALL SELECT seq, 'start', s2 FROM latest_q
+  UNION ALL SELECT seq, 'end', e1 FROM latest_q
+  UNION ALL SELECT seq, 'end', e2 FROM latest_q"""
+_QUERY_STREAM_RESULTS_SQL = W(
+    [O.TRIPS_EVENT, O.EDGES_EVENT, QGROUPS,
+     "latest_q AS (SELECT * FROM qmsg WHERE seq IN (SELECT max(seq) FROM qmsg GROUP BY client))"]
+    + O.seeds_from(LATEST_Q_SEEDS, "edges_event") + O.search_ctes("edges_event", EVENT_STEPS, K)[0]
+    + [O.meet_cte(f"s{EVENT_STEPS}"), O.RESULT_CTE],
+    f"SELECT query_id, total, {O.HOPS} AS hops, line FROM result")
+
+
+@register("query_stream_results", _QUERY_STREAM_RESULTS_SQL)
+def q_query_stream_results(spark, sf_dir):
+    """The batch layer as a stream: newest query per client → one search loop → versioned results."""
+    msgs = _query_msgs(spark, sf_dir)
+    src = scratch_path(spark, "path-queries-in")
+    msgs.select("seq", "client", "value").repartitionByRange(4, "seq").write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema("seq bigint, client string, value string") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    edges = G.collapse_edges(td.event_trips(spark, sf_dir), "last")
+    out, ck = scratch_path(spark, "path-results"), scratch_path(spark, "path-queries-ck")
+    J.run(J.path_query_stream(stream, lambda: edges, out, ck, ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
+    newest = msgs.groupBy("client").agg(F.max("seq").alias("seq"))
+    return J.newest_results(spark, out, newest)

@@ -63,6 +63,14 @@ def seeds_cte(queries: Sequence[tuple[int, Sequence[int], Sequence[int]]], edges
     return [wanted, nodes, seeds]
 
 
+def seeds_from(q_seeds_sql: str, edges: str) -> list[str]:
+    """Like ``seeds_cte`` for requested ids given as SQL ``(query_id, side, node)``."""
+    nodes = f"graph_nodes AS (SELECT src AS id FROM {edges} UNION SELECT dst FROM {edges})"
+    seeds = ("seeds AS (SELECT DISTINCT query_id, side, node FROM q_seeds "
+             "WHERE node IN (SELECT id FROM graph_nodes))")
+    return [f"q_seeds AS ({q_seeds_sql})", nodes, seeds]
+
+
 def search_ctes(edges: str, steps: int, k: int, prefix: str = "s") -> tuple[list[str], str]:
     """``{prefix}0 … {prefix}{steps}``: the state after each round; returns (ctes, last name)."""
     ctes = [f"{prefix}0 AS MATERIALIZED (SELECT query_id, side, node, CAST(0 AS BIGINT) AS cost, "

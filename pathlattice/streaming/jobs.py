@@ -220,3 +220,29 @@ def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: Dat
             f"{results_base}/v={newest}")
 
     return _start(version_events, checkpoint, sink=sink, processing_time=processing_time)
+
+
+# ---------------------------------------------------------------- S7 + ST7 + G4 + K2: batch layer as a stream
+
+def path_query_stream(messages: DataFrame, edges_of_newest: Callable[[], DataFrame], results_base: str,
+                      checkpoint: str, config: ksp.SearchConfig | None = None, client_col: str = "client",
+                      processing_time: str | None = None):
+    """Per micro-batch of path-query messages ``(seq, client, value)``: keep the newest query per client
+    (ST7), parse it (P4), run all of them in one search loop on the newest edge table (G4) and publish the
+    results as ``results_base/v=<batch id>`` (K2; ``query_id`` = the message ``seq``)."""
+
+    def sink(df: DataFrame, batch_id: int):
+        newest = (df.groupBy(client_col).agg(F.max_by(F.struct("seq", "value"), "seq").alias("m"))
+                  .select(F.col("m.seq").alias("query_id"), parse_query("m.value").alias("q"))
+                  .select("query_id", "q.starts", "q.ends"))
+        res = ksp.k_shortest_paths(edges_of_newest(), newest, config)
+        res.write.mode("overwrite").parquet(f"{results_base}/v={batch_id}")
+
+    return _start(messages, checkpoint, sink=sink, processing_time=processing_time)
+
+
+def newest_results(spark: SparkSession, results_base: str, latest_seq_by_client: DataFrame) -> DataFrame:
+    """The published results of each client's newest query (across all result versions)."""
+    res = spark.read.parquet(results_base)
+    return res.join(latest_seq_by_client.select(F.col("seq").alias("query_id")), "query_id", "left_semi") \
+        .select("query_id", "total", "hops", "line")
