@@ -38,10 +38,10 @@ def _blocks(df: DataFrame, keys: list[str], n: int) -> DataFrame:
 
 
 def next_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str,
-                  out_col: str, num_blocks: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  out_col: str, num_blocks: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Adds ``out_col`` = ``value_col`` of the next row of the same group in ``order_cols`` order (null for the last)."""
     group_cols, order_cols = list(group_cols), list(order_cols)
-    plain, hot = _split_hot(df, group_cols, hot_rows)
+    plain, hot = _split_hot(df, group_cols, HOT_ROWS if hot_rows is None else hot_rows)
     out = plain.withColumn(out_col, F.lead(value_col).over(Window.partitionBy(*group_cols).orderBy(*order_cols)))
     if hot is None:
         return out
@@ -62,14 +62,14 @@ def next_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
 
 
 def rank_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out_col: str,
-                  num_blocks: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  num_blocks: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Adds ``out_col`` = ``row_number() OVER (PARTITION BY group ORDER BY order)`` (1-based, bigint).
 
     In hot groups rows are numbered per ``(group, block)`` and each block adds the row count of the earlier
     blocks of its group (a running sum over the small block table). ``order_cols`` should be a total order
     within a group; ties are numbered in an unspecified order."""
     group_cols, order_cols = list(group_cols), list(order_cols)
-    plain, hot = _split_hot(df, group_cols, hot_rows)
+    plain, hot = _split_hot(df, group_cols, HOT_ROWS if hot_rows is None else hot_rows)
     out = plain.withColumn(out_col, F.row_number().over(
         Window.partitionBy(*group_cols).orderBy(*order_cols)).cast("bigint"))
     if hot is None:

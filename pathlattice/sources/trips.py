@@ -53,8 +53,20 @@ def quarantine(trips: DataFrame) -> DataFrame:
     return trips.filter(~F.col("valid"))
 
 
+# Caps up to this many rows use a top-n merge in one task; larger caps number the rows in parallel.
+TAKE_ORDERED_MAX = 100_000
+
+
 def row_cap(trips: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` trips in trip order; a negative ``n`` keeps all (the cap is exact)."""
+    """The first ``n`` trips in trip order; a negative ``n`` keeps all (the cap is exact).
+
+    A small cap is a top-n (each task keeps its first ``n``, one task merges them). A large cap would make that
+    merge hold ``n`` rows per partition, so the rows are numbered by the skew-safe ``rank_in_group`` over one
+    constant group (split into range blocks when large) and filtered instead."""
     if n < 0:
         return trips
-    return trips.orderBy("trip_id").limit(n)
+    if n <= TAKE_ORDERED_MAX:
+        return trips.orderBy("trip_id").limit(n)
+    from pathlattice.operators.sequence import rank_in_group
+    ranked = rank_in_group(trips.withColumn("_all", F.lit(0)), ["_all"], ["trip_id"], "_rn")
+    return ranked.filter(F.col("_rn") <= n).drop("_all", "_rn")

@@ -148,3 +148,14 @@ def test_edge_upsert_semantics(spark):
     assert out[(2, 3)].weight == 1
     nodes = {r.id: r for r in G.node_upsert(G.node_state(base), ups).collect()}
     assert nodes[1].lon == 0.0 and nodes[3].lon == 2.0
+
+
+def test_large_row_cap_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(TR, "TAKE_ORDERED_MAX", 3)
+    t = spark.createDataFrame([(i, 1, 2, 1, 0.0, 0.0, 0.0, 0.0) for i in range(200, 0, -1)],
+                              "trip_id bigint, src bigint, dst bigint, weight bigint, src_lat double, src_lon double, "
+                              "dst_lat double, dst_lon double")
+    from pathlattice.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_ROWS", 50)
+    got = sorted(r.trip_id for r in TR.row_cap(t, 120).collect())
+    assert got == list(range(1, 121))
