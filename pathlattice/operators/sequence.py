@@ -80,6 +80,7 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     offsets = (ranged.groupBy(*group_cols, "_blk").count()
                .select(*group_cols, "_blk", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_off")))
     in_block = Window.partitionBy(*group_cols, "_blk").orderBy(*order_cols)
-    split = ranged.withColumn("_rn", F.row_number().over(in_block)).join(offsets, group_cols + ["_blk"])
-    split = split.withColumn(out_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_blk", "_off", "_rn")
+    split = ranged.withColumn("__blk_rn", F.row_number().over(in_block)).join(offsets, group_cols + ["_blk"])
+    split = split.withColumn(out_col, (F.col("_off") + F.col("__blk_rn")).cast("bigint")) \
+        .drop("_blk", "_off", "__blk_rn")
     return out.unionByName(split)
