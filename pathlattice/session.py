@@ -27,6 +27,10 @@ def build_session(master: str = "local[8]", app: str = "pathlattice", shuffle_pa
         .config("spark.driver.memory", "16g")
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # streaming state (one row per distinct edge, never expires) lives in RocksDB, not the JVM heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
