@@ -650,7 +650,7 @@ def _publish(spark, sf_dir):
     base = scratch_path(spark, "published")
     log, ck = scratch_path(spark, "change-log"), scratch_path(spark, "publish-ck")
     stream = _edge_message_stream(spark, sf_dir, "publish", rows=t.filter(F.col("seq") > cut), malformed=None)
-    q = J.publish_stream(stream, G.edge_state(t.filter(F.col("seq") <= cut)), base, log, ck)
+    q = J.publish_stream(stream, G.edge_state(t.filter(F.col("seq") <= cut)), base, log, ck, compact_every=3)
     J.run(q)
     return J.flush(spark, base, log), base
 
@@ -723,7 +723,7 @@ def q_superseded_queries(spark, sf_dir):
 def q_recompute_on_snapshot(spark, sf_dir):
     _, base = _publish(spark, sf_dir)
     events = scratch_path(spark, "versions")
-    spark.createDataFrame([(v,) for v in S.versions(spark, base)], "version bigint") \
+    spark.createDataFrame([(v,) for v, _ in S.edge_versions(spark, base)], "version bigint") \
         .write.mode("overwrite").parquet(events)
     stream = spark.readStream.schema("version bigint").parquet(events)
     res = scratch_path(spark, "recomputed")

@@ -74,3 +74,53 @@ def load_seed_map(spark: SparkSession, path: str) -> DataFrame:
     m = text.select(F.from_json("value", SEED_MAP).alias("m"))
     return m.select(F.explode("m").alias("key", "val")).select(
         "key", F.lit(None).cast("int").alias("part"), F.col("val").cast(NODE_VALUE).alias("val"))
+
+
+# ---------------------------------------------------------------- versioned edge tables (base + deltas)
+#
+# ``<base>/full/v=N`` holds a complete edge state, ``<base>/delta/v=N`` only the edges changed by publish N.
+# A publish writes a delta (its size is the change, not the graph); every few publishes a full version is
+# compacted. Readers take the newest full version and merge the later deltas into it.
+
+def edge_versions(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """Completed ``(version, kind)`` pairs, ascending; kind is ``full`` or ``delta``."""
+    out = [(v, "full") for v in versions(spark, f"{base.rstrip('/')}/full")]
+    out += [(v, "delta") for v in versions(spark, f"{base.rstrip('/')}/delta")]
+    return sorted(out)
+
+
+def write_edge_full(state: DataFrame, base: str, version: int) -> None:
+    state.write.mode("overwrite").parquet(f"{base.rstrip('/')}/full/v={int(version)}")
+
+
+def write_edge_delta(changes: DataFrame, base: str, version: int) -> None:
+    """``changes``: edge-state rows of the edges changed since the previous version."""
+    changes.write.mode("overwrite").parquet(f"{base.rstrip('/')}/delta/v={int(version)}")
+
+
+def apply_deltas(full: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Merge changed edges into a full edge state without aggregating the whole table.
+
+    Unchanged edges pass through an anti join with the changed keys, changed ones are re-aggregated with
+    their old row (a semi join); the changed-key side is small and AQE broadcasts it by measured size."""
+    from pathlattice.operators.graph import edge_state
+    cols = full.columns
+    d = edge_state(deltas.select(*cols)).select(*cols)
+    keys = d.select("src", "dst")
+    kept = full.join(keys, ["src", "dst"], "left_anti")
+    touched = full.join(keys, ["src", "dst"], "left_semi")
+    return kept.unionByName(edge_state(touched.unionByName(d)).select(*cols))
+
+
+def read_edge_table(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """The edge state as of ``version`` (default: newest)."""
+    vs = edge_versions(spark, base)
+    if version is not None:
+        vs = [x for x in vs if x[0] <= version]
+    full_v = max(v for v, kind in vs if kind == "full")
+    full = spark.read.parquet(f"{base.rstrip('/')}/full/v={full_v}")
+    later = [v for v, kind in vs if kind == "delta" and v > full_v]
+    if not later:
+        return full
+    paths = [f"{base.rstrip('/')}/delta/v={v}" for v in later]
+    return apply_deltas(full, spark.read.parquet(*paths).select(*full.columns))

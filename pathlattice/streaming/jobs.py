@@ -91,49 +91,54 @@ def current_edges(spark: SparkSession, sink_path: str) -> DataFrame:
 # ---------------------------------------------------------------- ST3: snapshot publishing
 
 def publish_stream(messages: DataFrame, base_state: DataFrame, snapshot_base: str, log_path: str,
-                   checkpoint: str, min_changes: int = 5, max_delay_s: float = 2.0,
+                   checkpoint: str, min_changes: int = 5, max_delay_s: float = 2.0, compact_every: int = 10,
                    processing_time: str | None = None):
     """ST3: keep a change log; publish a new edge-table version when more than ``min_changes`` changes are
     pending, or at least one is pending and ``max_delay_s`` passed since the last publish.
 
-    Version ``v=b+1`` holds every change-log batch up to ``b``, so "pending" is decided by batch id, not by
-    ``seq``: messages may arrive out of ``seq`` order (Kafka partitions, file listings). Values are still
-    last-wins by ``seq`` (``G.edge_upsert``), so the arrival order never changes the published table.
-    ``base_state``: edge state of the first published version (``G.edge_state`` columns)."""
+    A publish writes only the changed edges (a delta version); every ``compact_every`` publishes a full
+    version is compacted (``S.read_edge_table`` merges). Version ``v=b+1`` holds every change-log batch up
+    to ``b``, so "pending" is decided by batch id, not by ``seq``: messages may arrive out of ``seq`` order
+    (Kafka partitions, file listings). Values are last-wins by ``seq``, so arrival order never changes the
+    published table. ``base_state``: the first full version (``G.edge_state`` columns)."""
     import time
 
     spark = messages.sparkSession
     state = {"last": time.monotonic()}
-    if not S.versions(spark, snapshot_base):
-        base_state.write.mode("overwrite").parquet(f"{snapshot_base}/v=0")
+    if not S.edge_versions(spark, snapshot_base):
+        S.write_edge_full(base_state, snapshot_base, 0)
 
     def sink(df: DataFrame, batch_id: int):
         rows = parsed_edge_stream(df).filter("valid").drop("valid")
         rows.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
-        current = S.versions(spark, snapshot_base)[-1]
+        current = S.edge_versions(spark, snapshot_base)[-1][0]
         pending_rows = spark.read.parquet(log_path).filter(
             (F.col("batch") >= current) & (F.col("batch") <= batch_id))
         pending = pending_rows.count()
         due = pending > min_changes or (pending > 0 and time.monotonic() - state["last"] > max_delay_s)
         if due:
-            snap = spark.read.parquet(f"{snapshot_base}/v={current}")
-            G.edge_upsert(snap, pending_rows).write.mode("overwrite").parquet(f"{snapshot_base}/v={batch_id + 1}")
+            _publish(spark, snapshot_base, pending_rows, batch_id + 1, compact_every)
             state["last"] = time.monotonic()
 
     return _start(messages, checkpoint, sink=sink, processing_time=processing_time)
 
 
-def flush(spark: SparkSession, snapshot_base: str, log_path: str) -> DataFrame:
-    """Publish whatever is still pending (end of stream) and return the newest version."""
-    current = S.versions(spark, snapshot_base)[-1]
+def _publish(spark: SparkSession, snapshot_base: str, rows: DataFrame, version: int, compact_every: int) -> None:
+    S.write_edge_delta(G.edge_state(rows.drop("batch")), snapshot_base, version)
+    deltas_since_full = [v for v, kind in S.edge_versions(spark, snapshot_base)
+                         if kind == "delta" and v > max(x for x, k in S.edge_versions(spark, snapshot_base) if k == "full")]
+    if len(deltas_since_full) >= compact_every:
+        S.write_edge_full(S.read_edge_table(spark, snapshot_base, version), snapshot_base, version)
+
+
+def flush(spark: SparkSession, snapshot_base: str, log_path: str, compact_every: int = 10) -> DataFrame:
+    """Publish whatever is still pending (end of stream) and return the newest edge table."""
+    current = S.edge_versions(spark, snapshot_base)[-1][0]
     log = spark.read.parquet(log_path)
     last_batch = log.agg(F.max("batch")).first()[0]
     if last_batch is not None and last_batch >= current:
-        rest = log.filter(F.col("batch") >= current)
-        snap = spark.read.parquet(f"{snapshot_base}/v={current}")
-        G.edge_upsert(snap, rest).write.mode("overwrite").parquet(f"{snapshot_base}/v={last_batch + 1}")
-        current = last_batch + 1
-    return spark.read.parquet(f"{snapshot_base}/v={current}")
+        _publish(spark, snapshot_base, log.filter(F.col("batch") >= current), last_batch + 1, compact_every)
+    return S.read_edge_table(spark, snapshot_base)
 
 
 # ---------------------------------------------------------------- ST4 + ST6 + K3: speed layer
@@ -212,7 +217,7 @@ def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: Dat
         newest = df.agg(F.max("version")).first()[0]
         if newest is None:
             return
-        snap = spark.read.parquet(f"{snapshot_base}/v={newest}")
+        snap = S.read_edge_table(spark, snapshot_base, newest)
         edges = snap.select("src", "dst", "weight")
         res = ksp.k_shortest_paths(edges, queries, config)
         max_seq = snap.agg(F.max("last_seq")).first()[0]

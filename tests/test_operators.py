@@ -159,3 +159,20 @@ def test_large_row_cap_is_exact(spark, monkeypatch):
     monkeypatch.setattr(sequence, "HOT_ROWS", 50)
     got = sorted(r.trip_id for r in TR.row_cap(t, 120).collect())
     assert got == list(range(1, 121))
+
+
+def test_edge_versions_full_plus_deltas(spark, tmp_path):
+    from pathlattice.streaming.jobs import _publish
+    rnd = random.Random(3)
+    rows = [(i, rnd.randint(0, 5), rnd.randint(0, 5), rnd.randint(1, 9), float(i), 0.0, 0.0, 0.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "seq bigint, src bigint, dst bigint, weight bigint, src_lon double, "
+                                     "src_lat double, dst_lon double, dst_lat double")
+    base = str(tmp_path / "edges")
+    S.write_edge_full(G.edge_state(df.filter("seq < 30")), base, 0)
+    for v, (lo, hi) in enumerate([(60, 90), (30, 60), (90, 120)], start=1):  # out of seq order on purpose
+        _publish(spark, base, df.filter(f"seq >= {lo} AND seq < {hi}"), v, compact_every=2)
+    kinds = S.edge_versions(spark, base)
+    assert (2, "full") in kinds and (3, "delta") in kinds
+    got = sorted(tuple(r) for r in S.read_edge_table(spark, base).collect())
+    want = sorted(tuple(r) for r in G.edge_state(df).select(*S.read_edge_table(spark, base).columns).collect())
+    assert got == want
