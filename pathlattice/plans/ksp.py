@@ -248,7 +248,10 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     spark = edges.sparkSession
     checkpoint_base(spark)
 
-    adj = adjacency(edges, nodes).persist(StorageLevel.MEMORY_AND_DISK)
+    # The doubled adjacency is a union of two scans; without a cap it keeps the sum of both sides' partitions
+    # (e.g. 2 x spark.sql.shuffle.partitions) and every round pays for that many small tasks.
+    adj = adjacency(edges, nodes).coalesce(2 * spark.sparkContext.defaultParallelism) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     cached = [adj]
     shuffled = None  # (salted adjacency, hub table or None), built the first time a frontier is too large
     try:
