@@ -95,3 +95,23 @@ def test_stream_one_batch_equals_many_batches(spark, tmp_path):
     assert out[0] == out[1]
     batch = G.edge_state(td.trip_rows(spark, SF)).select(*J.current_edges(spark, str(tmp_path / "out1")).columns)
     assert sorted(tuple(r) for r in batch.collect()) == out[0]
+
+
+def test_salted_shuffle_path_equals_broadcast_path_on_part_graph(spark, part_graph):
+    q = ksp.query_table(spark, [(1, [1, 2, 3], [10, 11, 12]), (2, [42], [42])])
+    fast = ksp.k_shortest_paths(part_graph, q)
+    salted = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(broadcast_rows=0, hub_rows=5))
+    plain = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(broadcast_rows=0, hub_rows=5, hub_table_rows=0,
+                                                                 prune=False))
+    a = sorted(tuple(r) for r in fast.collect())
+    assert a == sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
+    assert sum(1 for r in a if r[0] == 1) == 1427
+    assert (2, 0, "0 42", 0) in a  # start = end: the zero-hop walk, next to the cycles through 42
+
+
+def test_trip_derivation_hot_path_equals_plain_window(spark, monkeypatch):
+    from pathlattice.operators import sequence
+    plain = sorted(tuple(r) for r in td.event_trips(spark, SF).collect())
+    monkeypatch.setattr(sequence, "HOT_ROWS", 20)  # every (day, kind) group is "hot" now
+    split = sorted(tuple(r) for r in td.event_trips(spark, SF).collect())
+    assert plain == split and len(plain) == 850
