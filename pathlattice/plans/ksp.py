@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pathlattice.session import checkpoint_base
+from pathlattice.session import checkpoint_base, scratch_path
 
 START, END = "start", "end"
 STATE_COLS = ["query_id", "side", "node", "cost", "path"]
@@ -60,6 +60,13 @@ class SearchConfig:
     hub_table_rows: int = 1_000_000
     # Drop candidates that cannot enter a full node's top k before building their path (exact).
     prune: bool = True
+    # Where the adjacency lives between rounds: "table" = Parquet in the checkpoint folder, in folders by
+    # hash bucket of ``frm`` (a round whose frontier touches few buckets reads only those folders);
+    # "cache" = executor cache; "auto" = "table" when the optimizer's size estimate of the edges is at least
+    # ``table_min_bytes``. ``adjacency_buckets`` 0 = 4 x default parallelism.
+    adjacency_store: str = "auto"
+    adjacency_buckets: int = 0
+    table_min_bytes: int = 256 * 1024 * 1024
 
 
 @dataclass
@@ -225,15 +232,46 @@ def step(state: DataFrame, adj: DataFrame, k: int, broadcast: bool = True,
     return top_k(old.unionByName(ext), k)
 
 
-def _materialise(df: DataFrame) -> tuple[DataFrame, dict]:
+def bucket_of(col: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
+def _materialise(df: DataFrame, buckets: int = 0) -> tuple[DataFrame, dict]:
+    """Checkpoint a round; the same job counts new rows, their bytes, the state size and (with ``buckets``)
+    the set of adjacency buckets the new rows sit in (at most ``buckets`` values)."""
     obs = Observation(f"ksp_round_{next(_obs_ids)}")
     new_bytes = F.sum(F.when(F.col("is_new"), F.length("path") + F.lit(_ROW_OVERHEAD)).otherwise(F.lit(0)))
-    out = df.observe(obs, F.count_if(F.col("is_new")).alias("new_rows"),
-                     F.coalesce(new_bytes, F.lit(0)).cast("bigint").alias("new_bytes"),
-                     F.count(F.lit(1)).alias("state_rows")).checkpoint(eager=True)
+    metrics = [F.count_if(F.col("is_new")).alias("new_rows"),
+               F.coalesce(new_bytes, F.lit(0)).cast("bigint").alias("new_bytes"),
+               F.count(F.lit(1)).alias("state_rows")]
+    if buckets:
+        metrics.append(F.collect_set(F.when(F.col("is_new"), bucket_of(F.col("node"), buckets))).alias("new_buckets"))
+    out = df.observe(obs, *metrics).checkpoint(eager=True)
     return out, dict(obs.get)
 
 
+def _adjacency_table(adj: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Write the adjacency once, one folder per bucket of ``frm``, sorted by ``(side, frm)`` inside."""
+    (adj.withColumn("b", bucket_of(F.col("frm"), buckets)).repartition(buckets, "b")
+     .sortWithinPartitions("b", "side", "frm").write.mode("overwrite").partitionBy("b").parquet(path))
+    schema = T.StructType(adj.schema.fields + [T.StructField("b", T.IntegerType())])
+    return adj.sparkSession.read.schema(schema).parquet(path)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (from file sizes; no job). Unknown → 0."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a client without JVM access
+        return 0
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 # --------------------------------------------------------------------------------------------------
 # the loop and the result
 
@@ -248,18 +286,29 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     spark = edges.sparkSession
     checkpoint_base(spark)
 
-    # The doubled adjacency is a union of two scans; without a cap it keeps the sum of both sides' partitions
-    # (e.g. 2 x spark.sql.shuffle.partitions) and every round pays for that many small tasks.
-    adj = adjacency(edges, nodes).coalesce(2 * spark.sparkContext.defaultParallelism) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [adj]
+    cached, written = [], []
+    buckets = 0
+    store = cfg.adjacency_store
+    if store == "auto":
+        store = "table" if _estimated_bytes(edges) >= cfg.table_min_bytes else "cache"
+    if store == "table":
+        buckets = cfg.adjacency_buckets or 4 * spark.sparkContext.defaultParallelism
+        path = scratch_path(spark, "adjacency")
+        written.append(path)
+        adj = _adjacency_table(adjacency(edges, nodes), path, buckets)
+    else:
+        # The doubled adjacency is a union of two scans; without a cap it keeps the sum of both sides'
+        # partitions (e.g. 2 x spark.sql.shuffle.partitions) and every round pays for that many small tasks.
+        adj = adjacency(edges, nodes).coalesce(2 * spark.sparkContext.defaultParallelism) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(adj)
     shuffled = None  # (salted adjacency, hub table or None), built the first time a frontier is too large
     try:
         seeds = valid_seeds(queries, edges, nodes, adj=adj)
         state, counters = _materialise(seeds.select(
             "query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"),
-            F.lit(True).alias("is_new"), F.lit(1).alias("rank")))
-        run = SearchRun(state, [dict(round=0, **counters)])
+            F.lit(True).alias("is_new"), F.lit(1).alias("rank")), buckets)
+        run = SearchRun(state, [dict(round=0, **{k: v for k, v in counters.items() if k != "new_buckets"})])
         for r in range(1, cfg.steps + 1):
             frontier_rows = counters["new_rows"]
             if frontier_rows == 0:
@@ -268,7 +317,11 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
             # the bound table has at most state_rows / k rows of fixed width
             prune = cfg.prune and (counters["state_rows"] // cfg.k) * _BOUND_ROW_BYTES <= cfg.broadcast_bytes
             if broadcast:
-                nxt = step(state, adj, cfg.k, broadcast=True, prune=prune)
+                scan = adj
+                touched = counters.get("new_buckets")
+                if buckets and touched is not None and len(touched) <= buckets // 2:
+                    scan = adj.filter(F.col("b").isin(sorted(touched)))  # partition pruning: only those folders
+                nxt = step(state, scan, cfg.k, broadcast=True, prune=prune)
             else:
                 if shuffled is None:
                     hubs = hub_table(adj, cfg.hub_rows).persist(StorageLevel.MEMORY_AND_DISK)
@@ -280,8 +333,9 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
                     cached.append(salted)
                     shuffled = (salted, hubs)
                 nxt = step(state, shuffled[0], cfg.k, broadcast=False, hubs=shuffled[1], prune=prune)
-            state, counters = _materialise(nxt)
-            run.rounds.append(dict(round=r, broadcast=broadcast, **counters))
+            state, counters = _materialise(nxt, buckets)
+            run.rounds.append(dict(round=r, broadcast=broadcast,
+                                   **{k: v for k, v in counters.items() if k != "new_buckets"}))
             if between_rounds is not None:
                 state = between_rounds(r, state)
         run.state = state
@@ -289,6 +343,8 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     finally:
         for df in cached:
             df.unpersist()
+        for path in written:  # rounds are checkpointed; the adjacency table is not needed after the loop
+            _delete(spark, path)
 
 
 def meet(state: DataFrame) -> DataFrame:

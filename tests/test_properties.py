@@ -99,8 +99,9 @@ def test_stream_one_batch_equals_many_batches(spark, tmp_path):
 
 def test_salted_shuffle_path_equals_broadcast_path_on_part_graph(spark, part_graph):
     q = ksp.query_table(spark, [(1, [1, 2, 3], [10, 11, 12]), (2, [42], [42])])
-    fast = ksp.k_shortest_paths(part_graph, q)
-    salted = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(broadcast_rows=0, hub_rows=5))
+    fast = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(adjacency_store="table", adjacency_buckets=8))
+    salted = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(broadcast_rows=0, hub_rows=5,
+                                                                  adjacency_store="table"))
     plain = ksp.k_shortest_paths(part_graph, q, ksp.SearchConfig(broadcast_rows=0, hub_rows=5, hub_table_rows=0,
                                                                  prune=False))
     a = sorted(tuple(r) for r in fast.collect())
