@@ -63,29 +63,35 @@ def collect_queries(messages: DataFrame, sink_path: str, checkpoint: str, proces
 
 # ---------------------------------------------------------------- ST2: continuous edge upsert
 
-def edge_upsert_stream(messages: DataFrame, sink_path: str, checkpoint: str, processing_time: str | None = None):
+def edge_upsert_stream(messages: DataFrame, sink_path: str, checkpoint: str, compact_every: int = 10,
+                       processing_time: str | None = None):
     """ST2: stateful per-edge aggregate (last weight, first coordinates) in update mode.
 
-    State holds one row per distinct edge (no watermark: edges never expire). Each batch's updated rows are
-    written under ``batch=<id>``; the current table is the newest row per edge (``current_edges``)."""
+    State holds one row per distinct edge (RocksDB; no watermark: edges never expire). Each batch's updated
+    rows go into the versioned edge store at ``sink_path``: the first batch as a full version, later ones as
+    deltas, compacted every ``compact_every`` batches; ``current_edges`` merges them."""
     e = parsed_edge_stream(messages).filter("valid")
     agg = e.groupBy("src", "dst").agg(
         F.max_by("weight", "seq").alias("weight"), F.max("seq").alias("last_seq"),
         F.min_by(F.struct("src_lon", "src_lat", "dst_lon", "dst_lat"), "seq").alias("c"),
         F.min("seq").alias("first_seq"))
+    spark = messages.sparkSession
 
     def sink(df: DataFrame, batch_id: int):
-        df.select("src", "dst", "weight", "last_seq", "c.src_lon", "c.src_lat", "c.dst_lon", "c.dst_lat",
-                  "first_seq").write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+        rows = df.select("src", "dst", "weight", "last_seq", "c.src_lon", "c.src_lat", "c.dst_lon", "c.dst_lat",
+                         "first_seq")
+        have = [x for x in S.edge_versions(spark, sink_path) if x[0] <= batch_id]
+        if not have:
+            S.write_edge_full(rows, sink_path, batch_id + 1)
+        else:
+            _publish(spark, sink_path, rows, batch_id + 1, compact_every)
 
     return _start(agg, checkpoint, sink=sink, output_mode="update", processing_time=processing_time)
 
 
 def current_edges(spark: SparkSession, sink_path: str) -> DataFrame:
-    """The newest version of each edge written by ``edge_upsert_stream``."""
-    d = spark.read.parquet(sink_path)
-    return d.groupBy("src", "dst").agg(F.max_by(F.struct(*[c for c in d.columns if c not in ("src", "dst", "batch")]),
-                                                "batch").alias("r")).select("src", "dst", "r.*")
+    """The current edge table written by ``edge_upsert_stream`` (newest full version + later deltas)."""
+    return S.read_edge_table(spark, sink_path)
 
 
 # ---------------------------------------------------------------- ST3: snapshot publishing
