@@ -878,6 +878,6 @@ def q_query_stream_results(spark, sf_dir):
         .option("maxFilesPerTrigger", 1).parquet(src)
     edges = G.collapse_edges(td.event_trips(spark, sf_dir), "last")
     out, ck = scratch_path(spark, "path-results"), scratch_path(spark, "path-queries-ck")
-    J.run(J.path_query_stream(stream, lambda: edges, out, ck, ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
+    J.run(J.path_query_stream(stream, lambda: (0, edges), out, ck, ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
     newest = msgs.groupBy("client").agg(F.max("seq").alias("seq"))
     return J.newest_results(spark, out, newest)

@@ -276,32 +276,59 @@ def _delete(spark: SparkSession, path: str) -> None:
 # the loop and the result
 
 
-def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = None,
-           nodes: DataFrame | None = None,
-           between_rounds: Callable[[int, DataFrame], DataFrame] | None = None) -> SearchRun:
-    """G1 + G2 (+ G4): run the rounds for every query of ``queries`` together.
+@dataclass
+class PreparedGraph:
+    """The adjacency of one edge-table version, ready for searches (see ``prepare``)."""
+
+    adj: DataFrame
+    buckets: int = 0
+    cached: list = field(default_factory=list)
+    written: list = field(default_factory=list)
 
-    ``between_rounds(round, state)`` may return a filtered state (e.g. drop superseded queries)."""
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        for path in self.written:
+            _delete(self.adj.sparkSession, path)
+
+
+def prepare(edges: DataFrame, nodes: DataFrame | None = None, config: SearchConfig | None = None) -> PreparedGraph:
+    """Build the doubled adjacency once (Parquet bucket folders or executor cache, see ``SearchConfig``).
+
+    A stream of query batches against the same edge-table version prepares it once and passes it to every
+    ``search``; ``release`` drops it when the version changes."""
     cfg = config or SearchConfig()
     spark = edges.sparkSession
-    checkpoint_base(spark)
-
-    cached, written = [], []
-    buckets = 0
     store = cfg.adjacency_store
     if store == "auto":
         store = "table" if _estimated_bytes(edges) >= cfg.table_min_bytes else "cache"
     if store == "table":
         buckets = cfg.adjacency_buckets or 4 * spark.sparkContext.defaultParallelism
         path = scratch_path(spark, "adjacency")
-        written.append(path)
-        adj = _adjacency_table(adjacency(edges, nodes), path, buckets)
-    else:
-        # The doubled adjacency is a union of two scans; without a cap it keeps the sum of both sides'
-        # partitions (e.g. 2 x spark.sql.shuffle.partitions) and every round pays for that many small tasks.
-        adj = adjacency(edges, nodes).coalesce(2 * spark.sparkContext.defaultParallelism) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(adj)
+        return PreparedGraph(_adjacency_table(adjacency(edges, nodes), path, buckets), buckets, written=[path])
+    # The doubled adjacency is a union of two scans; without a cap it keeps the sum of both sides'
+    # partitions (e.g. 2 x spark.sql.shuffle.partitions) and every round pays for that many small tasks.
+    adj = adjacency(edges, nodes).coalesce(2 * spark.sparkContext.defaultParallelism) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    return PreparedGraph(adj, 0, cached=[adj])
+
+
+def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = None,
+           nodes: DataFrame | None = None,
+           between_rounds: Callable[[int, DataFrame], DataFrame] | None = None,
+           prepared: PreparedGraph | None = None) -> SearchRun:
+    """G1 + G2 (+ G4): run the rounds for every query of ``queries`` together.
+
+    ``between_rounds(round, state)`` may return a filtered state (e.g. drop superseded queries);
+    ``prepared``: an adjacency built by ``prepare`` for these edges (kept after the search)."""
+    cfg = config or SearchConfig()
+    spark = edges.sparkSession
+    checkpoint_base(spark)
+
+    own = prepared is None
+    graph = prepare(edges, nodes, cfg) if own else prepared
+    adj, buckets = graph.adj, graph.buckets
+    cached: list[DataFrame] = []  # per-search extras (hub table, salted adjacency)
     shuffled = None  # (salted adjacency, hub table or None), built the first time a frontier is too large
     try:
         seeds = valid_seeds(queries, edges, nodes, adj=adj)
@@ -343,8 +370,8 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     finally:
         for df in cached:
             df.unpersist()
-        for path in written:  # rounds are checkpointed; the adjacency table is not needed after the loop
-            _delete(spark, path)
+        if own:  # rounds are checkpointed; the adjacency is not needed after the loop
+            graph.release()
 
 
 def meet(state: DataFrame) -> DataFrame:
@@ -373,6 +400,6 @@ def results(state: DataFrame) -> DataFrame:
 
 
 def k_shortest_paths(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = None,
-                     nodes: DataFrame | None = None) -> DataFrame:
+                     nodes: DataFrame | None = None, prepared: PreparedGraph | None = None) -> DataFrame:
     """``(query_id, total, hops, line)`` for all queries; unordered (rank with ``ranked``)."""
-    return results(search(edges, queries, config, nodes).state)
+    return results(search(edges, queries, config, nodes, prepared=prepared).state)

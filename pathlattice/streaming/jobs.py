@@ -235,18 +235,27 @@ def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: Dat
 
 # ---------------------------------------------------------------- S7 + ST7 + G4 + K2: batch layer as a stream
 
-def path_query_stream(messages: DataFrame, edges_of_newest: Callable[[], DataFrame], results_base: str,
-                      checkpoint: str, config: ksp.SearchConfig | None = None, client_col: str = "client",
-                      processing_time: str | None = None):
+def path_query_stream(messages: DataFrame, graph_source: Callable[[], tuple[object, DataFrame]],
+                      results_base: str, checkpoint: str, config: ksp.SearchConfig | None = None,
+                      client_col: str = "client", processing_time: str | None = None):
     """Per micro-batch of path-query messages ``(seq, client, value)``: keep the newest query per client
     (ST7), parse it (P4), run all of them in one search loop on the newest edge table (G4) and publish the
-    results as ``results_base/v=<batch id>`` (K2; ``query_id`` = the message ``seq``)."""
+    results as ``results_base/v=<batch id>`` (K2; ``query_id`` = the message ``seq``).
+
+    ``graph_source()`` returns ``(version, edges)``; the adjacency is prepared once per version and reused by
+    every batch until the version changes."""
+    held: dict = {"version": None, "graph": None}
 
     def sink(df: DataFrame, batch_id: int):
+        version, edges = graph_source()
+        if held["graph"] is None or version != held["version"]:
+            if held["graph"] is not None:
+                held["graph"].release()
+            held.update(version=version, graph=ksp.prepare(edges, config=config))
         newest = (df.groupBy(client_col).agg(F.max_by(F.struct("seq", "value"), "seq").alias("m"))
                   .select(F.col("m.seq").alias("query_id"), parse_query("m.value").alias("q"))
                   .select("query_id", "q.starts", "q.ends"))
-        res = ksp.k_shortest_paths(edges_of_newest(), newest, config)
+        res = ksp.k_shortest_paths(edges, newest, config, prepared=held["graph"])
         res.write.mode("overwrite").parquet(f"{results_base}/v={batch_id}")
 
     return _start(messages, checkpoint, sink=sink, processing_time=processing_time)
