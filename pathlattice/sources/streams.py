@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.schemas import MESSAGE, TOPIC_MESSAGE
+from pathlattice.schemas import MESSAGE
 
 
 def message_stream(spark: SparkSession, fmt: str, path: str | None = None, topic: str | None = None,
@@ -40,7 +40,3 @@ def demux(messages: DataFrame, edges_topic: str = "new_edges", result_topic: str
             .agg(F.max_by("value", F.struct("partition", "offset")).alias("value"))
             .filter(F.col("value").isNotNull()))
     return edges, last
-
-
-def topic_schema():
-    return TOPIC_MESSAGE
