@@ -44,8 +44,6 @@ NODE_DOCUMENT = T.StructType([
     T.StructField("val", NODE_VALUE),
 ])
 
-NODE_DOCUMENT_TOLERANT = T.StructType(NODE_DOCUMENT.fields + [T.StructField("_corrupt_record", T.StringType())])
-
 # Seed document: one JSON object keyed by node id.
 SEED_MAP = T.MapType(T.StringType(), NODE_VALUE)
 
