@@ -133,3 +133,17 @@ def test_superseded_query_is_dropped_between_rounds(spark, seed_map_path):
     res = ksp.results(run.state)
     assert {r.query_id for r in res.collect()} == {2}
     assert res.count() == 5
+
+
+@pytest.mark.parametrize("store", ["cache", "table"])
+def test_prepared_graph_is_reused_and_kept(spark, seed_map_path, store):
+    e = _edges(spark, seed_map_path)
+    cfg = ksp.SearchConfig(adjacency_store=store, adjacency_buckets=4)
+    g = ksp.prepare(e, config=cfg)
+    try:
+        a = ksp.k_shortest_paths(e, ksp.query_table(spark, [(1, [120], [80])]), cfg, prepared=g)
+        assert sorted(r.line for r in a.collect()) == SEED_120_80
+        b = ksp.k_shortest_paths(e, ksp.query_table(spark, [(1, [75], [75])]), cfg, prepared=g)
+        assert [r.line for r in b.collect()] == ["0 75"]  # the prepared graph survived the first search
+    finally:
+        g.release()
