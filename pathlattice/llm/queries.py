@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import packing
+from pathlattice.llm import packing, quality_rules
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,42 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+OP1_SQL = r"""
+WITH base AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+toks AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM base),
+pos AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM toks WHERE len(w) >= 3) p),
+reps AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM pos) x WHERE c >= 2),
+cover AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM reps, (VALUES (0), (1), (2)) v(d) GROUP BY doc_id),
+counts AS (SELECT k.doc_id, k.source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines,
+  len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM toks k LEFT JOIN cover c ON c.doc_id = k.doc_id),
+fails AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS f_base,
+  10 * n_symbols > 3 * n_words AS f_sym, 10 * n_dup_lines > 3 * n_lines AS f_lines FROM counts),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (f_base) AS kb, count(*) FILTER (f_sym) AS ks,
+  count(*) FILTER (f_lines) AS kl FROM fails WHERE source IS NOT NULL GROUP BY source),
+prior AS (SELECT avg(kb / n) AS mb, var_pop(kb / n) AS vb, avg(ks / n) AS ms, var_pop(ks / n) AS vs,
+  avg(kl / n) AS ml, var_pop(kl / n) AS vl FROM hosts),
+strength AS (SELECT *,
+  CASE WHEN vb > 0 THEN greatest(1.0, least(1000.0, mb * (1 - mb) / vb - 1)) ELSE 1000.0 END AS sb,
+  CASE WHEN vs > 0 THEN greatest(1.0, least(1000.0, ms * (1 - ms) / vs - 1)) ELSE 1000.0 END AS ss,
+  CASE WHEN vl > 0 THEN greatest(1.0, least(1000.0, ml * (1 - ml) / vl - 1)) ELSE 1000.0 END AS sl FROM prior),
+verdict AS (SELECT source, greatest((kb + mb * sb) / (n + sb), (ks + ms * ss) / (n + ss), (kl + ml * sl) / (n + sl))
+  AS rate FROM hosts, strength)
+SELECT f.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f_base AS base_failed,
+  NOT f_base AND NOT f_sym AND NOT f_lines AND NOT coalesce(v.rate > 0.7, false) AS kept, round(v.rate, 6) AS host_rate
+FROM fails f LEFT JOIN verdict v ON v.source = f.source"""
+
+
+@register("op1_quality_rules", OP1_SQL)
+def op1(spark, sf_dir):
+    return quality_rules.quality_rules(spark, table(spark, sf_dir, "documents"))
+
+
 @register("op4_packing")
 def op4(spark, sf_dir):
     return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
