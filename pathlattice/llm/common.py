@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pathlattice
 from pathlattice.session import scratch_path
 
 # A side may be broadcast only when its counted rows times their width stay below this.
@@ -23,6 +28,24 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if not any(x.startswith("pathlattice") for x in sc._python_includes):
+        root = Path(pathlattice.__file__).parent
+        # Spark serves the file from the driver's folder while the application lives
+        target = f"{tempfile.mkdtemp(prefix='pathlattice-code-')}/pathlattice.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(target)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def fold(doc_id, mod: int):
     """crc32 of the id as text, modulo ``mod`` (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(mod)

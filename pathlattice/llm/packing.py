@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pathlattice.llm.common import small, stage
+from pathlattice.llm.common import map_arrow, small, stage
 
 SEQUENCE = 1024
 END_ID = 0
@@ -105,8 +105,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                      pa.array(n), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())],
                     names=["part", "doc_id", "start", "n", "ids", "width"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"part int, doc_id {id_type}, start bigint, n bigint, ids binary, width int")
+    return map_arrow(docs.select("doc_id", "text"), run, f"part int, doc_id {id_type}, start bigint, n bigint, ids binary, width int")
 
 
 def part_places(tokens: DataFrame) -> DataFrame:
@@ -154,5 +153,5 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, size: int = SEQUENCE,
                      pa.array(out[6], pa.binary())],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return placed.mapInArrow(cut, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, "
+    return map_arrow(placed, cut, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, "
                                   "doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")

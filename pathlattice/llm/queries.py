@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import packing, quality_rules
+from pathlattice.llm import packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op1(spark, sf_dir):
 @register("op4_packing")
 def op4(spark, sf_dir):
     return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+@register("op6_quality_classifier")
+def op6(spark, sf_dir):
+    return quality_classifier.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -162,9 +162,15 @@ def shingles(b: Block, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return mix(out), off
 
 
-def char_grams(b: Block, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the byte n-grams inside each span and their ranges per span (none in a shorter span)."""
-    count = np.maximum(end - start - n + 1, 0)
+def char_starts(b: Block) -> np.ndarray:
+    """Byte positions at which characters begin, and the end of the block."""
+    return np.append(np.flatnonzero((b.data & 0xC0) != 0x80), len(b.data))
+
+
+def char_grams(b: Block, chars: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the character n-grams inside each span and their ranges per span (none in a shorter span)."""
+    first = np.searchsorted(chars, start)
+    count = np.maximum(np.searchsorted(chars, end) - first - n + 1, 0)
     off = np.concatenate([[0], np.cumsum(count)])
-    at = np.repeat(start - off[:-1], count) + np.arange(off[-1])
-    return span_hash(b.prefix, at, at + n), off
+    at = np.repeat(first - off[:-1], count) + np.arange(off[-1])
+    return span_hash(b.prefix, chars[at], chars[at + n]), off
