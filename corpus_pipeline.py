@@ -9,7 +9,7 @@ from pathlattice.llm.common import stage, table
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(spark, docs, queries.tokenizer_path()).drop("ids")
+    return packing.pack(spark, docs, *queries.tokenizer_files()).drop("ids")
 
 
 STAGES = [("packing", pack)]

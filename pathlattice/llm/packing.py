@@ -34,9 +34,12 @@ class WordEncoder:
     A byte-level BPE splits a text into pieces first and merges inside each piece only. Where all white space is single
     spaces and line ends, a piece never reaches over a space (which begins a piece) or a line end (a piece of its
     own), so a text's ids are those of its words, each with the space before it. Other texts are encoded as a whole.
+
+    ``ranks``: the same vocabulary as a rank file. With it, words not in the memo are encoded in one string and cut
+    apart again at their byte lengths, several times faster than one by one; the ids are the same.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,7 +48,20 @@ class WordEncoder:
         self.tk = Tokenizer.from_file(path)
         self.tk.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tk.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {"\n": b""}
+        self.fast = None
+        if ranks:
+            import base64
+
+            import public_tokenizers
+            import tiktoken
+
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
+                                          special_tokens={})
+            self.lengths = np.zeros(max(table.values()) + 1, np.int64)
+            self.lengths[list(table.values())] = [len(x) for x in table]
         self.line_end = self.pack(self.tk.encode("\n", add_special_tokens=False).ids)
 
     def pack(self, ids) -> bytes:
@@ -54,6 +70,18 @@ class WordEncoder:
     def whole(self, text: str) -> bytes:
         return self.pack(self.tk.encode(text, add_special_tokens=False).ids)
 
+    def learn(self, words: list[str]) -> None:
+        """Put the ids of ``words`` into the memo: one string "\\na\\nb c d", cut at the words' byte lengths."""
+        asked = [w if w[0] == "\n" else " " + w for w in words]
+        ids = np.array(self.fast.encode_ordinary("".join(asked)), self.kind)
+        ends = np.cumsum(self.lengths[ids])
+        cut = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in asked]), "right")
+        raw, width, a = ids.tobytes(), self.kind.itemsize, 0
+        skip = len(self.line_end)
+        for w, b in zip(words, (cut * width).tolist()):
+            self.memo[w] = raw[a + skip:b] if w[0] == "\n" else raw[a:b]
+            a = b
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, of ``self.kind``."""
         lines: list[list[list[str]] | None] = []
@@ -67,14 +95,17 @@ class WordEncoder:
                     need.add("\n" + p[0])
             else:
                 lines.append(None)
+        if len(self.memo) > MEMO_WORDS:
+            self.memo = {"\n": b""}
         memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        missing = [w for w in need if w not in memo]
         # a word behind a space carries it; the first word of a line (key "\n" + word) does not
-        asked = [w[1:] if w[:1] == "\n" else " " + w for w in missing]
-        for w, e in zip(missing, self.tk.encode_batch_fast(asked, add_special_tokens=False)):
-            memo[w] = self.pack(e.ids)
+        missing = [w for w in need if w not in memo]
+        if self.fast:
+            self.learn(missing)
+        else:
+            asked = [w[1:] if w[:1] == "\n" else " " + w for w in missing]
+            for w, e in zip(missing, self.tk.encode_batch_fast(asked, add_special_tokens=False)):
+                memo[w] = self.pack(e.ids)
         get = memo.__getitem__
         out = []
         for t, parts in zip(texts, lines):
@@ -85,14 +116,14 @@ class WordEncoder:
         return out
 
 
-def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
+def tokenise(docs: DataFrame, path: str, ranks: str | None = None, end_id: int = END_ID) -> DataFrame:
     """``part, doc_id, start`` (tokens before it in its partition), ``n`` (with the end id), ``ids``, ``width``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         enc, at, part = None, 0, TaskContext.get().partitionId()
         for batch in batches:
-            enc = enc or WordEncoder(path)
+            enc = enc or WordEncoder(path, ranks)
             end, width = enc.pack([end_id]), enc.kind.itemsize
             for lo in range(0, batch.num_rows, 256):
                 piece = batch.slice(lo, 256)
@@ -105,7 +136,8 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                      pa.array(n), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())],
                     names=["part", "doc_id", "start", "n", "ids", "width"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, f"part int, doc_id {id_type}, start bigint, n bigint, ids binary, width int")
+    return map_arrow(docs.select("doc_id", "text"), run,
+                     f"part int, doc_id {id_type}, start bigint, n bigint, ids binary, width int")
 
 
 def part_places(tokens: DataFrame) -> DataFrame:
@@ -120,11 +152,13 @@ def part_places(tokens: DataFrame) -> DataFrame:
         "part", (F.col("gplace") + F.col("inner")).alias("place"))
 
 
-def pack(spark: SparkSession, docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`` (little-endian u32) of ``docs (doc_id, text)``.
+def pack(spark: SparkSession, docs: DataFrame, path: str, ranks: str | None = None, size: int = SEQUENCE,
+         end_id: int = END_ID) -> DataFrame:
+    """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`` (little-endian u32) of
+    ``docs (doc_id, text)``.
 
-    ``path``: a byte-level BPE tokenizer file that every executor can read."""
-    tokens = stage(spark, tokenise(docs, path, end_id), "tokens")
+    ``path``: a byte-level BPE tokenizer file that every executor can read; ``ranks``: see ``WordEncoder``."""
+    tokens = stage(spark, tokenise(docs, path, ranks, end_id), "tokens")
     places = stage(spark, part_places(tokens), "token-places")
     placed = tokens.join(small(places, places.count(), 16), "part").select(
         "doc_id", "n", "ids", "width", (F.col("place") + F.col("start")).alias("at"))
@@ -154,4 +188,4 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, size: int = SEQUENCE,
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
     return map_arrow(placed, cut, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, "
-                                  "doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
+                                   "doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")

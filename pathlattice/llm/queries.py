@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import language_id, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,10 +23,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer_path() -> str:
+def tokenizer_files() -> tuple[str, str]:
+    """The tokenizer file, and its vocabulary as ranks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 OP1_SQL = r"""
@@ -67,7 +68,7 @@ def op1(spark, sf_dir):
 
 @register("op4_packing")
 def op4(spark, sf_dir):
-    return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+    return packing.pack(spark, table(spark, sf_dir, "documents"), *tokenizer_files()).drop("ids")
 
 
 @register("op6_quality_classifier")
@@ -78,3 +79,8 @@ def op6(spark, sf_dir):
 @register("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op8_language_id")
+def op8(spark, sf_dir):
+    return language_id.identify(spark, table(spark, sf_dir, "documents"))
