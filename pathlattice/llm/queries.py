@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import language_id, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import html_extract, language_id, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op10(spark, sf_dir):
 @register("op8_language_id")
 def op8(spark, sf_dir):
     return language_id.identify(spark, table(spark, sf_dir, "documents"))
+
+
+@register("op9_html_extract")
+def op9(spark, sf_dir):
+    return html_extract.extract(spark, table(spark, sf_dir, "pages"))
