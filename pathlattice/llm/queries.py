@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import html_extract, language_id, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import decontaminate, html_extract, language_id, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op8(spark, sf_dir):
 @register("op9_html_extract")
 def op9(spark, sf_dir):
     return html_extract.extract(spark, table(spark, sf_dir, "pages"))
+
+
+@register("op7_decontaminate")
+def op7(spark, sf_dir):
+    return decontaminate.find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -28,6 +28,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+# Between normalised words: every ASCII byte that is no letter or digit.
+NOT_ALNUM = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,12 +110,12 @@ def buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False, lo: int = 0) -> Block:
+def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False, lo: int = 0, space=SPACE) -> Block:
     if lower:
         data = LOWER[data]
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~space[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     here = inside[1:-1]
@@ -122,13 +124,13 @@ def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False, lo: int =
     return Block(data, offsets, start, end, np.searchsorted(start, offsets), prefix_sums(data), lo)
 
 
-def blocks(col, lower: bool = False, limit: int = BLOCK_BYTES):
-    """Consecutive blocks of an Arrow string column."""
+def blocks(col, lower: bool = False, limit: int = BLOCK_BYTES, space=SPACE):
+    """Consecutive blocks of an Arrow string column; ``space`` marks the bytes between words."""
     data, off = buffers(col)
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
-        yield parse(data[off[i]:off[j]], off[i:j + 1] - off[i], lower, i)
+        yield parse(data[off[i]:off[j]], off[i:j + 1] - off[i], lower, i, space)
         i = j
 
 
