@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import decontaminate, html_extract, language_id, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op9(spark, sf_dir):
 @register("op7_decontaminate")
 def op7(spark, sf_dir):
     return decontaminate.find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op3_line_dedup")
+def op3(spark, sf_dir):
+    return line_dedup.apply(spark, table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .withColumnRenamed("_removed", "removed_lines")
