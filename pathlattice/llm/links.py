@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pathlattice.llm.common import components, small, stage
 
 
-def linked_groups(spark: SparkSession, index: DataFrame, probe: Callable[[DataFrame], DataFrame] | None,
-                  verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None,
+                  verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None) -> DataFrame:
     """``node, component`` of all nodes with a link; ``component`` is the smallest node of the group.
 
-    ``index (key, node)``: the postings. ``probe``: makes the ``(key, node)`` requests of all nodes; whichever end of a link
-    asks, it must have a request for a key under which the other end stands. Without it, the postings are the requests. ``verify``: the linked pairs among ``(a, b)``."""
+    ``index (key, node)``: the postings. ``probe``: the ``(key, node)`` requests of all nodes; whichever end of a link
+    asks, it must have a request for a key under which the other end stands. Without it, the postings are the requests.
+    ``wider``: more postings that only answer requests. ``verify``: the linked pairs among ``(a, b)``."""
     sizes = stage(spark, index.groupBy("key").agg(F.count(F.lit(1)).alias("len")).filter("len > 1"), f"{name}-lists")
     runs = stage(spark, index.join(small(sizes, sizes.count(), 32), "key").select("key", "node", "len"), f"{name}-runs")
     degree = runs.groupBy("node").agg(F.sum(F.col("len") - 1).alias("degree"))
@@ -44,9 +45,10 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: Callable[[DataFr
                                     F.coalesce("component", "node").alias("component")).alias("place"))
 
     # without requests of their own, nodes alone in their lists cannot meet anyone
-    placed = stage(spark, place(index if probe else runs), f"{name}-placed")
+    answering = runs.select("key", "node") if probe is None else index if wider is None else index.unionByName(wider)
+    placed = stage(spark, place(answering), f"{name}-placed")
     tops = placed.groupBy("key").agg(F.max("place").alias("top"))
-    asked = place(probe(found)) if probe else placed
+    asked = placed if probe is None else place(probe)
     asking = asked.join(tops, "key").filter("place < top").select("key", F.col("node").alias("x"),
                                                                   F.col("place").alias("own"))
     pairs = asking.join(placed, "key").filter("own < place").select(

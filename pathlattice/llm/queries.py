@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op7(spark, sf_dir):
 def op3(spark, sf_dir):
     return line_dedup.apply(spark, table(spark, sf_dir, "documents").select("doc_id", "text")) \
         .withColumnRenamed("_removed", "removed_lines")
+
+
+@register("op5_ngram_join")
+def op5(spark, sf_dir):
+    return ngram_join.groups(spark, table(spark, sf_dir, "documents")).drop("row")
