@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, toxicity
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op3(spark, sf_dir):
 @register("op5_ngram_join")
 def op5(spark, sf_dir):
     return ngram_join.groups(spark, table(spark, sf_dir, "documents")).drop("row")
+
+
+@register("op2_lm_score")
+def op2(spark, sf_dir):
+    return lm_score.score(spark, table(spark, sf_dir, "documents"))
