@@ -56,6 +56,14 @@ def held_out(doc_id, mod: int, remainder: int):
     return F.coalesce(fold(doc_id, mod) == remainder, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark a side for broadcast when its counted size is within ``BROADCAST_BYTES``; beyond it, Spark's shuffle
     join (with AQE's skew handling) is used. Both give the same rows."""

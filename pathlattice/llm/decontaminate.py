@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import map_arrow
+from pathlattice.llm.common import free_name, map_arrow
 
 U = np.uint64
 EDITS = 0.25
@@ -237,16 +237,17 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) in which no benchmark item is found, without a shuffle."""
+    low = free_name(docs, "_lower")
     for _, items in slices(benchmark):
         index = Index.of(items)
 
         def run(batches, items=items, index=index):
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                for b in tv.blocks(batch.column("_lower"), space=tv.NOT_ALNUM):
+                for b in tv.blocks(batch.column(low), space=tv.NOT_ALNUM):
                     for d, _ in leaks_of_block(b, items, index):
                         clean[b.lo + d] = False
-                yield batch.filter(pa.array(clean)).drop_columns(["_lower"])
+                yield batch.filter(pa.array(clean)).drop_columns([low])
 
-        docs = map_arrow(docs.withColumn("_lower", F.lower("text")), run, docs.schema)
+        docs = map_arrow(docs.withColumn(low, F.lower("text")), run, docs.schema)
     return docs

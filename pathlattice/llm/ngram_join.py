@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import map_arrow, partitions_for, small, stage
+from pathlattice.llm.common import free_name, map_arrow, partitions_for, small, stage
 from pathlattice.llm.counting import key_sums, put_together, shard_bounds, sums_of
 from pathlattice.llm.links import linked_groups
 
@@ -74,10 +74,11 @@ def signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def scan(docs: DataFrame, shards: int) -> DataFrame:
-    """One row per document (``shard`` null), and per chunk and shard the prefix shingles with the documents they are of."""
+    """One row per document (``shard`` null; ``tag`` as given), and per chunk and shard the prefix shingles with the
+    documents they are of."""
     bounds = shard_bounds(shards)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (f"row bigint, doc_id {id_type}, n bigint, s1 bigint, s2 bigint, shard int, first_row bigint, "
+    schema = (f"row bigint, tag bigint, doc_id {id_type}, n bigint, s1 bigint, s2 bigint, shard int, first_row bigint, "
               "keys binary, owners binary")
 
     def run(batches):
@@ -94,11 +95,11 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
             k = (k * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32)
             null = pa.nulls(len(used), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [null, pa.nulls(len(used), id_kind), null, null, null, pa.array(used, pa.int32()),
+                [null, null, pa.nulls(len(used), id_kind), null, null, null, pa.array(used, pa.int32()),
                  pa.array([first_row] * len(used), pa.int64()),
                  pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary()),
                  pa.array([o[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary())],
-                names=["row", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
+                names=["row", "tag", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
 
         for batch in batches:
             id_kind = batch.schema.field("doc_id").type
@@ -112,10 +113,10 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
                 held += int(take.sum())
                 blank = pa.nulls(len(sets), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(len(sets))), batch.column("doc_id").slice(b.lo, len(b)), pa.array(n),
+                    [pa.array(row + np.arange(len(sets))), batch.column("tag").slice(b.lo, len(b)), batch.column("doc_id").slice(b.lo, len(b)), pa.array(n),
                      pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.nulls(len(sets), pa.int32()),
                      pa.nulls(len(sets), pa.int64()), blank, blank],
-                    names=["row", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
+                    names=["row", "tag", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
                 row += len(sets)
                 if held >= CHUNK_KEYS:
                     yield flush()
@@ -123,7 +124,7 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
         if held:
             yield flush()
 
-    return map_arrow(docs.select("doc_id", "text"), run, schema)
+    return map_arrow(docs.select("doc_id", "text", "tag"), run, schema)
 
 
 def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
@@ -308,12 +309,13 @@ def node_sets(chunks: DataFrame) -> DataFrame:
     return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
 
 
-def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` and ``row`` (unique) for every row of ``docs (doc_id, text)``."""
+def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``, and ``tag``, the given bigint column."""
+    docs = docs.select("doc_id", "text", (F.col(tag) if tag else F.lit(None)).cast("bigint").alias("tag"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = partitions_for(spark, size // 12, PREFIX_PER_SHARD)  # prefixes are 3/8 of the words
     scanned = stage(spark, scan(docs, shards), "shingle-scan")
-    rows = scanned.filter("shard IS NULL").select("row", "doc_id", "n", "s1", "s2")
+    rows = scanned.filter("shard IS NULL").select("row", "tag", "doc_id", "n", "s1", "s2")
     able = rows.filter("doc_id IS NOT NULL AND n > 0")
     classes = stage(spark, able.groupBy("n", "s1", "s2").agg(F.min(F.struct("row", "doc_id")).alias("of"),
                                                              F.min("doc_id").alias("least")), "shingle-classes")
@@ -352,5 +354,17 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ids = named.join(least, "component").select("n", "s1", "s2", "component_id")
     ids = ids.select(*(F.col(c).alias(f"_{c}") for c in ("n", "s1", "s2")), "component_id")
     return rows.join(ids, (rows.n == ids._n) & (rows.s1 == ids._s1) & (rows.s2 == ids._s2), "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "tag")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with one row of each group: the first of those with the smallest id. Rows without words or id stay."""
+    tag = free_name(docs, "_tag")
+    tagged = stage(spark, docs.withColumn(tag, F.monotonically_increasing_id()), "join-input")
+    found = stage(spark, groups(spark, tagged, tag).filter("doc_id IS NOT NULL AND n_shingles > 0"), "join-groups")
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "tag")).alias("keep"), F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").select("component_id", "keep")
+    gone = found.join(first, "component_id").filter("tag <> keep.tag").select(F.col("tag").alias(tag))
+    gone = stage(spark, gone, "join-drops")
+    return tagged.join(small(gone, gone.count(), 32), tag, "left_anti").select(*docs.columns)

@@ -14,10 +14,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pathlattice.llm import subword as sw
-from pathlattice.llm.common import held_out
+from pathlattice.llm import textvec as tv
+from pathlattice.llm.common import held_out, map_arrow
 
 FEATURES = sw.Features(grams=(3, 4), pairs=True)
 SAMPLE_PER_CLASS = 1500
@@ -50,3 +50,21 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int
     sample = sw.learning_sample(spark, docs, labels, "quality", 4, 2, bound, FEATURES)
     cells, bias = binary_table(sample, FEATURES)
     return score_binary(docs, FEATURES, cells, bias, CUT, 4, 2, keep).select(*keep, "held_out", "score", "predicted")
+
+
+def accept(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose score is at least ``CUT``."""
+    sample = sw.learning_sample(spark, docs, labels, "quality", 4, 2, bound, FEATURES)
+    cells, bias = binary_table(sample, FEATURES)
+    shared = spark.sparkContext.broadcast(cells)
+    least = np.log(CUT / (1 - CUT)) - bias
+
+    def run(batches):
+        for batch in batches:
+            ok = [np.zeros(0, bool)]
+            for b in tv.blocks(batch.column("text"), FEATURES.lower):
+                sums, n = sw.text_scores(b, FEATURES, shared.value)
+                ok.append(sums[:, 0] / np.maximum(n, 1) >= least)
+            yield batch.filter(pa.array(np.concatenate(ok)))
+
+    return map_arrow(docs, run, docs.schema)

@@ -12,7 +12,8 @@ repeated row is counted and returned as often as it is there; one host alone has
 strong as ``MAX_STRENGTH`` documents; an empty table gives an empty result. Other columns are ignored.
 
 Scale: one pass over the texts makes one narrow row per document (written once), host sums are partial aggregates, so
-a hot host sends one row per task; the verdicts (one row per host) go back by a join Spark may broadcast or split.
+a hot host sends one row per task; the verdicts (one row per host) go back by broadcast while their counted size is small,
+else by a shuffle join that AQE splits where a host is hot.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm.common import stage
+from pathlattice.llm.common import small, stage
 
 BLANKS = r"[\x20\x09-\x0D]+"
 NON_BLANK = r"[^\x20\x09-\x0D]"
@@ -61,12 +62,13 @@ def document_counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "source"
         F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")).drop("_p")
 
 
-def host_verdicts(counts: DataFrame, host: str = "source") -> DataFrame:
+def host_verdicts(spark: SparkSession, counts: DataFrame, host: str = "source") -> DataFrame:
     """``host, host_rate`` (the largest shrunk rate) ``, host_bad`` from documents with ``fail_<rule>`` columns."""
-    hosts = counts.filter(F.col(host).isNotNull()).groupBy(host).agg(
-        F.count(F.lit(1)).alias("n"), *(F.sum(F.col(f"fail_{r}").cast("long")).alias(f"k_{r}") for r in RULES))
+    hosts = stage(spark, counts.filter(F.col(host).isNotNull()).groupBy(host).agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(F.col(f"fail_{r}").cast("long")).alias(f"k_{r}") for r in RULES)), "hosts")
     prior = hosts.agg(*(f(F.col(f"k_{r}") / F.col("n")).alias(f"{a}_{r}") for r in RULES
-                        for a, f in (("m", F.avg), ("v", F.var_pop)))).first()  # six numbers
+                        for a, f in (("m", F.avg), ("v", F.var_pop))),
+                      F.count(F.lit(1)).alias("hosts"), F.max(F.octet_length(host)).alias("width")).first()
 
     def rate(r):
         m, v = prior[f"m_{r}"] or 0.0, prior[f"v_{r}"] or 0.0
@@ -74,7 +76,8 @@ def host_verdicts(counts: DataFrame, host: str = "source") -> DataFrame:
         return (F.col(f"k_{r}") + F.lit(m * strength)) / (F.col("n") + F.lit(strength))
 
     worst = F.greatest(*(rate(r) for r in RULES))
-    return hosts.select(host, F.round(worst, 6).alias("host_rate"), (worst > HOST_LIMIT).alias("host_bad"))
+    verdicts = hosts.select(host, F.round(worst, 6).alias("host_rate"), (worst > HOST_LIMIT).alias("host_bad"))
+    return small(verdicts, prior["hosts"], 64 + (prior["width"] or 0))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "fail_lines": 10 * F.col("n_dup_lines") > 3 * F.col("_n_lines"),
     }).withColumn("fail_base", F.col("base_failed"))
     counts = stage(spark, counts, "quality-counts")
-    joined = counts.join(host_verdicts(counts), "source", "left")
+    joined = counts.join(host_verdicts(spark, counts), "source", "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.col("fail_symbols") & ~F.col("fail_lines")

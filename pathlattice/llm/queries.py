@@ -104,7 +104,7 @@ def op3(spark, sf_dir):
 
 @register("op5_ngram_join")
 def op5(spark, sf_dir):
-    return ngram_join.groups(spark, table(spark, sf_dir, "documents")).drop("row")
+    return ngram_join.groups(spark, table(spark, sf_dir, "documents")).drop("tag")
 
 
 @register("op2_lm_score")
