@@ -88,3 +88,46 @@ def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) ->
 def put_together(parts: list[dict]) -> np.ndarray:
     """The sums of a chunk in the order of its keys."""
     return np.frombuffer(b"".join(p["sums"] for p in sorted(parts, key=lambda p: p["shard"])), np.int64)
+
+
+def shared_keys(spark: SparkSession, postings: DataFrame, n_keys: int) -> DataFrame:
+    """Postings of keys that several nodes can meet under: ``kind, key, node``.
+
+    ``postings (kinds, keys, nodes)``: packed i8 kinds (0 and 1 stand in a key's list, 2 asks for it), u64 keys and i64 nodes. A key's
+    postings come back if at least two nodes hold it and one of them stands in its list. One packed exchange; most keys of a text
+    corpus are held once and end here."""
+    n = partitions_for(spark, n_keys, KEYS_PER_SHARD)
+    bounds = shard_bounds(n)
+
+    def send(batches):
+        for batch in batches:
+            kinds, keys, nodes = (np.frombuffer(b"".join(batch.column(c).to_pylist()), t)
+                                  for c, t in (("kinds", np.int8), ("keys", U), ("nodes", np.int64)))
+            order = np.argsort(keys)
+            kinds, keys, nodes = kinds[order], keys[order], nodes[order]
+            cut = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
+            used = [i for i in range(n) if cut[i + 1] > cut[i]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), *(pa.array([a[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary())
+                                               for a in (kinds, keys, nodes))], names=["shard", "kinds", "keys", "nodes"])
+
+    sent = map_arrow(postings.select("kinds", "keys", "nodes"), send,
+                     "shard int, kinds binary, keys binary, nodes binary").repartition(n, "shard")
+
+    def meet(table: pa.Table) -> pa.Table:
+        kinds, keys, nodes = (np.frombuffer(b"".join(table.column(c).to_pylist()), t)
+                              for c, t in (("kinds", np.int8), ("keys", U), ("nodes", np.int64)))
+        held, _ = sums_of(keys, np.ones(len(keys), np.int64))
+        several = np.flatnonzero(held > 1)
+        kinds, keys, nodes = kinds[several], keys[several], nodes[several]
+        order = np.lexsort((nodes, keys))
+        kinds, keys, nodes = kinds[order], keys[order], nodes[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(keys)))
+        last = first + count - 1
+        ok = (nodes[first] != nodes[last]) & (np.minimum.reduceat(kinds, first) < 2) if len(keys) else np.zeros(0, bool)
+        take = np.repeat(ok, count)
+        return pa.table({"kind": pa.array(kinds[take]), "key": pa.array(keys[take].view(np.int64)),
+                         "node": pa.array(nodes[take])})
+
+    return sent.groupBy("shard").applyInArrow(meet, "kind byte, key bigint, node bigint")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
 from pathlattice.llm.common import free_name, map_arrow, partitions_for, small, stage
-from pathlattice.llm.counting import key_sums, put_together, shard_bounds, sums_of
+from pathlattice.llm.counting import key_sums, put_together, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
 
 U = np.uint64
@@ -275,7 +275,7 @@ def unpack(chunk) -> list[tuple[int, np.ndarray]]:
 
 
 def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int) -> DataFrame:
-    """``kind, key, node``: 0 the exact index, 1 the one-deletion index, 2 requests."""
+    """``kind, key, node`` of keys that several nodes hold: 0 the exact index, 1 the one-deletion index, 2 requests."""
     starts = band_starts(largest)
     sums, _ = key_sums(spark, chunks, n_keys, "shingle-sums")
 
@@ -289,12 +289,11 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
                         kinds.append(np.full(len(k), kind, np.int8))
                         out.append(k)
                         nodes.append(np.full(len(k), node, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(kinds)), pa.array(np.concatenate(out).view(np.int64)),
-                     pa.array(np.concatenate(nodes))], names=["kind", "key", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary())
+                                                  for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
     joined = chunks.join(sums, "chunk").select("nodes", "sizes", "shingles", "keys", "sums")
-    return map_arrow(joined, run, "kind byte, key bigint, node bigint")
+    return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
 
 
 def node_sets(chunks: DataFrame) -> DataFrame:
