@@ -26,6 +26,30 @@ def shard_bounds(n: int) -> np.ndarray:
     return np.array([(i << 64) // n for i in range(n)], dtype=U)
 
 
+def narrow(keys: np.ndarray, low: int, width: int) -> bytes:
+    """Keys of one shard in 6 bytes: their top 47 bits inside the shard and their lowest bit. Two keys of a shard fall
+    together with probability 2^-47, whatever the size of the corpus, as shards do not grow."""
+    shift = U(max(0, (width - 1).bit_length() - 48))
+    inside = ((keys - U(low)) >> shift) & ~U(1) | keys & U(1)
+    return np.ascontiguousarray(inside.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def widen(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(U).ravel()
+
+
+def planes(a: np.ndarray) -> bytes:
+    """Numbers by byte plane, so that their leading zero bytes compress to nothing."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes()
+
+
+def from_planes(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def sums_of(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every entry the sum of the weights of its key; and whether it is the key's first entry."""
     order = np.argsort(keys, kind="stable")
@@ -42,21 +66,22 @@ def sums_of(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) -> tuple[DataFrame, DataFrame]:
     """``chunks (chunk bigint, keys, weights)``: sorted distinct little-endian u64 keys and their u32 weights.
 
-    Returns ``chunk, sums`` (sums: parts ``(shard, packed i64 sums)`` that, put together by shard, are in the order of the
-    keys), and one row per shard: for the odd keys only, the number of those whose sum is not 0, and the total of their sums."""
+    Returns ``chunk, shard, sums`` (packed sums, in the order of the chunk's keys in that shard; see ``by_chunk`` and
+    ``put_together``), and one row per shard: for the odd keys only, the number of those whose sum is not 0, and the total of their sums."""
     n = partitions_for(spark, n_keys, KEYS_PER_SHARD)
     bounds = shard_bounds(n)
 
     def send(batches):
         for batch in batches:
             for chunk, keys, weights in zip(*(batch.column(c).to_pylist() for c in ("chunk", "keys", "weights"))):
-                k = np.frombuffer(keys, U)
+                k, w = np.frombuffer(keys, U), np.frombuffer(weights, np.uint32)
                 cut = np.append(np.searchsorted(k, bounds), len(k)).tolist()
                 used = [i for i in range(n) if cut[i + 1] > cut[i]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()),
-                     pa.array([keys[8 * cut[i]:8 * cut[i + 1]] for i in used], pa.binary()),
-                     pa.array([weights[4 * cut[i]:4 * cut[i + 1]] for i in used], pa.binary())],
+                     pa.array([narrow(k[cut[i]:cut[i + 1]], i * (1 << 64) // n, -(-(1 << 64) // n)) for i in used],
+                              pa.binary()),
+                     pa.array([planes(w[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
                     names=["shard", "chunk", "keys", "weights"])
 
     sent = map_arrow(chunks.select("chunk", "keys", "weights"), send,
@@ -64,30 +89,32 @@ def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) ->
 
     def add(table: pa.Table) -> pa.Table:
         parts = table.column("keys").to_pylist()
-        keys = np.frombuffer(b"".join(parts), U)
-        weights = np.frombuffer(b"".join(table.column("weights").to_pylist()), np.uint32).astype(np.int64)
-        sums, lead = sums_of(keys, weights)
-        cut = np.cumsum([0, *(len(p) for p in parts)])  # 8 bytes a key, 8 bytes a sum
-        raw = sums.tobytes()
+        keys = widen(b"".join(parts))
+        weights = np.concatenate([from_planes(w, np.uint32) for w in table.column("weights").to_pylist()])
+        sums, lead = sums_of(keys, weights.astype(np.int64))
+        cut = np.cumsum([0, *(len(p) // 6 for p in parts)])
         shard = table.column("shard")
         live = lead & (sums > 0) & (keys & U(1) == 1)
         return pa.table({
             "chunk": pa.concat_arrays([table.column("chunk").combine_chunks(), pa.array([None], pa.int64())]),
             "shard": pa.concat_arrays([shard.combine_chunks(), pa.array([shard[0].as_py()], pa.int32())]),
-            "sums": pa.array([*(raw[a:b] for a, b in zip(cut[:-1], cut[1:])), b""], pa.binary()),
+            "sums": pa.array([*(planes(sums[a:b]) for a, b in zip(cut[:-1], cut[1:])), b""], pa.binary()),
             "n_keys": pa.array([None] * len(parts) + [int(live.sum())], pa.int64()),
             "total": pa.array([None] * len(parts) + [int(sums[live].sum())], pa.int64())})
 
     done = stage(spark, sent.groupBy("shard").applyInArrow(
         add, "chunk bigint, shard int, sums binary, n_keys bigint, total bigint"), name)
-    parts = done.filter("chunk IS NOT NULL").groupBy("chunk").agg(
-        F.collect_list(F.struct("shard", "sums")).alias("sums"))  # together one sum per key of the chunk
-    return parts, done.filter("chunk IS NULL").select("shard", "n_keys", "total")
+    return done.filter("chunk IS NOT NULL"), done.filter("chunk IS NULL").select("shard", "n_keys", "total")
+
+
+def by_chunk(parts: DataFrame) -> DataFrame:
+    """``chunk, sums``: the parts of each chunk, together one sum per key."""
+    return parts.groupBy("chunk").agg(F.collect_list(F.struct("shard", "sums")).alias("sums"))
 
 
 def put_together(parts: list[dict]) -> np.ndarray:
     """The sums of a chunk in the order of its keys."""
-    return np.frombuffer(b"".join(p["sums"] for p in sorted(parts, key=lambda p: p["shard"])), np.int64)
+    return np.concatenate([from_planes(p["sums"], np.int64) for p in sorted(parts, key=lambda p: p["shard"])])
 
 
 def shared_keys(spark: SparkSession, postings: DataFrame, n_keys: int) -> DataFrame:

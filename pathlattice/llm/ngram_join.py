@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
 from pathlattice.llm.common import free_name, map_arrow, partitions_for, small, stage
-from pathlattice.llm.counting import key_sums, put_together, shard_bounds, shared_keys, sums_of
+from pathlattice.llm.counting import by_chunk, key_sums, put_together, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
 
 U = np.uint64
@@ -292,7 +292,7 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
                 yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary())
                                                   for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
-    joined = chunks.join(sums, "chunk").select("nodes", "sizes", "shingles", "keys", "sums")
+    joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "keys", "sums")
     return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
 
 
