@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
 from pathlattice.llm.common import fold, map_arrow, stage
-from pathlattice.llm.counting import key_sums, put_together
+from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together
 
 U = np.uint64
 ODD = U(1)
 END, START = U(0x3C6EF372FE94F82B) | ODD, U(0x1B873593CC9E2D51) | ODD
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_500_000
+SLICE_TOKENS = 400_000
 EM_FOLD = 1
 EM_ROUNDS = 60
 BUCKETS = 26
@@ -43,17 +44,10 @@ STEPS = 4      # histogram cells per factor of two
 LOWEST = 160   # cells of one estimate: down to 2^-40
 
 
-def planes(a: np.ndarray) -> bytes:
-    """u32 values by byte plane, which the table's compression packs well."""
-    return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 def token_chunks(docs: DataFrame) -> DataFrame:
-    """``chunk, em, ids, folds, lengths, words, codes``: texts as codes into the chunk's words (tokens with their end)."""
+    """``chunk, ids, folds, lengths, words, codes``: texts as codes into the chunk's words (tokens with their end).
+
+    Odd chunks hold the texts of the fold for the weights."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     class Open:
@@ -73,12 +67,12 @@ def token_chunks(docs: DataFrame) -> DataFrame:
             open_chunks[em] = Open()
             seq += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 33) + seq], pa.int64()), pa.array([em]),
+                [pa.array([((part << 32) + seq) * 2 + em], pa.int64()),
                  pa.ListArray.from_arrays(pa.array([0, len(c.lengths)], pa.int32()), pa.concat_arrays(c.ids)),
                  pa.array([np.concatenate(c.folds).tobytes()], pa.binary()),
                  pa.array([np.array(c.lengths, np.int64).tobytes()], pa.binary()),
-                 pa.array([words.astype(U).tobytes()], pa.binary()), pa.array([planes(codes)], pa.binary())],
-                names=["chunk", "em", "ids", "folds", "lengths", "words", "codes"])
+                 pa.array([words.astype(U).tobytes()], pa.binary()), pa.array([planes(codes.astype(np.uint32))], pa.binary())],
+                names=["chunk", "ids", "folds", "lengths", "words", "codes"])
 
         for batch in batches:
             for b in tv.blocks(batch.column("text"), lower=True):
@@ -107,7 +101,7 @@ def token_chunks(docs: DataFrame) -> DataFrame:
                 yield flush(em)
 
     texts = docs.select("doc_id", "text", F.coalesce(fold("doc_id", 10), F.lit(-1)).cast("int").alias("fold"))
-    return map_arrow(texts, run, f"chunk bigint, em boolean, ids array<{id_type}>, folds binary, lengths binary, "
+    return map_arrow(texts, run, f"chunk bigint, ids array<{id_type}>, folds binary, lengths binary, "
                                  "words binary, codes binary")
 
 
@@ -119,14 +113,13 @@ class Chunk:
         self.lengths = np.frombuffer(row["lengths"], np.int64)
         self.off = np.concatenate([[0], np.cumsum(self.lengths)])
         self.words = np.frombuffer(row["words"], U)
-        self.codes = from_planes(row["codes"])
-        token = self.words[self.codes]
-        context = np.empty_like(token)
-        context[1:] = token[:-1]
-        context[self.off[:-1]] = START
-        self.first = np.zeros(len(token), bool)
-        self.first[self.off[:-1]] = True
-        self.pair = tv.mix(context * U(3) + token) & ~ODD
+        self.codes = from_planes(row["codes"], np.uint32)
+        self.pair = np.empty(len(self.codes), U)
+        self.pair[1:] = self.words[self.codes[:-1]]  # contexts
+        self.pair[self.off[:-1]] = START
+        self.pair *= U(3)
+        self.pair += self.words[self.codes]
+        self.pair = tv.mix(self.pair) & ~ODD
         self.distinct_pairs = np.unique(self.pair)
         self.keys = np.sort(np.concatenate([self.words, self.distinct_pairs, np.array([START])]))
 
@@ -139,14 +132,22 @@ class Chunk:
         out[np.searchsorted(self.keys, START)] = (self.folds > 0).sum()
         return out
 
-    def counts(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Corpus counts of each token, its context, and their pair."""
-        own = sums[np.searchsorted(self.keys, self.words)][self.codes]
-        context = np.empty_like(own)
-        context[1:] = own[:-1]
-        context[self.first] = sums[np.searchsorted(self.keys, START)]
-        pairs = sums[np.searchsorted(self.keys, self.distinct_pairs)]
-        return own, context, pairs[np.searchsorted(self.distinct_pairs, self.pair)]
+    def slices(self, sums: np.ndarray):
+        """Per run of documents of about ``SLICE_TOKENS``: the documents, the tokens' range, and corpus counts of each token, its
+        context and their pair."""
+        of_word = sums[np.searchsorted(self.keys, self.words)]
+        of_pair = sums[np.searchsorted(self.keys, self.distinct_pairs)]
+        of_start = sums[np.searchsorted(self.keys, START)]
+        i, n = 0, len(self.lengths)
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(self.off, self.off[i] + SLICE_TOKENS, "right")) - 1)
+            a, b = int(self.off[i]), int(self.off[j])
+            own = of_word[self.codes[a:b]]
+            context = np.empty_like(own)
+            context[1:] = own[:-1]
+            context[self.off[i:j] - a] = of_start
+            yield i, j, a, b, own, context, of_pair[np.searchsorted(self.distinct_pairs, self.pair[a:b])]
+            i = j
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -177,19 +178,19 @@ def held_out_histogram(chunks: DataFrame, n_tokens: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 c = Chunk(row)
-                own, context, pair = c.counts(put_together(row["sums"]))
-                doc = np.repeat(np.arange(len(c.lengths)), c.lengths)
-                token = c.words[c.codes]
-                mine = own_counts(token, doc)
-                before = np.ones_like(mine)
-                before[1:] = mine[:-1]
-                before[c.first] = 1
-                own, pair, context = own - mine, pair - own_counts(c.pair, doc), context - before
-                rest = n_tokens - np.repeat(c.lengths, c.lengths)
-                code = (bucket(context) * LOWEST + cell(pair / np.maximum(context, 1))) * LOWEST \
-                    + cell(own / np.maximum(rest, 1))
-                value, n = np.unique(code, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(n)], names=["cell", "n"])
+                for i, j, a, b, own, context, pair in c.slices(put_together(row["sums"])):
+                    n = c.lengths[i:j]
+                    doc = np.repeat(np.arange(j - i), n)
+                    mine = own_counts(c.words[c.codes[a:b]], doc)
+                    before = np.ones_like(mine)
+                    before[1:] = mine[:-1]
+                    before[c.off[i:j] - a] = 1
+                    own, pair, context = own - mine, pair - own_counts(c.pair[a:b], doc), context - before
+                    rest = n_tokens - np.repeat(n, n)
+                    code = (bucket(context) * LOWEST + cell(pair / np.maximum(context, 1))) * LOWEST \
+                        + cell(own / np.maximum(rest, 1))
+                    value, count = np.unique(code, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], names=["cell", "n"])
 
     return map_arrow(chunks, run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
@@ -237,7 +238,8 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n_train, v = (known["n"] or 0) - trained, (known["v"] or 0) - (1 if trained else 0)
     uniform = 1 / (v + 1)
 
-    held = held_out_histogram(chunks.filter("em").select(*packed).join(sums, "chunk"), n_train).toPandas()
+    held = held_out_histogram(chunks.filter("chunk % 2 = 1").select(*packed).join(
+        by_chunk(sums.filter("chunk % 2 = 1")), "chunk"), n_train).toPandas()
     weights = learn_weights(held["cell"].to_numpy(np.int64), held["n"].to_numpy(np.float64), uniform)
 
     def run(batches):
@@ -245,17 +247,17 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
             ids = batch.column("ids")
             for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
                 c = Chunk(row)
-                own, context, pair = c.counts(put_together(row["sums"]))
-                w = weights[bucket(context)]
-                p = w[:, 0] * (pair / np.maximum(context, 1)) + w[:, 1] * (own / max(n_train, 1)) + w[:, 2] * uniform
-                base = np.log10((own + 0.1) / (n_train + 0.1 * (v + 1)))
-                k = len(c.lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[i].values, pa.array(c.folds == 0), pa.array(c.lengths),
-                     pa.array(tv.sums_by((own > 0).astype(np.int64), c.off)), pa.array([n_train] * k, pa.int64()),
-                     pa.array(tv.sums_by(base, c.off)), pa.array(tv.sums_by(np.log10(p), c.off))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return map_arrow(chunks.select("ids", *packed).join(sums, "chunk"), run,
+                for lo, hi, a, b, own, context, pair in c.slices(put_together(row["sums"])):
+                    w = weights[bucket(context)]
+                    p = w[:, 0] * (pair / np.maximum(context, 1)) + w[:, 1] * (own / max(n_train, 1)) + w[:, 2] * uniform
+                    base = np.log10((own + 0.1) / (n_train + 0.1 * (v + 1)))
+                    off = c.off[lo:hi + 1] - a
+                    yield pa.RecordBatch.from_arrays(
+                        [ids[i].values.slice(lo, hi - lo), pa.array(c.folds[lo:hi] == 0), pa.array(c.lengths[lo:hi]),
+                         pa.array(tv.sums_by((own > 0).astype(np.int64), off)), pa.array([n_train] * (hi - lo), pa.int64()),
+                         pa.array(tv.sums_by(base, off)), pa.array(tv.sums_by(np.log10(p), off))],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return map_arrow(chunks.select("ids", *packed).join(by_chunk(sums), "chunk"), run,
                      f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                      "base_score double, score double")
