@@ -13,7 +13,7 @@ import pathlattice
 from pathlattice.session import scratch_path
 
 # A side may be broadcast only when its counted rows times their width stay below this.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

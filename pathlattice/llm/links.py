@@ -12,46 +12,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm.common import components, small, stage
 
 
 def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None,
-                  verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None) -> DataFrame:
+                  verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None,
+                  close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``node, component`` of all nodes with a link; ``component`` is the smallest node of the group.
 
     ``index (key, node)``: the postings. ``probe``: the ``(key, node)`` requests of all nodes; whichever end of a link
     asks, it must have a request for a key under which the other end stands. Without it, the postings are the requests.
-    ``wider``: more postings that only answer requests. ``verify``: the linked pairs among ``(a, b)``."""
+    ``wider``: more postings that only answer requests. ``close``: a cheap necessary condition on the ``mark`` column that the
+    postings then carry; pairs that fail it are never sent on. ``verify``: the linked pairs among ``(a, b)``."""
+    if close is None:
+        index = index.withColumn("mark", F.lit(None).cast("bigint"))
+    near = close or (lambda x, y: F.lit(True))
     sizes = stage(spark, index.groupBy("key").agg(F.count(F.lit(1)).alias("len")).filter("len > 1"), f"{name}-lists")
-    runs = stage(spark, index.join(small(sizes, sizes.count(), 32), "key").select("key", "node", "len"), f"{name}-runs")
+    runs = stage(spark, index.join(small(sizes, sizes.count(), 32), "key").select("key", "node", "mark", "len"),
+                 f"{name}-runs")
     degree = runs.groupBy("node").agg(F.sum(F.col("len") - 1).alias("degree"))
     # degree first, then the smaller node, as one sortable pair of numbers
-    ranked = runs.join(degree, "node").select("key", "node", F.struct(
-        F.col("degree"), (-F.col("node")).alias("low")).alias("rank"))
-    leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select("key", (-F.col("rank.low")).alias("leader"))
-    star = runs.join(leaders, "key").filter("node <> leader").select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    edges = stage(spark, verify(stage(spark, star, f"{name}-star")).select("a", "b"), f"{name}-edges")
+    ranked = runs.join(degree, "node").select("key", F.struct(
+        F.col("degree"), (-F.col("node")).alias("low"), "mark").alias("rank"))
+    leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select(
+        "key", (-F.col("rank.low")).alias("leader"), F.col("rank.mark").alias("leader_mark"))
+    star = runs.join(leaders, "key").filter((F.col("node") != F.col("leader")) & near(F.col("mark"), F.col("leader_mark"))) \
+        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    star = stage(spark, star, f"{name}-star")
+    edges = stage(spark, verify(star).select("a", "b"), f"{name}-edges")
 
     found = components(spark, edges)
     found = stage(spark, found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"),
                   f"{name}-found")
     def place(postings):
         return postings.join(found, "node", "left").select(
-            "key", "node", F.struct(F.coalesce("size", F.lit(1)).alias("size"),
-                                    F.coalesce("component", "node").alias("component")).alias("place"))
+            "key", "node", "mark", F.struct(F.coalesce("size", F.lit(1)).alias("size"),
+                                            F.coalesce("component", "node").alias("component")).alias("place"))
 
     # without requests of their own, nodes alone in their lists cannot meet anyone
-    answering = runs.select("key", "node") if probe is None else index if wider is None else index.unionByName(wider)
+    def marked(postings):
+        return postings if "mark" in postings.columns else postings.withColumn("mark", F.lit(None).cast("bigint"))
+
+    answering = runs.select("key", "node", "mark") if probe is None else \
+        index if wider is None else index.unionByName(marked(wider))
     placed = stage(spark, place(answering), f"{name}-placed")
     tops = placed.groupBy("key").agg(F.max("place").alias("top"))
-    asked = placed if probe is None else place(probe)
-    asking = asked.join(tops, "key").filter("place < top").select("key", F.col("node").alias("x"),
-                                                                  F.col("place").alias("own"))
-    pairs = asking.join(placed, "key").filter("own < place").select(
+    asked = placed if probe is None else place(marked(probe))
+    asking = asked.join(tops, "key").filter("place < top").select("key", F.col("node").alias("x"), F.col("place").alias("own"),
+                                                                  F.col("mark").alias("own_mark"))
+    pairs = asking.join(placed, "key").filter((F.col("own") < F.col("place")) & near(F.col("own_mark"), F.col("mark"))).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     rest = pairs.join(star, ["a", "b"], "left_anti")
     more = stage(spark, verify(stage(spark, rest, f"{name}-rest")).select("a", "b"), f"{name}-edges")

@@ -124,16 +124,22 @@ def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False, lo: int =
     return Block(data, offsets, start, end, np.searchsorted(start, offsets), prefix_sums(data), lo)
 
 
-def blocks(col, lower: bool = False, limit: int = BLOCK_BYTES, space=SPACE):
-    """Consecutive blocks of an Arrow string column; ``space`` marks the bytes between words."""
+def pieces(col, limit: int = BLOCK_BYTES):
+    """Consecutive runs of texts of an Arrow string column: bytes, offsets, first row."""
     data, off = buffers(col)
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
-        yield parse(data[off[i]:off[j]], off[i:j + 1] - off[i], lower, i, space)
+        yield data[off[i]:off[j]], off[i:j + 1] - off[i], i
         i = j
 
 
+def blocks(col, lower: bool = False, limit: int = BLOCK_BYTES, space=SPACE):
+    """Consecutive blocks of an Arrow string column; ``space`` marks the bytes between words."""
+    for data, off, lo in pieces(col, limit):
+        yield parse(data, off, lower, lo, space)
+
+
 def sums_by(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of ``values[off[i]:off[i+1]]`` (rows of a matrix or scalars); an empty range sums to 0."""
     if len(off) == 1:
