@@ -50,6 +50,22 @@ def from_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def pack_sums(a: np.ndarray) -> bytes:
+    kind = np.uint32 if not len(a) or a.max() < 1 << 32 else np.int64
+    return bytes([np.dtype(kind).itemsize]) + planes(a.astype(kind))
+
+
+def unpack_sums(raw: bytes) -> np.ndarray:
+    return from_planes(raw[1:], np.uint32 if raw[0] == 4 else np.int64).astype(np.int64)
+
+
+def rows_of(batches, columns: list[str]):
+    """One row at a time of batches whose rows are large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(c)[i].as_py() for c in columns}
+
+
 def sums_of(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every entry the sum of the weights of its key; and whether it is the key's first entry."""
     order = np.argsort(keys, kind="stable")
@@ -98,7 +114,7 @@ def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) ->
         return pa.table({
             "chunk": pa.concat_arrays([table.column("chunk").combine_chunks(), pa.array([None], pa.int64())]),
             "shard": pa.concat_arrays([shard.combine_chunks(), pa.array([shard[0].as_py()], pa.int32())]),
-            "sums": pa.array([*(planes(sums[a:b]) for a, b in zip(cut[:-1], cut[1:])), b""], pa.binary()),
+            "sums": pa.array([*(pack_sums(sums[a:b]) for a, b in zip(cut[:-1], cut[1:])), b""], pa.binary()),
             "n_keys": pa.array([None] * len(parts) + [int(live.sum())], pa.int64()),
             "total": pa.array([None] * len(parts) + [int(sums[live].sum())], pa.int64())})
 
@@ -114,7 +130,7 @@ def by_chunk(parts: DataFrame) -> DataFrame:
 
 def put_together(parts: list[dict]) -> np.ndarray:
     """The sums of a chunk in the order of its keys."""
-    return np.concatenate([from_planes(p["sums"], np.int64) for p in sorted(parts, key=lambda p: p["shard"])])
+    return np.concatenate([unpack_sums(p["sums"]) for p in sorted(parts, key=lambda p: p["shard"])])
 
 
 def shared_keys(spark: SparkSession, postings: DataFrame, n_keys: int) -> DataFrame:

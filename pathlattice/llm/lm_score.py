@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
 from pathlattice.llm.common import fold, map_arrow, stage
-from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together
+from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together, rows_of
 
 U = np.uint64
 ODD = U(1)
 END, START = U(0x3C6EF372FE94F82B) | ODD, U(0x1B873593CC9E2D51) | ODD
-CHUNK_TOKENS = 2_500_000
-SLICE_TOKENS = 400_000
+CHUNK_TOKENS = 1_000_000
+SLICE_TOKENS = 250_000
+PACKED = ["chunk", "folds", "lengths", "words", "codes"]
 EM_FOLD = 1
 EM_ROUNDS = 60
 BUCKETS = 26
@@ -175,22 +176,21 @@ def own_counts(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
 def held_out_histogram(chunks: DataFrame, n_tokens: int) -> DataFrame:
     """``cell, n`` over all tokens of the fold for the weights, each text's own counts deleted."""
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                for i, j, a, b, own, context, pair in c.slices(put_together(row["sums"])):
-                    n = c.lengths[i:j]
-                    doc = np.repeat(np.arange(j - i), n)
-                    mine = own_counts(c.words[c.codes[a:b]], doc)
-                    before = np.ones_like(mine)
-                    before[1:] = mine[:-1]
-                    before[c.off[i:j] - a] = 1
-                    own, pair, context = own - mine, pair - own_counts(c.pair[a:b], doc), context - before
-                    rest = n_tokens - np.repeat(n, n)
-                    code = (bucket(context) * LOWEST + cell(pair / np.maximum(context, 1))) * LOWEST \
-                        + cell(own / np.maximum(rest, 1))
-                    value, count = np.unique(code, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], names=["cell", "n"])
+        for row in rows_of(batches, [*PACKED, "sums"]):
+            c = Chunk(row)
+            for i, j, a, b, own, context, pair in c.slices(put_together(row["sums"])):
+                n = c.lengths[i:j]
+                doc = np.repeat(np.arange(j - i), n)
+                mine = own_counts(c.words[c.codes[a:b]], doc)
+                before = np.ones_like(mine)
+                before[1:] = mine[:-1]
+                before[c.off[i:j] - a] = 1
+                own, pair, context = own - mine, pair - own_counts(c.pair[a:b], doc), context - before
+                rest = n_tokens - np.repeat(n, n)
+                code = (bucket(context) * LOWEST + cell(pair / np.maximum(context, 1))) * LOWEST \
+                    + cell(own / np.maximum(rest, 1))
+                value, count = np.unique(code, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], names=["cell", "n"])
 
     return map_arrow(chunks, run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
@@ -217,16 +217,14 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     chunks = stage(spark, token_chunks(docs), "lm-chunks")
 
     def keys(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["chunk"]], pa.int64()), pa.array([c.keys.tobytes()], pa.binary()),
-                     pa.array([c.training_weights().tobytes()], pa.binary())], names=["chunk", "keys", "weights"])
+        for row in rows_of(batches, PACKED):
+            c = Chunk(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["chunk"]], pa.int64()), pa.array([c.keys.tobytes()], pa.binary()),
+                 pa.array([c.training_weights().tobytes()], pa.binary())], names=["chunk", "keys", "weights"])
 
     n_keys = chunks.agg(F.sum(F.octet_length("codes"))).first()[0] or 0
-    packed = ["chunk", "folds", "lengths", "words", "codes"]
-    sums, totals = key_sums(spark, map_arrow(chunks.select(*packed), keys, "chunk bigint, keys binary, weights binary"),
+    sums, totals = key_sums(spark, map_arrow(chunks.select(*PACKED), keys, "chunk bigint, keys binary, weights binary"),
                             n_keys // 5, "lm-sums")
     known = totals.agg(F.sum("n_keys").alias("v"), F.sum("total").alias("n")).first()
     starts = chunks.select("folds")
@@ -238,14 +236,14 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n_train, v = (known["n"] or 0) - trained, (known["v"] or 0) - (1 if trained else 0)
     uniform = 1 / (v + 1)
 
-    held = held_out_histogram(chunks.filter("chunk % 2 = 1").select(*packed).join(
+    held = held_out_histogram(chunks.filter("chunk % 2 = 1").select(*PACKED).join(
         by_chunk(sums.filter("chunk % 2 = 1")), "chunk"), n_train).toPandas()
     weights = learn_weights(held["cell"].to_numpy(np.int64), held["n"].to_numpy(np.float64), uniform)
 
     def run(batches):
         for batch in batches:
             ids = batch.column("ids")
-            for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
+            for i, row in enumerate(rows_of([batch], [*PACKED, "sums"])):
                 c = Chunk(row)
                 for lo, hi, a, b, own, context, pair in c.slices(put_together(row["sums"])):
                     w = weights[bucket(context)]
@@ -258,6 +256,6 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                          pa.array(tv.sums_by(base, off)), pa.array(tv.sums_by(np.log10(p), off))],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return map_arrow(chunks.select("ids", *packed).join(by_chunk(sums), "chunk"), run,
+    return map_arrow(chunks.select("ids", *PACKED).join(by_chunk(sums), "chunk"), run,
                      f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                      "base_score double, score double")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
 from pathlattice.llm.common import free_name, map_arrow, partitions_for, small, stage
-from pathlattice.llm.counting import by_chunk, key_sums, put_together, shard_bounds, shared_keys, sums_of
+from pathlattice.llm.counting import by_chunk, key_sums, put_together, rows_of, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
 
 U = np.uint64
@@ -280,17 +280,16 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
     sums, _ = key_sums(spark, chunks, n_keys, "shingle-sums")
 
     def run(batches):
-        for batch in batches:
-            for chunk in batch.to_pylist():
-                keys, df = np.frombuffer(chunk["keys"], U), put_together(chunk["sums"])
-                kinds, out, nodes = [], [], []
-                for node, s in unpack(chunk):
-                    for kind, k in enumerate(postings_of(s, df[np.searchsorted(keys, s)], starts)):
-                        kinds.append(np.full(len(k), kind, np.int8))
-                        out.append(k)
-                        nodes.append(np.full(len(k), node, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary())
-                                                  for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
+        for chunk in rows_of(batches, ["nodes", "sizes", "shingles", "keys", "sums"]):
+            keys, df = np.frombuffer(chunk["keys"], U), put_together(chunk["sums"])
+            kinds, out, nodes = [], [], []
+            for node, s in unpack(chunk):
+                for kind, k in enumerate(postings_of(s, df[np.searchsorted(keys, s)], starts)):
+                    kinds.append(np.full(len(k), kind, np.int8))
+                    out.append(k)
+                    nodes.append(np.full(len(k), node, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary())
+                                              for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
     joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "keys", "sums")
     return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
@@ -298,12 +297,11 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
 
 def node_sets(chunks: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            for chunk in batch.to_pylist():
-                rows = unpack(chunk)
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()),
-                                                  pa.array([s.tobytes() for _, s in rows], pa.binary())],
-                                                 names=["node", "shingles"])
+        for chunk in rows_of(batches, ["nodes", "sizes", "shingles"]):
+            rows = unpack(chunk)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()),
+                                              pa.array([s.tobytes() for _, s in rows], pa.binary())],
+                                             names=["node", "shingles"])
 
     return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
 
