@@ -28,6 +28,13 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that no later step reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the executors once per application, as ``--py-files`` would."""
     sc = spark.sparkContext

@@ -1,8 +1,8 @@
 """Connected groups under an exact link test, without making all pairs of a large group.
 
 Given postings ``(key, node)`` such that every linked pair shares a key, the groups are found in two steps. First, in each
-key's list only pairs with one leader are tested: the node that shares most list entries over all keys, which in a
-group of copies is the text they were made from. Connected components of these links settle most of a large group with as many
+key's list the node that shares most list entries over all keys leads (in a group of copies that is the text they were
+made from), and each node is tested with the highest leader of its lists. Connected components of these links settle most of a large group with as many
 tests as it has members. Second, whatever the first step left apart is tested in full: in each list, every node of a
 component is paired with the nodes of larger components (size, then id, breaks ties), so each pair in one list but in two
 components is tested exactly once, and no pair inside a component is. The result is that of testing all pairs.
@@ -38,8 +38,11 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     ranked = runs.join(degree, "node").select("key", F.struct(
         F.col("degree"), (-F.col("node")).alias("low"), "mark").alias("rank"))
     leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select(
-        "key", (-F.col("rank.low")).alias("leader"), F.col("rank.mark").alias("leader_mark"))
+        "key", "rank.degree", (-F.col("rank.low")).alias("leader"), F.col("rank.mark").alias("leader_mark"))
+    # of the leaders of its lists a node is tested with the highest only; what that leaves apart is the second step's
     star = runs.join(leaders, "key").filter((F.col("node") != F.col("leader")) & near(F.col("mark"), F.col("leader_mark"))) \
+        .groupBy("node").agg(F.max(F.struct("degree", (-F.col("leader")).alias("low"))).alias("best")) \
+        .select("node", (-F.col("best.low")).alias("leader")) \
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     star = stage(spark, star, f"{name}-star")
     edges = stage(spark, verify(star).select("a", "b"), f"{name}-edges")

@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import free_name, map_arrow, partitions_for, small, stage
-from pathlattice.llm.counting import by_chunk, key_sums, put_together, rows_of, shard_bounds, shared_keys, sums_of
+from pathlattice.llm.common import drop_folder, free_name, map_arrow, partitions_for, small, stage
+from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together, rows_of, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
+from pathlattice.session import scratch_path
 
 U = np.uint64
 WORDS = 5
@@ -98,7 +99,7 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
                 [null, null, pa.nulls(len(used), id_kind), null, null, null, pa.array(used, pa.int32()),
                  pa.array([first_row] * len(used), pa.int64()),
                  pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary()),
-                 pa.array([o[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary())],
+                 pa.array([planes(o[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
                 names=["row", "tag", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
 
         for batch in batches:
@@ -129,14 +130,14 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
 
 def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
     """``row, shared``: rows with shingles of their prefix that other documents have in theirs."""
-    sent = scanned.filter("shard IS NOT NULL").select("shard", "first_row", "keys", "owners").repartition(shards, "shard")
+    sent = scanned.filter("kind = 'prefixes'").select("shard", "first_row", "keys", "owners").repartition(shards, "shard")
 
     def count(table: pa.Table) -> pa.Table:
         parts = table.column("keys").to_pylist()
         sums, _ = sums_of(np.frombuffer(b"".join(parts), np.uint32), np.ones(sum(map(len, parts)) // 4, np.int64))
         first, owners, shared, a = [], [], [], 0
         for chunk, own in zip(table.column("first_row").to_pylist(), table.column("owners").to_pylist()):
-            o = np.frombuffer(own, np.uint32)
+            o = from_planes(own, np.uint32)
             n = np.bincount(o[sums[a:a + len(o)] > 1])
             a += len(o)
             full = np.flatnonzero(n)
@@ -159,7 +160,7 @@ def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
 
 
 def chunked_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
-    """``chunk, nodes, sizes, shingles, keys, weights``: the sets of ``nodes (node, doc_id, s1, s2)``, packed by chunk."""
+    """``chunk, nodes, sizes, shingles``: the sets of ``nodes (node, doc_id, s1, s2)``, packed by chunk."""
     side = nodes.select("node", F.col("doc_id").alias("_id"), "s1", "s2")
     joined = docs.select("doc_id", "text").join(small(side, n_nodes, 64), F.col("doc_id") == F.col("_id"))
 
@@ -168,14 +169,11 @@ def chunked_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
         ids, sets, held = [], [], 0
 
         def flush():
-            flat = np.concatenate(sets)
-            keys, weights = np.unique(flat, return_counts=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 33) + seq], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
                  pa.array([np.array([len(s) for s in sets], np.int64).tobytes()], pa.binary()),
-                 pa.array([flat.tobytes()], pa.binary()), pa.array([keys.tobytes()], pa.binary()),
-                 pa.array([weights.astype(np.uint32).tobytes()], pa.binary())],
-                names=["chunk", "nodes", "sizes", "shingles", "keys", "weights"])
+                 pa.array([np.concatenate(sets).tobytes()], pa.binary())],
+                names=["chunk", "nodes", "sizes", "shingles"])
 
         for batch in batches:
             node, s1, s2 = (batch.column(c).to_pylist() for c in ("node", "s1", "s2"))
@@ -192,7 +190,7 @@ def chunked_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
             yield flush()
 
     return map_arrow(joined.select("text", "node", "s1", "s2"), run,
-                     "chunk bigint, nodes binary, sizes binary, shingles binary, keys binary, weights binary")
+                     "chunk bigint, nodes binary, sizes binary, shingles binary")
 
 
 def segments(s: np.ndarray, df: np.ndarray, m: int, salt: int):
@@ -277,11 +275,20 @@ def unpack(chunk) -> list[tuple[int, np.ndarray]]:
 def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int) -> DataFrame:
     """``kind, key, node`` of keys that several nodes hold: 0 the exact index, 1 the one-deletion index, 2 requests."""
     starts = band_starts(largest)
-    sums, _ = key_sums(spark, chunks, n_keys, "shingle-sums")
+
+    def distinct(batches):
+        for chunk in rows_of(batches, ["chunk", "shingles"]):
+            keys, weights = np.unique(np.frombuffer(chunk["shingles"], U), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk["chunk"]], pa.int64()), pa.array([keys.tobytes()], pa.binary()),
+                 pa.array([weights.astype(np.uint32).tobytes()], pa.binary())], names=["chunk", "keys", "weights"])
+
+    sums, _ = key_sums(spark, map_arrow(chunks.select("chunk", "shingles"), distinct,
+                                        "chunk bigint, keys binary, weights binary"), n_keys, "shingle-sums")
 
     def run(batches):
-        for chunk in rows_of(batches, ["nodes", "sizes", "shingles", "keys", "sums"]):
-            keys, df = np.frombuffer(chunk["keys"], U), put_together(chunk["sums"])
+        for chunk in rows_of(batches, ["nodes", "sizes", "shingles", "sums"]):
+            keys, df = np.unique(np.frombuffer(chunk["shingles"], U)), put_together(chunk["sums"])
             kinds, out, nodes = [], [], []
             for node, s in unpack(chunk):
                 for kind, k in enumerate(postings_of(s, df[np.searchsorted(keys, s)], starts)):
@@ -291,7 +298,7 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary())
                                               for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
-    joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "keys", "sums")
+    joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "sums")
     return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
 
 
@@ -311,8 +318,12 @@ def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> Data
     docs = docs.select("doc_id", "text", (F.col(tag) if tag else F.lit(None)).cast("bigint").alias("tag"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = partitions_for(spark, size // 12, PREFIX_PER_SHARD)  # prefixes are 3/8 of the words
-    scanned = stage(spark, scan(docs, shards), "shingle-scan")
-    rows = scanned.filter("shard IS NULL").select("row", "tag", "doc_id", "n", "s1", "s2")
+    # two folders: the prefixes are dropped when the nodes are known
+    path = scratch_path(spark, "shingle-scan")
+    both = scan(docs, shards).withColumn("kind", F.when(F.col("shard").isNull(), "rows").otherwise("prefixes"))
+    both.write.partitionBy("kind").parquet(path)
+    scanned = spark.read.schema(both.schema).parquet(path)
+    rows = scanned.filter("kind = 'rows'").select("row", "tag", "doc_id", "n", "s1", "s2")
     able = rows.filter("doc_id IS NOT NULL AND n > 0")
     classes = stage(spark, able.groupBy("n", "s1", "s2").agg(F.min(F.struct("row", "doc_id")).alias("of"),
                                                              F.min("doc_id").alias("least")), "shingle-classes")
@@ -322,9 +333,14 @@ def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> Data
     nodes = classes.join(shared, F.col("of.row") == F.col("row")).filter(F.col("shared") >= need).select(
         F.col("row").alias("node"), "of.doc_id", "n", "s1", "s2")
     nodes = stage(spark, nodes, "shingle-nodes")
+    drop_folder(spark, f"{path}/kind=prefixes")
+    columns = rows.columns
+    rows = spark.read.schema(both.schema).parquet(path).filter("kind = 'rows'").select(*columns)  # listed anew
     stats = nodes.agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("keys"), F.max("n").alias("largest")).first()
     chunks = stage(spark, chunked_sets(docs, nodes, stats["nodes"]), "shingle-sets")
-    posts = stage(spark, postings(spark, chunks, stats["keys"] or 0, stats["largest"] or 1), "shingle-postings")
+    posts = postings(spark, chunks, stats["keys"] or 0, stats["largest"] or 1)
+    posts = stage(spark, posts.join(small(nodes.select("node", F.col("n").alias("mark")), stats["nodes"], 32), "node"),
+                  "shingle-postings")
 
     def verify(pairs: DataFrame) -> DataFrame:
         sets = node_sets(chunks)
@@ -342,9 +358,9 @@ def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> Data
 
         return map_arrow(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
-    found = linked_groups(spark, posts.filter("kind = 0").select("key", "node"),
-                          posts.filter("kind = 2").select("key", "node"), verify, "shingle",
-                          posts.filter("kind = 1").select("key", "node"))
+    found = linked_groups(spark, *(posts.filter(f"kind = {k}").select("key", "node", "mark") for k in (0, 2)),
+                          verify, "shingle", posts.filter("kind = 1").select("key", "node", "mark"),
+                          lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y))
     named = classes.join(found, F.col("of.row") == found.node, "left").withColumn(
         "component", F.coalesce("component", "of.row"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
