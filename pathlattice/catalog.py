@@ -123,7 +123,7 @@ def _event_ksp_ctes(edges_cte: list[str], edges: str) -> list[str]:
 
 def _trips_from_csv(spark, sf_dir) -> DataFrame:
     path = td.write_trips_csv(spark, sf_dir, scratch_path(spark, "trips-csv"))
-    return TR.read_trips(spark, path)
+    return TR.read_trips(spark, path, "trip_id")
 
 
 def _documents(spark, sf_dir) -> DataFrame:
@@ -179,7 +179,7 @@ def q_trips_row_cap(spark, sf_dir):
   FROM trip_rows"""))
 def q_trips_normalize(spark, sf_dir):
     path = td.write_trips_csv(spark, sf_dir, scratch_path(spark, "trips-csv"))
-    return TR.normalize_trips(TR.read_trips_raw(spark, path))
+    return TR.normalize_trips(TR.read_trips_raw(spark, path, "trip_id"), "trip_id")
 
 
 @register("station_nodes", W(BASE + [TRIPS_OK, STATIONS], "SELECT id, lat, lon FROM stations"))
@@ -240,7 +240,7 @@ def q_snapshot_tolerant_read(spark, sf_dir):
 
 @register("edge_flatten", W(DOCS, """
 SELECT CAST(t.src AS VARCHAR) AS src, s.lon AS src_lon, s.lat AS src_lat, CAST(t.dst AS VARCHAR) AS dst,
-       t.dst_lon, t.dst_lat, t.weight
+       t.dst_lon, t.dst_lat, t.weight, row_number() OVER (PARTITION BY t.src ORDER BY t.trip_id) - 1 AS pos
 FROM trips_ok t JOIN stations s ON s.id = t.src"""))
 def q_edge_flatten(spark, sf_dir):
     return G.edge_flatten(_documents(spark, sf_dir))
@@ -325,13 +325,11 @@ PARSED_SELECT = """SELECT seq, src, weight, dst, src_lon, src_lat, dst_lon, dst_
 
 
 @register("edge_message_format", W(BASE, """
-SELECT seq, concat_ws(' ', src, weight, dst, src_lon, src_lat, dst_lon, dst_lat) AS key,
+SELECT seq, concat_ws('-', src, dst) AS key,
        concat_ws(' ', src, weight, dst, src_lon, src_lat, dst_lon, dst_lat) AS value FROM trip_rows"""))
 def q_edge_message_format(spark, sf_dir):
-    from pathlattice.functions.messages import format_edge
-    t = td.trip_rows(spark, sf_dir)
-    v = format_edge()
-    return t.select("seq", v.alias("key"), v.alias("value"))
+    from pathlattice.functions.messages import edge_message_rows
+    return edge_message_rows(td.trip_rows(spark, sf_dir), keep=("seq",))
 
 
 @register("edge_message_parse", W(BASE + [EDGE_MSG, PARSED], PARSED_SELECT.format(extra="")))
@@ -403,25 +401,26 @@ TOPICS = """topic_msgs AS (
   SELECT 'new_edges' AS topic, CAST(src % 4 AS INTEGER) AS partition, seq AS "offset",
          concat_ws(' ', src, weight, dst, src_lon, src_lat, dst_lon, dst_lat) AS value FROM trip_rows
   UNION ALL
-  SELECT 'result', 0, seq, concat_ws(' ', weight, src, weight, dst) FROM trip_rows WHERE kind = 'view')"""
+  SELECT 'result', CAST(seq % 3 AS INTEGER), seq // 3, concat_ws(' ', weight, src, weight, dst) FROM trip_rows WHERE kind = 'view'),
+last_view AS (SELECT arg_max(concat_ws(' ', weight, src, weight, dst), seq) AS value FROM trip_rows WHERE kind = 'view')"""
 
 
 def _topic_messages(spark, sf_dir):
     from pathlattice.functions.messages import format_edge
     t = td.trip_rows(spark, sf_dir)
+    message_time = F.timestamp_millis("seq").alias("timestamp")  # results come in over three partitions, in time order
     edges = t.select(F.lit("new_edges").alias("topic"), F.pmod("src", F.lit(4)).cast("int").alias("partition"),
-                     F.col("seq").alias("offset"), format_edge().alias("value"))
+                     F.col("seq").alias("offset"), format_edge().alias("value"), message_time)
     res = t.filter(F.col("kind") == "view").select(
-        F.lit("result").alias("topic"), F.lit(0).alias("partition"), F.col("seq").alias("offset"),
-        F.concat_ws(" ", "weight", "src", "weight", "dst").alias("value"))
+        F.lit("result").alias("topic"), F.pmod("seq", F.lit(3)).cast("int").alias("partition"),
+        F.floor(F.col("seq") / 3).alias("offset"), F.concat_ws(" ", "weight", "src", "weight", "dst").alias("value"), message_time)
     return edges.unionByName(res)
 
 
 @register("topic_demux", W(BASE + [TOPICS], """
 SELECT 'edge' AS kind, partition, "offset", value FROM topic_msgs WHERE topic = 'new_edges'
 UNION ALL
-SELECT 'last_result', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), arg_max(value, "offset") FROM topic_msgs
-WHERE topic = 'result'"""))
+SELECT 'last_result', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), value FROM last_view"""))
 def q_topic_demux(spark, sf_dir):
     edges, last = ST.demux(_topic_messages(spark, sf_dir))
     return edges.select(F.lit("edge").alias("kind"), "partition", "offset", "value").unionByName(
@@ -669,7 +668,7 @@ def _speed_layer(spark, sf_dir):
     stream = _edge_message_stream(spark, sf_dir, "speed", rows=t.filter(F.col("seq") > cut), malformed=None)
     J.run(J.reweight_stream(stream, cands_base, scratch_path(spark, "speed-updates"), emit,
                             scratch_path(spark, "speed-ck")))
-    return cands_base, emit
+    return f"{cands_base}-weighted", emit
 
 
 @register("stream_reweight_paths", W(RW, "SELECT query_id, total, line FROM rw_paths"))
@@ -716,7 +715,13 @@ SELECT m.client, m.seq FROM qmsg m WHERE m.seq < (SELECT max(seq) FROM qmsg x WH
 def q_superseded_queries(spark, sf_dir):
     msgs = _query_msgs(spark, sf_dir)
     newest = msgs.groupBy("client").agg(F.max("seq").alias("newest"))
-    return msgs.join(newest, "client").filter(F.col("seq") < F.col("newest")).select("client", "seq")
+    path = scratch_path(spark, "query-status")
+    msgs.join(newest, "client").select(F.col("seq").alias("query_id"), (F.col("seq") < F.col("newest")).alias("superseded")) \
+        .write.parquet(path)
+    # the search's hook between rounds: what it takes out of a state that holds every query
+    state = msgs.select(F.col("seq").alias("query_id"), "client", "seq")
+    kept = J.superseded_filter(lambda: spark.read.parquet(path))(1, state)
+    return state.join(kept, "query_id", "left_anti").select("client", "seq")
 
 
 @register("recompute_on_snapshot", O.ksp_sql(O.event_graph(), "edges_event", EVENT_QUERY, EVENT_STEPS, K))
@@ -881,3 +886,17 @@ def q_query_stream_results(spark, sf_dir):
     J.run(J.path_query_stream(stream, lambda: (0, edges), out, ck, ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
     newest = msgs.groupBy("client").agg(F.max("seq").alias("seq"))
     return J.newest_results(spark, out, newest)
+
+
+DOC_EDGES = """doc_edges AS (SELECT src, dst, arg_max(weight, trip_id) AS weight FROM trips_ok GROUP BY src, dst)"""
+
+
+@register("snapshot_k_shortest_paths", O.ksp_sql(BASE + [TRIPS_OK, DOC_EDGES], "doc_edges", EVENT_QUERY, EVENT_STEPS, K))
+def q_snapshot_k_shortest_paths(spark, sf_dir):
+    """The main path: trips → node documents (parallel edges kept) → snapshot → read → edges, last entry wins → search."""
+    base = scratch_path(spark, "snapshot-search")
+    S.write_snapshot(_documents(spark, sf_dir), base, 1)
+    flat = G.edge_flatten(S.read_snapshot(spark, S.latest_path(spark, base)))
+    edges = G.collapse_edges(flat, "last", "pos").select(F.col("src").cast("bigint").alias("src"),
+                                                         F.col("dst").cast("bigint").alias("dst"), "weight")
+    return ksp.k_shortest_paths(edges, ksp.query_table(spark, EVENT_QUERY), ksp.SearchConfig(steps=EVENT_STEPS, k=K))

@@ -27,19 +27,23 @@ def format_edge(src="src", weight="weight", dst="dst", src_lon="src_lon", src_la
     return F.concat_ws(" ", *parts)
 
 
-def edge_message_rows(df: DataFrame, **cols) -> DataFrame:
-    """K4: ``(key, value)`` rows for a message sink; key = value, as the edge source writes them."""
-    v = format_edge(**cols)
-    return df.select(v.alias("key"), v.alias("value"))
+def edge_message_rows(df: DataFrame, keep: tuple[str, ...] = (), **cols) -> DataFrame:
+    """K4: ``(key, value)`` rows for a message sink. The key is the edge (``src-dst``), so all changes of one edge go to one
+    partition of a topic, in their order."""
+    key = F.concat_ws("-", _c(cols.get("src", "src")).cast("string"), _c(cols.get("dst", "dst")).cast("string"))
+    return df.select(*keep, key.alias("key"), format_edge(**cols).alias("value"))
 
 
 def parse_edge(value: Column | str) -> Column:
-    """Struct of typed fields plus ``valid``; a message with a missing or non-numeric field is invalid."""
+    """Struct of typed fields plus ``valid``; a message with a missing or non-numeric field, or a
+    negative weight, is invalid (and ``valid`` never null)."""
     toks = F.split(F.trim(_c(value)), r"\s+")
     typed = [F.try_element_at(toks, F.lit(i + 1)).try_cast(t) for i, t in enumerate(_EDGE_TYPES)]
     ok = F.size(toks) == 7
     for f in typed:
         ok = ok & f.isNotNull()
+    ok = ok & (typed[1] >= 0)
+    ok = F.coalesce(ok, F.lit(False))
     edge = F.struct(*[f.alias(n) for f, n in zip(typed, EDGE_FIELDS)])
     return F.struct(edge.alias("edge"), ok.alias("valid"))
 

@@ -8,27 +8,41 @@ neighbor lists) are derived on export only. Every per-key reduction is an aggreg
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathlattice.operators.sequence import rank_in_group
 
-# Neighbors per document line. A node with a longer list is written as several lines with "part".
+# Neighbors per document line: every node is written as the lines part = 0, 1, … of at most so many neighbors a side.
 DOCUMENT_CHUNK = 10_000
 
+COORDINATES = ("src_lon", "src_lat", "dst_lon", "dst_lat")
+EDGE_STATE = ("src", "dst", "weight", "last_seq", *COORDINATES, "first_seq")
+
 
 # ---------------------------------------------------------------- stations and adjacency (A1-A3)
 
 def station_nodes(trips: DataFrame) -> DataFrame:
     """A1: one row per station of starts ∪ ends, at the position of its first occurrence.
 
-    The start pass precedes the end pass, each in trip order."""
-    starts = trips.select(F.col("src").alias("id"), F.col("src_lat").alias("lat"), F.col("src_lon").alias("lon"),
-                          F.lit(0).alias("pass"), "trip_id")
-    ends = trips.select(F.col("dst").alias("id"), F.col("dst_lat").alias("lat"), F.col("dst_lon").alias("lon"),
-                        F.lit(1).alias("pass"), "trip_id")
-    first = F.min_by(F.struct("lat", "lon"), F.struct("pass", "trip_id"))
-    return starts.unionByName(ends).groupBy("id").agg(first.alias("p")).select("id", "p.lat", "p.lon")
+    The start pass precedes the end pass, each in trip order: a station's first start and first end are each one hash
+    aggregate, and the start wins."""
+    def first(role):
+        return trips.select(F.col(role).alias("id"), F.col(f"{role}_lat").alias("lat"), F.col(f"{role}_lon").alias("lon"),
+                            "trip_id")
+
+    both = first("src").select("id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"), F.col("trip_id").alias("s"),
+                               *(F.lit(None).cast(t).alias(n) for n, t in (("e_lat", "double"), ("e_lon", "double"))),
+                               F.lit(None).cast(trips.schema["trip_id"].dataType).alias("e")).unionByName(
+        first("dst").select("id", *(F.lit(None).cast("double").alias(n) for n in ("s_lat", "s_lon")),
+                            F.lit(None).cast(trips.schema["trip_id"].dataType).alias("s"),
+                            F.col("lat").alias("e_lat"), F.col("lon").alias("e_lon"), F.col("trip_id").alias("e")))
+    # min_by skips rows whose order is null
+    g = both.groupBy("id").agg(F.min_by("s_lat", "s").alias("s_lat"), F.min_by("s_lon", "s").alias("s_lon"),
+                               F.min("s").alias("s"), F.min_by("e_lat", "e").alias("e_lat"),
+                               F.min_by("e_lon", "e").alias("e_lon"))
+    return g.select("id", F.when(F.col("s").isNotNull(), F.col("s_lat")).otherwise(F.col("e_lat")).alias("lat"),
+                    F.when(F.col("s").isNotNull(), F.col("s_lon")).otherwise(F.col("e_lon")).alias("lon"))
 
 
 def adjacency_out(trips: DataFrame) -> DataFrame:
@@ -60,20 +74,29 @@ def node_documents(stations: DataFrame, adj_out: DataFrame, adj_in: DataFrame,
                    chunk: int = DOCUMENT_CHUNK) -> DataFrame:
     """``(key, part, val{lat, lon, neighbors_in, neighbors_out})``; a missing side is an empty list.
 
-    Lists are cut into lines of at most ``chunk`` neighbors; ``part`` is null when a node fits one line,
-    so an ordinary node's line is exactly ``{"key", "val"}``."""
+    One layout at every size: a node's lines are ``part = 0, 1, …`` with at most ``chunk`` neighbors a side, and a node
+    without edges has the line 0 alone. The neighbor arrays meet only the station's position, in a join on the id."""
     outs = _chunked_lists(adj_out, "neighbors_out", chunk)
     ins = _chunked_lists(adj_in, "neighbors_in", chunk)
-    parts = outs.join(ins, ["id", "part"], "full")
-    docs = stations.join(parts, "id", "left")
+    parts = outs.join(ins, ["id", "part"], "full").join(stations, "id")
     empty = F.array().cast("array<struct<id:string,lat:double,lon:double,weight:bigint>>")
-    n_parts = F.max(F.coalesce("part", F.lit(0))).over(Window.partitionBy("id"))
-    docs = docs.withColumn("_np", n_parts)
-    return docs.select(
-        F.col("id").cast("string").alias("key"),
-        F.when(F.col("_np") > 0, F.coalesce("part", F.lit(0))).alias("part"),
-        F.struct("lat", "lon", F.coalesce("neighbors_in", empty).alias("neighbors_in"),
-                 F.coalesce("neighbors_out", empty).alias("neighbors_out")).alias("val"))
+    lone = stations.join(adj_out.select("id").unionByName(adj_in.select("id")).distinct(), "id", "left_anti").select(
+        "id", F.lit(0).alias("part"), "lat", "lon", empty.alias("neighbors_in"), empty.alias("neighbors_out"))
+    docs = parts.select("id", "part", "lat", "lon", F.coalesce("neighbors_in", empty).alias("neighbors_in"),
+                        F.coalesce("neighbors_out", empty).alias("neighbors_out")).unionByName(lone)
+    return docs.select(F.col("id").cast("string").alias("key"), "part",
+                       F.struct("lat", "lon", "neighbors_in", "neighbors_out").alias("val"))
+
+
+def one_line_documents(docs: DataFrame) -> DataFrame:
+    """Export for readers that know one line per node only: ``(key, val)`` with whole lists.
+
+    A node's lists come together in one row here, as that format asks; do not use it on graphs with unbounded hubs."""
+    whole = docs.groupBy("key").agg(
+        F.min("val.lat").alias("lat"), F.min("val.lon").alias("lon"),
+        *(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", F.col(f"val.{n}").alias("l")))),
+                                lambda x: x["l"])).alias(n) for n in ("neighbors_in", "neighbors_out")))
+    return whole.select("key", F.struct("lat", "lon", "neighbors_in", "neighbors_out").alias("val"))
 
 
 def flatten_documents(docs: DataFrame, chunk: int = DOCUMENT_CHUNK) -> DataFrame:
@@ -91,12 +114,14 @@ def flatten_documents(docs: DataFrame, chunk: int = DOCUMENT_CHUNK) -> DataFrame
     return side("neighbors_out", "out").unionByName(side("neighbors_in", "in"))
 
 
-def edge_flatten(docs: DataFrame) -> DataFrame:
-    """Node documents → one edge row per out-list entry, with the coordinates of both ends."""
+def edge_flatten(docs: DataFrame, chunk: int = DOCUMENT_CHUNK) -> DataFrame:
+    """Node documents → one edge row per out-list entry, with the coordinates of both ends and its place ``pos`` in the list."""
     return docs.select(F.col("key").alias("src"), F.col("val.lon").alias("src_lon"), F.col("val.lat").alias("src_lat"),
-                       F.explode("val.neighbors_out").alias("nb")).select(
+                       F.coalesce("part", F.lit(0)).alias("_part"),
+                       F.posexplode("val.neighbors_out").alias("_i", "nb")).select(
         "src", "src_lon", "src_lat", F.col("nb.id").alias("dst"), F.col("nb.lon").alias("dst_lon"),
-        F.col("nb.lat").alias("dst_lat"), F.col("nb.weight").alias("weight"))
+        F.col("nb.lat").alias("dst_lat"), F.col("nb.weight").alias("weight"),
+        (F.col("_part").cast("bigint") * chunk + F.col("_i")).alias("pos"))
 
 
 def document_nodes(docs: DataFrame) -> DataFrame:
@@ -107,10 +132,11 @@ def document_nodes(docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- edge tables
 
-def collapse_edges(trips: DataFrame, policy: str = "last") -> DataFrame:
-    """A5: one edge per ordered pair; ``last`` keeps the weight of the highest ``seq``, ``min`` the least weight."""
+def collapse_edges(trips: DataFrame, policy: str = "last", order: str = "seq") -> DataFrame:
+    """A5: one edge per ordered pair; ``last`` keeps the weight of the highest ``order`` (the change order, or the list
+    position ``pos`` of ``edge_flatten``), ``min`` the least weight."""
     if policy == "last":
-        w = F.max_by("weight", "seq")
+        w = F.max_by("weight", order)
     elif policy == "min":
         w = F.min("weight")
     else:
@@ -126,19 +152,18 @@ def edge_state(rows: DataFrame) -> DataFrame:
     so a snapshot plus a batch of updates is ``edge_state(snapshot ∪ updates)``."""
     if "last_seq" not in rows.columns:
         rows = rows.withColumn("last_seq", F.col("seq")).withColumn("first_seq", F.col("seq"))
+    # one min_by per number: a struct in the buffer would turn this into a sort aggregate
     return rows.groupBy("src", "dst").agg(
-        F.max_by("weight", "last_seq").alias("weight"),
-        F.max("last_seq").alias("last_seq"),
-        F.min_by(F.struct("src_lon", "src_lat", "dst_lon", "dst_lat"), "first_seq").alias("c"),
-        F.min("first_seq").alias("first_seq"),
-    ).select("src", "dst", "weight", "last_seq", "c.src_lon", "c.src_lat", "c.dst_lon", "c.dst_lat", "first_seq")
+        F.max_by("weight", "last_seq").alias("weight"), F.max("last_seq").alias("last_seq"),
+        *(F.min_by(c, "first_seq").alias(c) for c in COORDINATES), F.min("first_seq").alias("first_seq"),
+    ).select(*EDGE_STATE)
 
 
 def edge_upsert(state: DataFrame, updates: DataFrame) -> DataFrame:
-    """A6 (edges): existing edge → new weight, coordinates untouched; new edge → added."""
-    cols = ["src", "dst", "weight", "last_seq", "src_lon", "src_lat", "dst_lon", "dst_lat", "first_seq"]
-    u = edge_state(updates).select(*cols)
-    return edge_state(state.select(*cols).unionByName(u))
+    """A6 (edges): existing edge → new weight, coordinates untouched; new edge → added. One aggregate over both."""
+    rows = updates.select("src", "dst", "weight", F.col("seq").alias("last_seq"), *COORDINATES,
+                          F.col("seq").alias("first_seq"))
+    return edge_state(state.select(*EDGE_STATE).unionByName(rows))
 
 
 def node_state(rows: DataFrame) -> DataFrame:
@@ -146,19 +171,26 @@ def node_state(rows: DataFrame) -> DataFrame:
     if "first_seq" in rows.columns and "role" in rows.columns:
         pts = rows.select("id", "lon", "lat", "first_seq", "role")
     else:
-        pts = rows.select(F.col("src").alias("id"), F.col("src_lon").alias("lon"), F.col("src_lat").alias("lat"),
+        pts = node_points(rows)
+    # source before target at one change, as one number
+    order = F.col("first_seq") * 2 + F.col("role")
+    g = pts.withColumn("_o", order).groupBy("id").agg(
+        F.min_by("lon", "_o").alias("lon"), F.min_by("lat", "_o").alias("lat"), F.min("_o").alias("_o"))
+    return g.select("id", "lon", "lat", F.floor(F.col("_o") / 2).cast(pts.schema["first_seq"].dataType).alias("first_seq"),
+                    F.pmod("_o", F.lit(2)).cast("int").alias("role"))
+
+
+def node_points(updates: DataFrame) -> DataFrame:
+    """Both ends of edge rows as ``(id, lon, lat, first_seq, role)``."""
+    return updates.select(F.col("src").alias("id"), F.col("src_lon").alias("lon"), F.col("src_lat").alias("lat"),
                           F.col("seq").alias("first_seq"), F.lit(0).alias("role")).unionByName(
-              rows.select(F.col("dst").alias("id"), F.col("dst_lon").alias("lon"), F.col("dst_lat").alias("lat"),
-                          F.col("seq").alias("first_seq"), F.lit(1).alias("role")))
-    return pts.groupBy("id").agg(
-        F.min_by(F.struct("lon", "lat", "first_seq", "role"), F.struct("first_seq", "role")).alias("p")
-    ).select("id", "p.lon", "p.lat", "p.first_seq", "p.role")
+        updates.select(F.col("dst").alias("id"), F.col("dst_lon").alias("lon"), F.col("dst_lat").alias("lat"),
+                       F.col("seq").alias("first_seq"), F.lit(1).alias("role")))
 
 
 def node_upsert(nodes: DataFrame, updates: DataFrame) -> DataFrame:
-    """A6 (nodes): a node keeps its position; an id first seen in an update is created from it."""
-    return node_state(nodes.select("id", "lon", "lat", "first_seq", "role").unionByName(
-        node_state(updates)))
+    """A6 (nodes): a node keeps its position; an id first seen in an update is created from it. One aggregate over both."""
+    return node_state(nodes.select("id", "lon", "lat", "first_seq", "role").unionByName(node_points(updates)))
 
 
 def pending_changes(updates: DataFrame, published_seq) -> DataFrame:

@@ -14,6 +14,7 @@ in the checkpoint folder: a second range exchange would sample its own bounds an
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ def _split_hot(df: DataFrame, group_cols: list[str], hot_rows: int) -> tuple[Dat
     keys = hot.collect()  # bounded: at most rows / hot_rows keys
     if not keys:
         return df, None
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(keys, hot.schema))
-    return df.join(hot_df, group_cols, "left_anti"), df.join(hot_df, group_cols, "left_semi")
+    names = [f"_hot_{c}" for c in group_cols]
+    hot_df = F.broadcast(df.sparkSession.createDataFrame(keys, hot.schema).toDF(*names))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(group_cols, names)))  # null is a group
+    return df.join(hot_df, same, "left_anti"), df.join(hot_df, same, "left_semi")
 
 
 def _blocks(df: DataFrame, keys: list[str], n: int) -> DataFrame:

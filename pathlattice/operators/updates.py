@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathlattice.functions.messages import decode_hops, decode_nodes, encode_line
+from pathlattice.functions.messages import decode_hops, encode_line
 
 
 def hops(candidates: DataFrame) -> DataFrame:
@@ -58,8 +58,3 @@ def best_k(paths: DataFrame, k: int = 3, keys=("query_id",)) -> DataFrame:
 def replay(candidates: DataFrame, update_log: DataFrame, snapshot_seq) -> DataFrame:
     """ST5 / ST10: candidates computed on the snapshot with ``max_seq = snapshot_seq``, overlaid by the later updates."""
     return reweight(candidates, last_update_per_edge(update_log, since_seq=snapshot_seq))
-
-
-def path_nodes(paths: DataFrame) -> DataFrame:
-    """Nodes of walks with their position: ``(query_id, line, pos, id)``."""
-    return paths.select("query_id", "line", F.posexplode(decode_nodes("line")).alias("pos", "id"))

@@ -179,8 +179,7 @@ def expand(frontier: DataFrame, adj: DataFrame, broadcast: bool = True,
     elif hubs is None:
         j = adj.join(f.withColumn("salt", F.lit(0)), ["side", "frm", "salt"])
     else:
-        h = F.broadcast(hubs.select("side", "frm", "n_salt"))
-        f_s = f.join(h, ["side", "frm"], "left").withColumn(
+        f_s = f.join(hubs, ["side", "frm"], "left").withColumn(
             "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))).drop("n_salt")
         j = adj.join(f_s, ["side", "frm", "salt"])
     if bound is not None:
@@ -203,7 +202,7 @@ def salted_adjacency(adj: DataFrame, hubs: DataFrame | None, num_partitions: int
     if hubs is None:
         salted = adj.withColumn("salt", F.lit(0))
     else:
-        salted = adj.join(F.broadcast(hubs.select("side", "frm", "n_salt")), ["side", "frm"], "left").withColumn(
+        salted = adj.join(hubs, ["side", "frm"], "left").withColumn(
             "salt", F.when(F.col("n_salt").isNull(), F.lit(0))
                      .otherwise(F.pmod(F.xxhash64("to"), F.col("n_salt")).cast("int"))).drop("n_salt")
     return salted.repartition(num_partitions, "side", "frm", "salt")
@@ -252,18 +251,18 @@ def _materialise(df: DataFrame, buckets: int = 0) -> tuple[DataFrame, dict]:
 
 def _adjacency_table(adj: DataFrame, path: str, buckets: int) -> DataFrame:
     """Write the adjacency once, one folder per bucket of ``frm``, sorted by ``(side, frm)`` inside."""
-    (adj.withColumn("b", bucket_of(F.col("frm"), buckets)).repartition(buckets, "b")
+    # a rebalanced exchange: AQE splits a bucket with a hub over several writing tasks
+    (adj.withColumn("b", bucket_of(F.col("frm"), buckets)).hint("rebalance", "b")
      .sortWithinPartitions("b", "side", "frm").write.mode("overwrite").partitionBy("b").parquet(path))
     schema = T.StructType(adj.schema.fields + [T.StructField("b", T.IntegerType())])
     return adj.sparkSession.read.schema(schema).parquet(path)
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (from file sizes; no job). Unknown → 0."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. a client without JVM access
-        return 0
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (from file sizes; no job); None where the session has no JVM plan."""
+    if not hasattr(df, "_jdf"):
+        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -301,7 +300,8 @@ def prepare(edges: DataFrame, nodes: DataFrame | None = None, config: SearchConf
     spark = edges.sparkSession
     store = cfg.adjacency_store
     if store == "auto":
-        store = "table" if _estimated_bytes(edges) >= cfg.table_min_bytes else "cache"
+        size = _estimated_bytes(edges)
+        store = "table" if size is None or size >= cfg.table_min_bytes else "cache"
     if store == "table":
         buckets = cfg.adjacency_buckets or 4 * spark.sparkContext.defaultParallelism
         path = scratch_path(spark, "adjacency")
@@ -353,8 +353,8 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
                 if shuffled is None:
                     hubs = hub_table(adj, cfg.hub_rows).persist(StorageLevel.MEMORY_AND_DISK)
                     cached.append(hubs)
-                    if hubs.count() > cfg.hub_table_rows:  # too many hubs to broadcast: AQE splits skew instead
-                        hubs = None
+                    if hubs.count() <= cfg.hub_table_rows:
+                        hubs = F.broadcast(hubs)  # beyond it, the hub list is joined by a shuffle, with the same salts
                     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
                     salted = salted_adjacency(adj, hubs, n).persist(StorageLevel.MEMORY_AND_DISK)
                     cached.append(salted)

@@ -13,16 +13,6 @@ TRIP_COLUMNS = [
     "end_station_longitude",
 ]
 
-TRIPS = T.StructType([
-    T.StructField("duration_sec", T.LongType()),
-    T.StructField("start_station_id", T.LongType()),
-    T.StructField("start_station_latitude", T.DoubleType()),
-    T.StructField("start_station_longitude", T.DoubleType()),
-    T.StructField("end_station_id", T.LongType()),
-    T.StructField("end_station_latitude", T.DoubleType()),
-    T.StructField("end_station_longitude", T.DoubleType()),
-])
-
 # Neighbor entry of a node document; fields in alphabetical order, as the documents are written.
 NEIGHBOR = T.StructType([
     T.StructField("id", T.StringType()),
@@ -52,33 +42,3 @@ MESSAGE = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("value", T.StringType()),
 ])
-
-TOPIC_MESSAGE = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("value", T.StringType()),
-])
-
-EDGE_UPDATE = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("src", T.LongType()),
-    T.StructField("weight", T.LongType()),
-    T.StructField("dst", T.LongType()),
-    T.StructField("src_lon", T.DoubleType()),
-    T.StructField("src_lat", T.DoubleType()),
-    T.StructField("dst_lon", T.DoubleType()),
-    T.StructField("dst_lat", T.DoubleType()),
-])
-
-EDGES = T.StructType([
-    T.StructField("src", T.LongType()),
-    T.StructField("dst", T.LongType()),
-    T.StructField("weight", T.LongType()),
-])
-
-HOP = T.StructType([
-    T.StructField("src", T.LongType()),
-    T.StructField("weight", T.LongType()),
-    T.StructField("dst", T.LongType()),
-])

@@ -48,7 +48,8 @@ def checkpoint_base(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached without any cluster configuration (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="pathlattice-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

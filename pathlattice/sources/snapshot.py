@@ -36,8 +36,15 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` complete versions."""
+    for v in versions(spark, base)[:-keep]:
+        fs, p, _ = _fs(spark, f"{base.rstrip('/')}/v={v}")
+        fs.delete(p, True)
+
+
 def write_snapshot(docs: DataFrame, base: str, version: int) -> str:
-    """K1: one ``{"key", "val"}`` line per node (``part`` only for chunked hubs), in a new version folder."""
+    """K1: ``{"key", "part", "val"}`` lines (``part`` counts the lines of a node), in a new version folder."""
     path = f"{base.rstrip('/')}/v={int(version)}"
     docs.select("key", "part", "val").write.mode("overwrite").json(path)
     return path

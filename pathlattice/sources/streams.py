@@ -1,14 +1,15 @@
-"""Message stream sources (S6, S7) and the two-topic demultiplexer.
+"""Message stream sources (S6, S7), sinks (K3-K5) and the two-topic demultiplexer.
 
-A stream row is ``(seq, value)`` with ``seq`` a total order of the messages. From Kafka the order is the
-offset within a partition; edge messages are keyed by edge, so all updates of one edge share a partition
-and ``(partition, offset)`` orders them. Files (JSON / Parquet) carry ``seq`` themselves; tests use them
-because no Kafka connector is on this class path.
+A stream row is ``(seq, value)`` with ``seq`` a total order of the messages. From Kafka it is
+``(timestamp, partition, offset)`` as one decimal number: offsets only order one partition, so a later message of
+another partition is later by its time. Messages are written with the edge as key, so all changes of one edge share a
+partition and keep their order even where clocks disagree. Files (JSON / Parquet) carry ``seq`` themselves; tests use
+them because no Kafka connector is on this class path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.schemas import MESSAGE
@@ -23,8 +24,7 @@ def message_stream(spark: SparkSession, fmt: str, path: str | None = None, topic
         for k, v in opts.items():
             r = r.option(k, v)
         df = r.load()
-        return df.select(((F.col("partition").cast("bigint") * F.lit(1 << 40)) + F.col("offset")).alias("seq"),
-                         F.col("value").cast("string").alias("value"))
+        return df.select(message_order().alias("seq"), F.col("value").cast("string").alias("value"))
     r = spark.readStream.schema(MESSAGE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,10 +33,30 @@ def message_stream(spark: SparkSession, fmt: str, path: str | None = None, topic
     return r.format(fmt).load(path).select("seq", "value")
 
 
+def message_order() -> Column:
+    """``(timestamp, partition, offset)`` of a Kafka row as one number: 15 + 5 + 18 digits."""
+    digits = ((F.unix_millis("timestamp"), 15), (F.col("partition"), 5), (F.col("offset"), 18))
+    return F.concat(*(F.lpad(c.cast("string"), n, "0") for c, n in digits)).cast("decimal(38,0)")
+
+
+def write_messages(messages: DataFrame, fmt: str, checkpoint: str, topic: str | None = None, path: str | None = None,
+                   options: dict | None = None, processing_time: str | None = None):
+    """K3-K5: a stream of ``(key, value)`` rows to Kafka (``fmt='kafka'``) or to files; returns the started query."""
+    w = messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")) \
+        .writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    for k, v in {**({"topic": topic} if topic else {}), **({"path": path} if path else {}), **(options or {})}.items():
+        w = w.option(k, v)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()
+
+
 def demux(messages: DataFrame, edges_topic: str = "new_edges", result_topic: str = "result") -> tuple[DataFrame, DataFrame]:
-    """One consumer over two topics → (all edge messages, the last result message)."""
+    """One consumer over two topics → (all edge messages, the last result message).
+
+    The last message is the one with the highest time, then partition and offset. On a streaming table the edge side is
+    an append stream and the result side a running aggregate (update or complete mode)."""
     edges = messages.filter(F.col("topic") == edges_topic).select("partition", "offset", "value")
     last = (messages.filter(F.col("topic") == result_topic)
-            .agg(F.max_by("value", F.struct("partition", "offset")).alias("value"))
+            .agg(F.max_by("value", message_order()).alias("value"))
             .filter(F.col("value").isNotNull()))
     return edges, last

@@ -44,12 +44,6 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_trips_full(spark, sf_dir).select("seq", "src", "dst", "weight", "ts")
 
 
-def event_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(src, dst, weight)``: last weight per ordered pair by ``seq`` (policy ``last``)."""
-    return (event_trips(spark, sf_dir).groupBy("src", "dst")
-            .agg(F.max_by("weight", "seq").alias("weight")))
-
-
 def part_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, lat, lon)`` stand-in positions for part ids."""
     return table(spark, sf_dir, "part").select(

@@ -19,31 +19,49 @@ _RENAME = {
     "end_station_latitude": "dst_lat",
     "end_station_longitude": "dst_lon",
 }
-_TYPES = {"duration_sec": "bigint", "start_station_id": "bigint", "end_station_id": "bigint"}
+_WHOLE = ("duration_sec", "start_station_id", "end_station_id")
 
 
-def read_trips_raw(spark: SparkSession, path: str, order_col: str = "trip_id") -> DataFrame:
-    """The seven trip columns (plus the row-order column) as strings; other columns are not read."""
+def read_trips_raw(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
+    """The seven trip columns and the trip order ``trip_id``, all as strings; other columns are not read.
+
+    ``order_col``: a column of the file that gives the trip order. The usual seven-column file has none; its trips are
+    ordered by file, byte offset of the split, and place in the split, which is the order of the lines."""
     # Columns are matched by header name (files may carry more columns, in any order); all are read as
     # strings, so nothing is inferred and P3 decides what is valid. Only the selected columns are parsed.
-    return spark.read.option("header", True).csv(path).select(order_col, *TRIP_COLUMNS)
+    raw = spark.read.option("header", True).csv(path)
+    if order_col is not None:
+        return raw.select(F.col(order_col).alias("trip_id"), *TRIP_COLUMNS)
+    place = F.format_string("%s|%020d|%020d", "_metadata.file_path", "_metadata.file_block_start",
+                            F.monotonically_increasing_id())
+    return raw.select(place.alias("trip_id"), *TRIP_COLUMNS)
+
+
+def _whole_number(c: str):
+    """``5`` and ``5.0`` (how a column with gaps is often written) as a bigint; anything else is null."""
+    text = F.trim(F.col(c))
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast("bigint"),
+                      F.when((F.floor(number) == number) & (F.abs(number) < 2.0 ** 53), number.cast("bigint")))
 
 
-def normalize_trips(raw: DataFrame, order_col: str = "trip_id") -> DataFrame:
-    """Typed trips plus ``valid``; ids and seconds are integers, coordinates doubles.
+def normalize_trips(raw: DataFrame, order_col: str | None = None) -> DataFrame:
+    """Typed trips plus ``valid``; ids and seconds are whole numbers, coordinates doubles. ``order_col``: as for the read;
+    with it the trip order is a number, else the text key of the line's place.
 
-    Rows with a missing or malformed field keep ``valid = false`` (quarantine) instead of failing the job."""
-    typed = [F.col(order_col).try_cast("bigint").alias("trip_id")]
+    Rows with a missing or malformed field, or a negative duration, keep ``valid = false`` (quarantine) instead of
+    failing the job."""
+    typed = [_whole_number("trip_id").alias("trip_id") if order_col is not None else F.col("trip_id")]
     for c in TRIP_COLUMNS:
-        typed.append(F.col(c).try_cast(_TYPES.get(c, "double")).alias(_RENAME[c]))
+        typed.append((_whole_number(c) if c in _WHOLE else F.col(c).try_cast("double")).alias(_RENAME[c]))
     t = raw.select(*typed)
-    valid = F.lit(True)
+    valid = F.col("weight") >= 0
     for c in TRIP_TABLE:
         valid = valid & F.col(c).isNotNull()
-    return t.withColumn("valid", valid)
+    return t.withColumn("valid", F.coalesce(valid, F.lit(False)))
 
 
-def read_trips(spark: SparkSession, path: str, order_col: str = "trip_id") -> DataFrame:
+def read_trips(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """S1 + P3: the valid trips ``(trip_id, src, dst, weight, src_lat, src_lon, dst_lat, dst_lon)``."""
     return normalize_trips(read_trips_raw(spark, path, order_col), order_col) \
         .filter("valid").select(*TRIP_TABLE)

@@ -31,21 +31,25 @@ def _start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None
     return w.start()
 
 
-def run(query, timeout_s: int = 600):
-    """Wait for an ``availableNow`` stream to drain; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+def run(query, timeout_s: float | None = None):
+    """Wait until an ``availableNow`` stream has drained; re-raise its failure.
+
+    Without ``timeout_s`` it waits as long as the stream takes. With it, a stream that is still running is stopped
+    and ``TimeoutError`` raised, so nobody goes on with a part of the sink."""
+    done = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    query.stop()
+    if timeout_s is not None and not done:
+        query.stop()
+        raise TimeoutError(f"the stream was still running after {timeout_s} s; its sink is incomplete")
     return query
 
 
 # ---------------------------------------------------------------- ST1 + P1: parsed edge stream
 
 def parsed_edge_stream(messages: DataFrame) -> DataFrame:
-    """ST1 / P1: ``(seq, src, weight, dst, …, valid)``; a ``weight < 0`` is invalid too."""
-    p = parse_edges(messages, keep=("seq",))
-    return p.withColumn("valid", F.col("valid") & (F.col("weight") >= 0))
+    """ST1 / P1: ``(seq, src, weight, dst, …, valid)``."""
+    return parse_edges(messages, keep=("seq",))
 
 
 def collect_edges(messages: DataFrame, sink_path: str, checkpoint: str, processing_time: str | None = None):
@@ -73,13 +77,11 @@ def edge_upsert_stream(messages: DataFrame, sink_path: str, checkpoint: str, com
     e = parsed_edge_stream(messages).filter("valid")
     agg = e.groupBy("src", "dst").agg(
         F.max_by("weight", "seq").alias("weight"), F.max("seq").alias("last_seq"),
-        F.min_by(F.struct("src_lon", "src_lat", "dst_lon", "dst_lat"), "seq").alias("c"),
-        F.min("seq").alias("first_seq"))
+        *(F.min_by(c, "seq").alias(c) for c in G.COORDINATES), F.min("seq").alias("first_seq"))
     spark = messages.sparkSession
 
     def sink(df: DataFrame, batch_id: int):
-        rows = df.select("src", "dst", "weight", "last_seq", "c.src_lon", "c.src_lat", "c.dst_lon", "c.dst_lat",
-                         "first_seq")
+        rows = df.select(*G.EDGE_STATE)
         have = [x for x in S.edge_versions(spark, sink_path) if x[0] <= batch_id]
         if not have:
             S.write_edge_full(rows, sink_path, batch_id + 1)
@@ -150,14 +152,18 @@ def flush(spark: SparkSession, snapshot_base: str, log_path: str, compact_every:
 # ---------------------------------------------------------------- ST4 + ST6 + K3: speed layer
 
 def reweight_stream(messages: DataFrame, candidates_base: str, updates_base: str, emit_path: str,
-                    checkpoint: str, best: int = 3, processing_time: str | None = None):
-    """ST4 + ST6 (+ ST5): per batch, merge the batch into the table of last updates per edge (by ``seq``),
-    re-weight the base candidates (``candidates_base/v=0``: ``query_id, total, line``) with it, write the
-    result as the next version and emit the best walks.
-
-    Re-weighting always starts from the base candidates with the merged table, so the outcome does not
-    depend on the order in which batches arrive, and a retried batch rewrites the same versions."""
+                    checkpoint: str, best: int = 3, processing_time: str | None = None, weighted_base: str | None = None):
+    """ST4 + ST6 + ST5: per batch, merge the batch into the table of last updates per edge (by ``seq``), re-weight the
+    newest batch result (``candidates_base/v=N``: ``query_id, total, line`` and optionally ``max_seq``) with it, write the
+    result to ``weighted_base/v=<batch + 1>`` (default ``<candidates_base>-weighted``) and emit the best walks.
+
+    A new batch result may be published into ``candidates_base`` at any time; the next batch takes it up, and replays
+    onto it the updates after its ``max_seq`` (all, without that column: they are absolute weights). Re-weighting
+    always starts from the batch result with the merged table, so the outcome does not depend on the order in
+    which batches arrive, and a retried batch rewrites the same versions. The two newest versions of the update table and
+    of the output are kept."""
     spark = messages.sparkSession
+    out_base = weighted_base or f"{candidates_base.rstrip('/')}-weighted"
 
     def sink(df: DataFrame, batch_id: int):
         ups = parsed_edge_stream(df).filter("valid").select("seq", "src", "dst", "weight")
@@ -171,10 +177,15 @@ def reweight_stream(messages: DataFrame, candidates_base: str, updates_base: str
                                                F.max("seq").alias("seq"))
         merged.write.mode("overwrite").parquet(f"{updates_base}/v={batch_id + 1}")
         latest = spark.read.parquet(f"{updates_base}/v={batch_id + 1}")
-        cands = spark.read.parquet(f"{candidates_base}/v=0")
+        cands = spark.read.parquet(S.latest_path(spark, candidates_base))
+        if "max_seq" in cands.columns:
+            since = cands.agg(F.max("max_seq")).first()[0]
+            latest = latest.filter(F.lit(since).isNull() | (F.col("seq") > F.lit(since)))
         U.reweight(cands, latest.select("src", "dst", "new_weight")).select("query_id", "total", "line") \
-            .write.mode("overwrite").parquet(f"{candidates_base}/v={batch_id + 1}")
-        top = U.best_k(spark.read.parquet(f"{candidates_base}/v={batch_id + 1}"), best)
+            .write.mode("overwrite").parquet(f"{out_base}/v={batch_id + 1}")
+        top = U.best_k(spark.read.parquet(f"{out_base}/v={batch_id + 1}"), best)
+        for base in (updates_base, out_base):
+            S.drop_versions(spark, base, keep=2)
         emit_rows(top).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{emit_path}/batch={batch_id}")
 
@@ -199,14 +210,14 @@ def latest_query_stream(messages: DataFrame, sink_path: str, checkpoint: str, us
     return _start(agg, checkpoint, sink=sink, output_mode="update", processing_time=processing_time)
 
 
-def superseded_filter(latest_seq_by_query: DataFrame) -> Callable[[int, DataFrame], DataFrame]:
+def superseded_filter(status: Callable[[], DataFrame] | DataFrame) -> Callable[[int, DataFrame], DataFrame]:
     """ST8 hook for ``ksp.search(between_rounds=…)``: drop the state of queries that are no longer newest.
 
-    ``latest_seq_by_query(query_id, superseded)`` is re-read between rounds, so a newer query arriving
-    during the search stops the older one at the next round boundary."""
+    ``status()`` gives ``(query_id, superseded)`` and is called anew between rounds (a table reader lists its files again),
+    so a newer query arriving during the search stops the older one at the next round boundary."""
     def hook(_round: int, state: DataFrame) -> DataFrame:
-        gone = latest_seq_by_query.filter("superseded").select("query_id")
-        return state.join(gone, "query_id", "left_anti")
+        now = status() if callable(status) else status
+        return state.join(now.filter("superseded").select("query_id"), "query_id", "left_anti")
     return hook
 
 
@@ -237,13 +248,17 @@ def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: Dat
 
 def path_query_stream(messages: DataFrame, graph_source: Callable[[], tuple[object, DataFrame]],
                       results_base: str, checkpoint: str, config: ksp.SearchConfig | None = None,
-                      client_col: str = "client", processing_time: str | None = None):
+                      client_col: str | None = "client", processing_time: str | None = None,
+                      status: Callable[[], DataFrame] | None = None, reject_unknown: bool = False):
     """Per micro-batch of path-query messages ``(seq, client, value)``: keep the newest query per client
     (ST7), parse it (P4), run all of them in one search loop on the newest edge table (G4) and publish the
     results as ``results_base/v=<batch id>`` (K2; ``query_id`` = the message ``seq``).
 
     ``graph_source()`` returns ``(version, edges)``; the adjacency is prepared once per version and reused by
-    every batch until the version changes."""
+    every batch until the version changes. ``client_col=None``: one client for all messages (as a Kafka topic has no client
+    column). ``status``: see ``superseded_filter``; it stops searches that a newer query replaced. ``reject_unknown``:
+    a query with an id outside the graph gets no answer for a smaller question; its ids go to
+    ``<results_base>-rejected/v=<batch id>`` (F2)."""
     held: dict = {"version": None, "graph": None}
 
     def sink(df: DataFrame, batch_id: int):
@@ -252,10 +267,17 @@ def path_query_stream(messages: DataFrame, graph_source: Callable[[], tuple[obje
             if held["graph"] is not None:
                 held["graph"].release()
             held.update(version=version, graph=ksp.prepare(edges, config=config))
-        newest = (df.groupBy(client_col).agg(F.max_by(F.struct("seq", "value"), "seq").alias("m"))
-                  .select(F.col("m.seq").alias("query_id"), parse_query("m.value").alias("q"))
+        newest = (df.groupBy(*([client_col] if client_col else [])).agg(F.max("seq").alias("query_id"),
+                                                                        F.max_by("value", "seq").alias("value"))
+                  .filter("query_id IS NOT NULL").select("query_id", parse_query("value").alias("q"))
                   .select("query_id", "q.starts", "q.ends"))
-        res = ksp.k_shortest_paths(edges, newest, config, prepared=held["graph"])
+        if reject_unknown:
+            unknown = ksp.unknown_ids(newest, edges)
+            unknown.write.mode("overwrite").parquet(f"{results_base.rstrip('/')}-rejected/v={batch_id}")
+            bad = df.sparkSession.read.parquet(f"{results_base.rstrip('/')}-rejected/v={batch_id}")
+            newest = newest.join(bad.select("query_id").distinct(), "query_id", "left_anti")
+        res = ksp.results(ksp.search(edges, newest, config, prepared=held["graph"],
+                                     between_rounds=superseded_filter(status) if status else None).state)
         res.write.mode("overwrite").parquet(f"{results_base}/v={batch_id}")
 
     return _start(messages, checkpoint, sink=sink, processing_time=processing_time)

@@ -92,7 +92,7 @@ def test_documents_chunked_roundtrip(spark, tmp_path):
     for r in docs.collect():
         by_key.setdefault(r.key, []).append(r)
     assert len(by_key["10"]) == 2  # three out-entries in chunks of two
-    assert all(r.part is None for r in by_key["40"])
+    assert [r.part for r in by_key["40"]] == [0]
     base = str(tmp_path / "snap")
     S.write_snapshot(docs, base, 3)
     back = S.read_snapshot(spark, S.latest_path(spark, base))
@@ -100,9 +100,119 @@ def test_documents_chunked_roundtrip(spark, tmp_path):
     assert flat == sorted(tuple(r) for r in G.flatten_documents(docs, chunk=2).collect())
     outs = [r for r in flat if r[0] == "10" and r[3] == "out"]
     assert [(r[4], r[5], r[8]) for r in sorted(outs, key=lambda r: r[4])] == [(0, "20", 5), (1, "30", 6), (2, "20", 8)]
-    # an ordinary node's line is exactly {"key", "val"}
+    # one layout at every size, and an export with one line per node
     line = [x for x in open(next(p for p in (tmp_path / "snap" / "v=3").iterdir() if p.name.startswith("part-"))).read().splitlines() if x]
-    assert all(('"part"' in x) == x.startswith('{"key":"10"') for x in line)
+    assert all('"part"' in x for x in line)
+    whole = {r.key: r.val for r in G.one_line_documents(back).collect()}
+    assert set(whole) == set(by_key) and [n.id for n in whole["10"].neighbors_out] == ["20", "30", "20"]
+    flat_edges = G.edge_flatten(back, chunk=2).filter("src = '10'").orderBy("pos").collect()
+    assert [(r.pos, r.dst, r.weight) for r in flat_edges] == [(0, "20", 5), (1, "30", 6), (2, "20", 8)]
+    out, into = G.adjacency_out(t), G.adjacency_in(t)
+    lists = [spark.createDataFrame(a.collect(), a.schema) for a in (out, into)]
+    plan = G.node_documents(G.station_nodes(t), *lists)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # no window over neighbor arrays
+
+
+def test_parallel_edges_of_a_snapshot_keep_the_last_entry(spark):
+    """10→20 with 9 then 4, 20→30 with 1: one walk, on the last entry."""
+    from pathlattice.plans import ksp
+
+    trips = spark.createDataFrame([(1, 10, 20, 9, 0., 0., 0., 0.), (2, 10, 20, 4, 0., 0., 0., 0.), (3, 20, 30, 1, 0., 0., 0., 0.)],
+                                  "trip_id bigint, src bigint, dst bigint, weight bigint, src_lat double, src_lon double, "
+                                  "dst_lat double, dst_lon double")
+    docs = G.node_documents(G.station_nodes(trips), G.adjacency_out(trips), G.adjacency_in(trips), chunk=1)
+    edges = G.collapse_edges(G.edge_flatten(docs, chunk=1), "last", "pos").selectExpr(
+        "cast(src as bigint) src", "cast(dst as bigint) dst", "weight")
+    got = ksp.k_shortest_paths(edges, ksp.query_table(spark, [(1, [10], [30])]), ksp.SearchConfig(steps=3, k=3)).collect()
+    assert [r.line for r in got] == ["5 10 4 20 1 30"]
+
+
+def test_reductions_hash_and_merge_once(spark):
+    rows = spark.createDataFrame([(1, 1, 2, 5, 0., 1., 2., 3.)], "seq bigint, src bigint, dst bigint, weight bigint, "
+                                 "src_lon double, src_lat double, dst_lon double, dst_lat double").repartition(2)
+    trips = rows.withColumnRenamed("seq", "trip_id")
+    for df, levels in ((G.edge_upsert(G.edge_state(rows), rows), 4), (G.node_upsert(G.node_state(rows), rows), 4), (G.station_nodes(trips), 2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and plan.count("HashAggregate(") <= 2 * levels
+
+
+def test_stream_wait_never_returns_with_a_partial_sink(spark, tmp_path):
+    import pytest
+
+    from pathlattice.streaming import jobs as J
+
+    spark.range(400).selectExpr("id AS seq", "concat('1 ', id, ' 2 0.0 0.0 0.0 0.0') AS value").repartition(40).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("seq bigint, value string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with pytest.raises(TimeoutError):
+        J.run(J.collect_edges(stream, str(tmp_path / "out"), str(tmp_path / "ck")), timeout_s=0.2)
+    J.run(J.collect_edges(stream, str(tmp_path / "all"), str(tmp_path / "ck2")))
+    assert spark.read.parquet(str(tmp_path / "all")).select("seq").distinct().count() == 400
+
+
+def test_negative_weights_are_invalid_everywhere(spark):
+    from pathlattice.functions.messages import parse_edges
+
+    df = spark.createDataFrame([(1, "1 -5 2 0.0 0.0 0.0 0.0"), (2, "1 5 2 0.0 0.0 0.0 0.0"), (3, None)], "seq bigint, value string")
+    assert {r.seq: r.valid for r in parse_edges(df).collect()} == {1: False, 2: True, 3: False}
+
+
+def test_message_order_is_time_then_partition_then_offset(spark):
+    from pathlattice.sources import streams as ST
+
+    rows = [("result", 1, 5, "old", 10), ("result", 0, 1000, "new", 20), ("result", 0, 1001, "newest", 20), ("new_edges", 3, 1, "e", 5)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string, ms bigint").selectExpr(
+        "*", "timestamp_millis(ms) AS timestamp")
+    edges, last = ST.demux(df)
+    assert [r.value for r in edges.collect()] == ["e"] and [r.value for r in last.collect()] == ["newest"]
+    order = [r.value for r in df.orderBy(ST.message_order()).collect()]
+    assert order == ["e", "old", "new", "newest"]
+
+
+def test_messages_are_keyed_by_edge_and_written_by_format(spark, tmp_path):
+    from pathlattice.functions.messages import edge_message_rows
+    from pathlattice.sources import streams as ST
+
+    df = spark.createDataFrame([(1, 7, 2, 0., 1., 2., 3.)], "src bigint, weight bigint, dst bigint, src_lon double, src_lat double, "
+                               "dst_lon double, dst_lat double")
+    edge_message_rows(df).write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("key string, value string").json(str(tmp_path / "in"))
+    ST.write_messages(stream, "json", str(tmp_path / "ck"), path=str(tmp_path / "out")).awaitTermination()
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "out")).select("key", "value").collect()] == [("1-2", "1 7 2 0.0 1.0 2.0 3.0")]
+
+
+def test_empty_and_pathless_results(spark, tmp_path):
+    from pathlattice.sources import results as R
+
+    res = spark.createDataFrame([(1, 5, 1, "5 1 5 2")], "query_id bigint, total bigint, hops bigint, line string")
+    asked = spark.createDataFrame([(1,), (2,)], "query_id bigint")
+    R.write_results_text(res, str(tmp_path / "r"), asked)
+    assert [tuple(r) for r in R.read_results_text(spark, str(tmp_path / "r")).collect()] == [(1, 5, "5 1 5 2")]
+    assert dict(R.read_status(spark, str(tmp_path / "r")).collect()) == {1: 1, 2: 0}
+    R.write_results_text(res.limit(0), str(tmp_path / "e"))
+    assert R.read_results_text(spark, str(tmp_path / "e")).collect() == [] == R.read_status(spark, str(tmp_path / "e")).collect()
+
+
+def test_a_new_batch_result_is_taken_up_mid_stream(spark, tmp_path):
+    from pathlattice.streaming import jobs as J
+
+    def publish(v, rows):
+        spark.createDataFrame(rows, "query_id bigint, total bigint, line string, max_seq bigint").write.parquet(str(tmp_path / f"c/v={v}"))
+
+    def message(seq, text):
+        spark.createDataFrame([(seq, text)], "seq bigint, value string").write.mode("append").parquet(str(tmp_path / "in"))
+
+    def drain():
+        stream = spark.readStream.schema("seq bigint, value string").parquet(str(tmp_path / "in"))
+        J.run(J.reweight_stream(stream, str(tmp_path / "c"), str(tmp_path / "u"), str(tmp_path / "emit"), str(tmp_path / "ck")))
+        return {(r.query_id, r.value) for r in spark.read.parquet(str(tmp_path / "emit")).filter(
+            f"batch = (SELECT max(batch) FROM parquet.`{tmp_path}/emit`)").collect()}
+
+    publish(1, [(1, 5, "5 1 5 2", 0)])
+    message(1, "1 9 2 0.0 0.0 0.0 0.0")
+    assert drain() == {(1, "9 1 9 2")}
+    publish(2, [(1, 12, "12 1 9 2 3 4", 1), (7, 3, "3 2 3 4", 1)])  # knows the update of seq 1
+    message(2, "2 8 4 0.0 0.0 0.0 0.0")
+    assert drain() == {(1, "17 1 9 2 8 4"), (7, "8 2 8 4")}
 
 
 def test_tolerant_read_keeps_last_and_quarantines(spark, tmp_path):
@@ -130,13 +240,27 @@ def test_trip_csv_quarantine_and_row_cap(spark, tmp_path):
                  "x,1,100,5,1.0,2.0,6,3.0,4.0\n"
                  "x,2,oops,5,1.0,2.0,6,3.0,4.0\n"
                  "x,3,50,6,3.0,4.0,5,1.0,2.0\n")
-    raw = TR.normalize_trips(TR.read_trips_raw(spark, str(p)))
+    raw = TR.normalize_trips(TR.read_trips_raw(spark, str(p), "trip_id"), "trip_id")
     assert TR.quarantine(raw).count() == 1
-    t = TR.read_trips(spark, str(p))
+    t = TR.read_trips(spark, str(p), "trip_id")
     assert [r.trip_id for r in TR.row_cap(t, 1).collect()] == [1]
     assert TR.row_cap(t, -1).count() == 2
 
 
+def test_seven_column_trip_file_keeps_its_line_order(spark, tmp_path):
+    head = ("duration_sec,start_station_id,start_station_latitude,start_station_longitude,end_station_id,"
+            "end_station_latitude,end_station_longitude\n")
+    (tmp_path / "a.csv").write_text(head + "100,5.0,1.0,2.0,6,3.0,4.0\n-7,5,1.0,2.0,6,3.0,4.0\n,5,1.0,2.0,6,3.0,4.0\n"
+                                    "9,5.5,1.0,2.0,6,3.0,4.0\n50,6.0,3.0,4.0,5,1.0,2.0\n")
+    (tmp_path / "b.csv").write_text(head + "70,7,1.0,2.0,6,3.0,4.0\n")
+    raw = TR.normalize_trips(TR.read_trips_raw(spark, str(tmp_path)))
+    assert TR.quarantine(raw).count() == 3
+    t = TR.read_trips(spark, str(tmp_path))
+    assert [(r.src, r.weight) for r in t.orderBy("trip_id").collect()] == [(5, 100), (6, 50), (7, 70)]
+    assert [(r.src, r.weight) for r in TR.row_cap(t, 2).collect()] == [(5, 100), (6, 50)]
+    assert [(r.id, r.pos, r.weight) for r in G.adjacency_out(t).orderBy("id").collect()] == [(5, 0, 100), (6, 0, 50), (7, 0, 70)]
+
+
 def test_edge_upsert_semantics(spark):
     base = spark.createDataFrame([(1, 1, 2, 10, 0.0, 0.0, 1.0, 1.0)],
                                  "seq bigint, src bigint, dst bigint, weight bigint, src_lon double, src_lat double, "
