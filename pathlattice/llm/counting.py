@@ -10,6 +10,8 @@ Shards and chunks bound a task's memory (about 60 bytes for each of ``KEYS_PER_S
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -79,8 +81,9 @@ def sums_of(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, lead
 
 
-def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """``chunks (chunk bigint, keys, weights)``: sorted distinct little-endian u64 keys and their u32 weights.
+def key_sums(spark: SparkSession, chunks: DataFrame, make: Callable[[dict], tuple[np.ndarray, np.ndarray]], n_keys: int,
+             name: str) -> tuple[DataFrame, DataFrame]:
+    """``make`` gives the sorted distinct u64 keys of a row of ``chunks (chunk bigint, …)`` and their u32 weights.
 
     Returns ``chunk, shard, sums`` (packed sums, in the order of the chunk's keys in that shard; see ``by_chunk`` and
     ``put_together``), and one row per shard: for the odd keys only, the number of those whose sum is not 0, and the total of their sums."""
@@ -88,19 +91,19 @@ def key_sums(spark: SparkSession, chunks: DataFrame, n_keys: int, name: str) ->
     bounds = shard_bounds(n)
 
     def send(batches):
-        for batch in batches:
-            for chunk, keys, weights in zip(*(batch.column(c).to_pylist() for c in ("chunk", "keys", "weights"))):
-                k, w = np.frombuffer(keys, U), np.frombuffer(weights, np.uint32)
-                cut = np.append(np.searchsorted(k, bounds), len(k)).tolist()
-                used = [i for i in range(n) if cut[i + 1] > cut[i]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()),
-                     pa.array([narrow(k[cut[i]:cut[i + 1]], i * (1 << 64) // n, -(-(1 << 64) // n)) for i in used],
-                              pa.binary()),
-                     pa.array([planes(w[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
-                    names=["shard", "chunk", "keys", "weights"])
-
-    sent = map_arrow(chunks.select("chunk", "keys", "weights"), send,
+        for row in rows_of(batches, columns):
+            k, w = make(row)
+            cut = np.append(np.searchsorted(k, bounds), len(k)).tolist()
+            used = [i for i in range(n) if cut[i + 1] > cut[i]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), pa.array([row["chunk"]] * len(used), pa.int64()),
+                 pa.array([narrow(k[cut[i]:cut[i + 1]], i * (1 << 64) // n, -(-(1 << 64) // n)) for i in used],
+                          pa.binary()),
+                 pa.array([planes(w[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
+                names=["shard", "chunk", "keys", "weights"])
+
+    columns = chunks.columns
+    sent = map_arrow(chunks, send,
                      "shard int, chunk bigint, keys binary, weights binary").repartition(n, "shard")
 
     def add(table: pa.Table) -> pa.Table:

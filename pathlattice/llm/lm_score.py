@@ -216,16 +216,12 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     chunks = stage(spark, token_chunks(docs), "lm-chunks")
 
-    def keys(batches):
-        for row in rows_of(batches, PACKED):
-            c = Chunk(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["chunk"]], pa.int64()), pa.array([c.keys.tobytes()], pa.binary()),
-                 pa.array([c.training_weights().tobytes()], pa.binary())], names=["chunk", "keys", "weights"])
+    def keys(row):
+        c = Chunk(row)
+        return c.keys, c.training_weights()
 
     n_keys = chunks.agg(F.sum(F.octet_length("codes"))).first()[0] or 0
-    sums, totals = key_sums(spark, map_arrow(chunks.select(*PACKED), keys, "chunk bigint, keys binary, weights binary"),
-                            n_keys // 5, "lm-sums")
+    sums, totals = key_sums(spark, chunks.select(*PACKED), keys, n_keys // 5, "lm-sums")
     known = totals.agg(F.sum("n_keys").alias("v"), F.sum("total").alias("n")).first()
     starts = chunks.select("folds")
     trained = map_arrow(starts, lambda batches: (

@@ -276,15 +276,11 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
     """``kind, key, node`` of keys that several nodes hold: 0 the exact index, 1 the one-deletion index, 2 requests."""
     starts = band_starts(largest)
 
-    def distinct(batches):
-        for chunk in rows_of(batches, ["chunk", "shingles"]):
-            keys, weights = np.unique(np.frombuffer(chunk["shingles"], U), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk["chunk"]], pa.int64()), pa.array([keys.tobytes()], pa.binary()),
-                 pa.array([weights.astype(np.uint32).tobytes()], pa.binary())], names=["chunk", "keys", "weights"])
-
-    sums, _ = key_sums(spark, map_arrow(chunks.select("chunk", "shingles"), distinct,
-                                        "chunk bigint, keys binary, weights binary"), n_keys, "shingle-sums")
+    def distinct(row):
+        keys, weights = np.unique(np.frombuffer(row["shingles"], U), return_counts=True)
+        return keys, weights.astype(np.uint32)
+
+    sums, _ = key_sums(spark, chunks.select("chunk", "shingles"), distinct, n_keys, "shingle-sums")
 
     def run(batches):
         for chunk in rows_of(batches, ["nodes", "sizes", "shingles", "sums"]):
