@@ -34,7 +34,7 @@ NEUTRAL = 4.0
 def telling_cells(sample: sw.Sample, buckets: int) -> np.ndarray:
     """Cells whose document shares in the two classes differ by at least ``MIN_Z`` standard errors."""
     keep = np.zeros(buckets, bool)
-    if len(sample.classes) == 2:
+    if len(sample.classes) == 2 and len(sample.y):
         n = np.bincount(sample.y, minlength=2).astype(np.float64)
         hits = [np.bincount(np.concatenate([c for (c, _), y in zip(sample.rows, sample.y) if y == k] or [np.zeros(0, int)]),
                             minlength=buckets) for k in (0, 1)]

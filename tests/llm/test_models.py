@@ -71,7 +71,8 @@ def test_toxicity(llm_spark, odd, none, labels):
 
 def test_unseen_misspellings_of_toxic_words(llm_spark):
     rng = random.Random(9)
-    docs = [(i, sentence(rng, 60) + (" you worthlessfool and dimwitted " + sentence(rng, 60) if i % 4 == 0 else "")) for i in range(1200)]
+    bad = ["worthlessfool", "dimwitted"]
+    docs = [(i, f"{sentence(rng, 50)} {rng.choice(bad) if i % 4 == 0 else ''} {sentence(rng, 50)}") for i in range(1200)]
     test = [(9000 + k, f"{sentence(rng, 50)} {w} {sentence(rng, 50)}") for k, w in enumerate(["worthlessf00l", "dimwiitted", "wworthlessfool"])]
     clean = [(9500 + k, sentence(rng, 100)) for k in range(50)]
     frame = llm_spark.createDataFrame(docs + test + clean, "doc_id bigint, text string")
