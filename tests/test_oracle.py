@@ -5,17 +5,19 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from pathlattice import catalog
 from pathlattice.checks import compare, duck
 
 SF = "/root/testdata/sf0.001"
 CORE = ["k_shortest_paths", "k_shortest_many_queries", "k_shortest_multi_source", "ranked_results", "top_k_per_node",
         "meet_in_middle", "node_documents", "snapshot_tolerant_read", "edge_upsert", "edge_message_parse",
         "reweight_paths", "stream_reweight_paths", "stream_snapshot_publish", "path_overlay", "topic_demux"]
-NAMES = list(E.queries()) if os.environ.get("PATHLATTICE_FULL_ORACLE") else CORE
+NAMES = list(catalog.QUERIES) if os.environ.get("PATHLATTICE_FULL_ORACLE") else CORE
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
