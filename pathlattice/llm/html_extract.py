@@ -4,7 +4,8 @@ Pass 1 cuts every page into blocks of text, each with the path of its containers
 code points, less those inside links, to its nearest containers. A container's path is generalised to
 ``tag.class`` steps (ids, digits and all but the first class are dropped), so pages made from one template agree. Per host the
 votes for each path are summed in Spark; the path with most votes wins. Pass 2 reads each page again and takes the blocks
-under the winning path of its host; a page without that path (or without a host) uses its own best container.
+under the winning path of its host; a page without that path (or without a host) uses its own best container. Either is
+widened to the parents that add text of the article (``climb``), so a heading or lead beside the body's wrapper stays.
 
 Never part of the text: script, style, template and form content, navigation, header, footer and aside elements, and
 containers whose class, id or role names them as menu, sidebar, notice, advert or reader comments.
@@ -173,6 +174,23 @@ def text_under(blocks, path: str) -> str:
     return "\n".join(b for b, _, paths in blocks if path in paths)
 
 
+def climb(blocks, path: str) -> str:
+    """The outermost container around ``path`` whose further text is the article's: a parent is taken while what it adds is hardly
+    linked. Never out of an ``article`` or ``main``, and never to the whole body, which holds what is around an article too."""
+    while path.rsplit("/", 1)[-1].split(".")[0] not in ("article", "main"):
+        # containers of one path may have parents of one path only
+        chain = next(paths for _, _, paths in blocks if path in paths)
+        place = chain.index(path)
+        parent = chain[place - 1] if place else ""
+        if parent.rsplit("/", 1)[-1].split(".")[0] in ("", "body", "html"):
+            break
+        added = [(len(b), linked) for b, linked, paths in blocks if parent in paths and path not in paths]
+        if 4 * sum(k for _, k in added) > sum(n for n, _ in added):
+            break
+        path = parent
+    return path
+
+
 def host(url="url"):
     return F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
@@ -225,6 +243,9 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
                         scores = container_scores(blocks)
                         path = min(scores, key=lambda p: (-scores[p], p))
                         text = text_under(blocks, path)
+                    if text and path:
+                        path = climb(blocks, path)
+                        text = text_under(blocks, path)
                     texts.append(text)
                     used.append(path if text else None)
                 yield pa.RecordBatch.from_arrays(
