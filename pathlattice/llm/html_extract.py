@@ -8,7 +8,8 @@ under the winning path of its host; a page without that path (or without a host)
 widened to the parents that add text of the article (``climb``), so a heading or lead beside the body's wrapper stays.
 
 Never part of the text: script, style, template and form content, navigation, header, footer and aside elements, and
-containers whose class, id or role names them as menu, sidebar, notice, advert or reader comments.
+containers whose class, id or role names them as menu, sidebar, notice, advert or reader comments (unless the page's text is
+in them, see ``page_blocks``).
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in
 page order by one line end. Block elements end a block; ``br`` is white space.
@@ -45,18 +46,25 @@ BOILERPLATE = frozenset("nav header footer aside form button select menu dialog
 P_ENDERS = BLOCKS - {"body", "html"}
 SIBLING_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "option": {"option"}}
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|ads?|advert\w*|adverts|banner|sponsor\w*|promo\w*|"
+NAMES = (
+    r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|ads?|advert\w*|adverts|banner|sponsor\w*|promo\w*|"
     r"cookies?|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|disqus|replies|pagination|pager|toolbar|widget|complementary|contentinfo)(?:$|[\s_-])", re.I)
+    r"comments?|disqus|replies|pagination|pager|toolbar|widget|complementary|contentinfo")
+NAMED = re.compile(rf"(?:^|[\s_-])(?:{NAMES})(?:$|[\s_-])", re.I)
+NAMED_WHOLE = re.compile(rf"(?:^|\s)(?:{NAMES})(?:$|\s)", re.I)  # not as a part of a name such as has-sidebar
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")  # of any name, so values are passed over
+READ = frozenset("class id role hidden aria-hidden".split())
 WHITE = re.compile(r"\s+")
 SALTS = 16
 
 
 def attributes(text: str) -> dict[str, str]:
-    return {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(text)} if text.strip(" /") else {}
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text) if text.strip(" /") else ():
+        if name.lower() in READ:
+            out.setdefault(name.lower(), "".join(values))  # the first of a name counts
+    return out
 
 
 def step(tag: str, attrs: dict[str, str]) -> str:
@@ -69,15 +77,38 @@ def step(tag: str, attrs: dict[str, str]) -> str:
 def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
     if tag in ("html", "body", "main", "article"):
         return False
-    if tag in BOILERPLATE or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
-    return any(NAMED.search(attrs.get(k, "")) for k in ("class", "id", "role"))
+    return tag in BOILERPLATE or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
+
+
+def is_named(tag: str, attrs: dict[str, str], pattern: re.Pattern = NAMED) -> bool:
+    """Whether class, id or role name an element as something beside the text."""
+    return tag not in ("html", "body", "main", "article") and any(pattern.search(attrs.get(k, "")) for k in ("class", "id", "role"))
 
 
 def page_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
-    """Blocks outside boilerplate: text, code points in links, and the paths of its containers, outermost first."""
+    """Blocks outside boilerplate: text, code points in links, and the paths of its containers, outermost first.
+
+    A name is no proof: an element that only its name makes boilerplate stays for the vote when it holds all unlinked text of the page, or
+    over three quarters of it and the name is a part of a longer one (``has-sidebar``). What is boilerplate inside it still goes."""
+    spared: set[int] = set()
+    while True:
+        blocks, named, kept = parse_blocks(page, spared)
+        most = max(named, key=lambda k: named[k][0], default=None)
+        if most is None or not named[most][0]:
+            return blocks
+        size, whole = named[most]
+        rest = kept + sum(n for n, _ in named.values()) - size
+        if kept if whole else 3 * rest >= size:
+            return blocks
+        spared.add(most)
+
+
+def parse_blocks(page: str, spared: set[int]) -> tuple[list[tuple[str, int, tuple[str, ...]]], dict[int, tuple[int, bool]], int]:
+    """The blocks; by the position of each outermost element that its name alone makes boilerplate, the unlinked code points that go
+    with it and whether the name is a whole one; and the unlinked code points that stay. ``spared``: such elements that stay."""
     out: list[tuple[str, int, tuple[str, ...]]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate at or above it
+    stack: list[tuple[str, str, bool, int]] = []  # tag, step, boilerplate at or above it, position of the named one (-1: none)
+    named: dict[int, tuple[int, bool]] = {}
     text: list[str] = []
     linked = at = links = 0
 
@@ -87,7 +118,7 @@ def page_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
             block = WHITE.sub(" ", entities.unescape("".join(text))).strip()
             if block:
                 path, found = "", []
-                for tag, name, _ in stack:
+                for tag, name, *_ in stack:
                     path += "/" + name
                     if tag in CONTAINERS:
                         found.append(path)
@@ -111,6 +142,9 @@ def page_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
             text.append(piece)
             if links:
                 linked += len(piece.strip())
+        elif piece and stack[-1][3] >= 0 and not links:
+            size, whole = named[stack[-1][3]]
+            named[stack[-1][3]] = size + len(piece.strip()), whole
 
     while True:
         m = TOKEN.search(page, at)
@@ -151,10 +185,16 @@ def page_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
             flush()
             if tag not in VOID:
                 attrs = attributes(m[3])
-                stack.append((tag, step(tag, attrs), bool(stack and stack[-1][2]) or is_boilerplate(tag, attrs)))
+                out_of_text, by_name = stack[-1][2:] if stack else (False, -1)
+                if is_boilerplate(tag, attrs):
+                    out_of_text, by_name = True, -1
+                elif not out_of_text and at not in spared and is_named(tag, attrs):
+                    out_of_text, by_name = True, at
+                    named[at] = 0, is_named(tag, attrs, NAMED_WHOLE)
+                stack.append((tag, step(tag, attrs), out_of_text, by_name))
                 links = 0
     flush()
-    return out
+    return out, named, sum(max(0, len(b) - k) for b, k, _ in out)
 
 
 def container_scores(blocks) -> dict[str, float]:

@@ -22,3 +22,24 @@ def test_heading_and_lead_beside_the_body_stay(llm_spark):
         for text in extracted(llm_spark, page, page):
             assert text.startswith("The heading\nThe lead of it.\nlong text") and text.endswith(" 7")
             assert "read also" not in text
+
+
+def test_attributes_are_whole_pairs():
+    assert H.attributes(' style="overflow:hidden" data-id=menu data-class="sidebar" title="id=ads class=nav"') == {}
+    assert H.attributes(""" CLASS='a b' id=x hidden aria-hidden="true" class=second""") == {
+        "class": "a b", "id": "x", "hidden": "", "aria-hidden": "true"}
+
+
+def test_layout_wrappers_do_not_empty_a_page():
+    story = f"<h1>The heading</h1>{BODY}"
+    side = "<div class=sidebar><p>words of the sidebar</p></div><div class=comments><p>words of a reader</p></div>"
+
+    def text(page):
+        return "\n".join(b for b, _, _ in H.page_blocks(page))
+
+    for attrs in ('style="overflow:hidden"', 'data-role="navigation"', 'class="content has-sidebar"', 'class="elementor-widget"',
+                  'class="side-by-side" id="page-header"', 'class="widget"'):
+        assert text(f"<body><div {attrs}>{story}{side}</div></body>") == text(f"<body><div>{story}</div></body>"), attrs
+    # hidden elements, and long comments beside a text, still go
+    assert text(f"<body><div hidden>{story}</div><p>x</p></body>") == "x"
+    assert text(f"<body><p>short story</p><div class=comments>{BODY}</div></body>") == "short story"
