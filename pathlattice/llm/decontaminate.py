@@ -137,10 +137,10 @@ class Index:
         return at[ok], self.member[row[ok]]
 
 
-def window_starts(c: Class, hit: np.ndarray, n_words: int, doc_end: np.ndarray) -> np.ndarray:
+def window_starts(c: Class, hit: np.ndarray, n_words: int, doc_start: np.ndarray, doc_end: np.ndarray) -> np.ndarray:
     """Starts of all windows of ``span`` words in which at least ``need`` of the class's word pairs stand (at ``hit``).
 
-    ``doc_end[i]`` is the end of word i's text."""
+    ``doc_start[i]`` and ``doc_end[i]`` are where word i's text begins and ends; a window begins in the text of its pairs."""
     if len(hit) < c.need:
         return np.zeros(0, np.int64)
     first, last = hit[:len(hit) - c.need + 1], hit[c.need - 1:]
@@ -148,7 +148,7 @@ def window_starts(c: Class, hit: np.ndarray, n_words: int, doc_end: np.ndarray)
     first, last = first[ok], last[ok]
     if not len(first):
         return first
-    low = np.maximum(last + 2 - c.span, 0)
+    low = np.maximum(last + 2 - c.span, doc_start[first])
     mark = np.zeros(n_words + 2, np.int32)
     np.add.at(mark, low, 1)
     np.add.at(mark, first + 1, -1)
@@ -162,14 +162,14 @@ def leaks_of_block(b: tv.Block, items: list[np.ndarray], index: Index) -> dict[t
     if len(h) < 2 or not index.classes:
         return found
     doc = np.repeat(np.arange(len(b)), b.words_per_text)
-    doc_end = b.word_off[1:][doc]
+    doc_start, doc_end = b.word_off[:-1][doc], b.word_off[1:][doc]
     pairs = np.where(doc[:-1] == doc[1:], pair_hash(h), U(0))  # 0 over a text's end
     at, member = index.hits(pairs)
     for k, c in enumerate(index.classes):
-        start = window_starts(c, at[member[:, k]], len(h), doc_end)
+        start = window_starts(c, at[member[:, k]], len(h), doc_start, doc_end)
         if not len(start):
             continue
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int, int]] = set()
         for rep in range(REPEATS):
             keys = walk_keys(h, start, doc_end[start], c.odd, c.picks, rep)
             left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
@@ -177,14 +177,14 @@ def leaks_of_block(b: tv.Block, items: list[np.ndarray], index: Index) -> dict[t
                 s = int(start[w])
                 for i in dict.fromkeys(c.owner[left[w]:right[w]].tolist()):
                     n = len(items[i])
-                    if (place := (i, s // n)) in seen:
+                    d = int(doc[s])
+                    if (place := (d, i, (s - int(b.word_off[d])) // n)) in seen:
                         continue
                     seen.add(place)
-                    d = int(doc[s])
                     if found.get((d, i), (1,))[0] == 0:
                         continue
                     lo = max(s - n, int(b.word_off[d]))
-                    dist, _ = edit_distance(items[i], h[lo:min(s + 2 * n + tau(n), int(doc_end[s]))])
+                    dist, _ = edit_distance(items[i], h[lo:min(s + 2 * n + 2 * tau(n), int(doc_end[s]))])
                     if dist <= tau(n) and dist < found.get((d, i), (n,))[0]:
                         found[d, i] = (dist, lo - int(b.word_off[d]))
     return found
