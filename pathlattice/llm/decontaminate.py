@@ -5,12 +5,9 @@ Texts and items are sequences of normalised words (lower-cased, split at every A
 (insert, delete, replace) of it: a similarity of at least 0.75. Items of under 8 words must match exactly; items of under
 ``MIN_WORDS`` words say nothing about a leak and are not looked for.
 
-Method: every item-sized window start that can match is embedded by CGK random walks (at step j the walk emits the word it stands on,
-and moves on if a random bit of (j, word) says so; both sides share the bits, so after an edit the walks fall back into
-step, and edit distance becomes Hamming distance). Bit sampling LSH keeps ``SAMPLED`` emitted words per repetition; a
-window and an item with an equal key in any of the repetitions are compared by exact edit distance. The number
-of repetitions comes from ``RECALL`` at half of the positions agreeing; an unedited item is always found. Windows that can match are
-chosen without loss: an item within tau edits keeps at least ``n - 1 - 2 tau`` of its word pairs, in at most n + tau words.
+Method: an item of n words within tau edits keeps at least ``n - 1 - 2 tau`` of its word pairs, in at most n + tau words. Stretches of
+a text that hold so many pairs of a class of items (of similar length), and then of one item, are compared by exact edit distance, so
+every item within tau edits is found, whatever the edits.
 
 Scale: one pass over the texts without a shuffle; the benchmark goes along with the tasks in slices of at most ``SLICE_BYTES``
 of text, one pass per slice, so its size has no limit either.
@@ -36,11 +33,9 @@ from pathlattice.llm.common import free_name, map_arrow
 U = np.uint64
 EDITS = 0.25
 MIN_WORDS, MIN_FUZZY = 5, 8
-SAMPLED = 2
-RECALL = 0.99
-REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - 0.5 ** SAMPLED))
 CLASS_RATIO = 1.1
 SLICE_BYTES = 8 << 20
+ENTRIES = 1 << 22  # (pair, item) entries counted at a time
 
 
 def tau(n: int) -> int:
@@ -65,28 +60,17 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class Class:
-    """Items of similar length, their walks' random numbers and keys."""
-    items: list[int]
-    lo: int
+    """Items of similar length and their word pairs."""
     need: int          # item word pairs that every match keeps
     span: int          # words in which they lie
     pairs: np.ndarray  # sorted hashes of the items' word pairs
-    odd: np.ndarray    # [repeats, steps] odd multipliers: the random bit of (step, word) is the product's top bit
-    picks: np.ndarray  # [repeats, sampled] steps whose word is kept
-    keys: np.ndarray   # sorted keys and the items they are of
+    first: np.ndarray  # the items with pair i are ``owner[first[i]:first[i + 1]]``
     owner: np.ndarray
 
 
-def walk_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, odd: np.ndarray, picks: np.ndarray, rep: int) -> np.ndarray:
-    """Key of one repetition for windows starting at ``start`` in the word hashes ``h``, ending at ``stop`` at the latest."""
-    at = start.copy()
-    key = np.full(len(start), rep + 1, U)
-    for j in range(int(picks[rep].max()) + 1):
-        word = np.where(at < stop, h[np.minimum(at, len(h) - 1)], U(0))
-        if j in picks[rep]:
-            key = tv.mix(key * U(0x100000001B3) + word)
-        at = at + ((word * odd[rep, j]) >> U(63)).astype(np.int64)
-    return key
+def needed(n):
+    """Word pairs that an item of n words keeps under ``tau`` edits, and the words in which they lie then."""
+    return n - 1 - 2 * tau(n), n + tau(n)
 
 
 def build_classes(items: list[np.ndarray]) -> list[Class]:
@@ -96,19 +80,13 @@ def build_classes(items: list[np.ndarray]) -> list[Class]:
             exact = len(w) < MIN_FUZZY
             by.setdefault(-len(w) if exact else int(math.log(len(w)) / math.log(CLASS_RATIO)), []).append(i)
     out = []
-    for k, members in sorted(by.items()):
-        rng = np.random.RandomState(abs(k) + 1)
-        sizes = [len(items[i]) for i in members]
-        lo, steps = min(sizes), max(1, int(1.5 * min(sizes)))
-        odd = rng.randint(0, 1 << 62, (REPEATS, steps)).astype(U) * U(4) + U(rng.randint(0, 2) * 2 + 1)
-        picks = np.stack([rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(REPEATS)])
-        flat = np.concatenate([items[i] for i in members])
-        ends = np.cumsum(sizes)
-        keys = np.concatenate([walk_keys(flat, ends - sizes, ends, odd, picks, r) for r in range(REPEATS)])
-        order = np.argsort(keys, kind="stable")
-        out.append(Class(members, lo, min(n - 1 - 2 * tau(n) for n in sizes), max(n + tau(n) for n in sizes),
-                         np.unique(np.concatenate([pair_hash(items[i]) for i in members])), odd, picks, keys[order],
-                         np.tile(np.array(members), REPEATS)[order]))
+    for _, members in sorted(by.items()):
+        hashes = [np.unique(pair_hash(items[i])) for i in members]
+        flat, owner = np.concatenate(hashes), np.repeat(np.array(members), [len(x) for x in hashes])
+        order = np.argsort(flat, kind="stable")
+        pairs, first = np.unique(flat[order], return_index=True)
+        limits = [needed(len(items[i])) for i in members]
+        out.append(Class(min(x for x, _ in limits), max(x for _, x in limits), pairs, np.append(first, len(flat)), owner[order]))
     return out
 
 
@@ -119,6 +97,8 @@ class Index:
     marked: np.ndarray  # by the top 20 bits of a pair's hash: whether any class may have it
     pairs: np.ndarray
     member: np.ndarray  # [pair, class]
+    need: np.ndarray    # of each item, see ``needed``
+    span: np.ndarray
 
     @classmethod
     def of(cls, items: list[np.ndarray]) -> Index:
@@ -127,7 +107,8 @@ class Index:
         marked = np.zeros(1 << 20, bool)
         marked[pairs >> U(44)] = True
         return cls(classes, marked, pairs, np.stack([np.isin(pairs, c.pairs) for c in classes], axis=1)
-                   if classes else np.zeros((0, 0), bool))
+                   if classes else np.zeros((0, 0), bool),
+                   *np.array([needed(len(w)) for w in items], np.int64).reshape(-1, 2).T)
 
     def hits(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of word pairs of any class, and the rows of ``member`` there."""
@@ -137,22 +118,49 @@ class Index:
         return at[ok], self.member[row[ok]]
 
 
-def window_starts(c: Class, hit: np.ndarray, n_words: int, doc_start: np.ndarray, doc_end: np.ndarray) -> np.ndarray:
-    """Starts of all windows of ``span`` words in which at least ``need`` of the class's word pairs stand (at ``hit``).
-
-    ``doc_start[i]`` and ``doc_end[i]`` are where word i's text begins and ends; a window begins in the text of its pairs."""
-    if len(hit) < c.need:
-        return np.zeros(0, np.int64)
-    first, last = hit[:len(hit) - c.need + 1], hit[c.need - 1:]
-    ok = (last + 2 - first <= c.span) & (doc_end[first] == doc_end[last])
-    first, last = first[ok], last[ok]
-    if not len(first):
-        return first
-    low = np.maximum(last + 2 - c.span, doc_start[first])
-    mark = np.zeros(n_words + 2, np.int32)
+def class_hits(c: Class, hit: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Those of the class's word pairs (at ``hit``) that stand in some ``span`` words of one text with ``need`` of them."""
+    last = np.arange(c.need - 1, len(hit))
+    first = last - (c.need - 1)
+    ok = (hit[last] + 2 - hit[first] <= c.span) & (doc[hit[first]] == doc[hit[last]])
+    # every hit of a span that may be one, from ``span`` words before the last needed hit to as many behind the first
+    low = np.searchsorted(hit, hit[last[ok]] + 2 - c.span, "left")
+    high = np.searchsorted(hit, hit[first[ok]] + c.span, "left")
+    mark = np.zeros(len(hit) + 1, np.int64)
     np.add.at(mark, low, 1)
-    np.add.at(mark, first + 1, -1)
-    return np.flatnonzero(np.cumsum(mark) > 0)
+    np.add.at(mark, high, -1)
+    return hit[np.cumsum(mark[:-1]) > 0]
+
+
+def item_regions(c: Class, hit: np.ndarray, pair: np.ndarray, need: np.ndarray, span: np.ndarray, b: tv.Block, doc: np.ndarray):
+    """``item, text, first word, end`` of the regions in which an item of the class may be; ``pair`` are the hits' pairs."""
+    row = np.searchsorted(c.pairs, pair)
+    count = c.first[row + 1] - c.first[row]
+    part = np.cumsum(count) // ENTRIES
+    # cut between texts only
+    part = part[np.searchsorted(doc[hit], doc[hit], "left")]
+    for k in np.unique(part):
+        mine = np.flatnonzero(part == k)
+        n = count[mine]
+        at = np.repeat(c.first[row[mine]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        item, place = c.owner[at], np.repeat(hit[mine], n)
+        order = np.argsort(item, kind="stable")  # places stay in order
+        item, place = item[order], place[order]
+        last = np.arange(len(item)) + need[item] - 1
+        first = np.flatnonzero(last < len(item))
+        last = last[first]
+        ok = (item[first] == item[last]) & (doc[place[first]] == doc[place[last]]) & (place[last] + 2 - place[first] <= span[item[first]])
+        item, first, last = item[first[ok]], place[first[ok]], place[last[ok]]
+        if not len(item):
+            continue
+        text = doc[first]
+        low = np.maximum(last + 2 - span[item], b.word_off[text])
+        high = np.minimum(first + span[item], b.word_off[text + 1])
+        fresh = np.ones(len(item), bool)
+        fresh[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (low[1:] > high[:-1])
+        begin = np.flatnonzero(fresh)
+        yield from zip(item[begin].tolist(), text[begin].tolist(), low[begin].tolist(),
+                       np.maximum.reduceat(high, begin).tolist())
 
 
 def leaks_of_block(b: tv.Block, items: list[np.ndarray], index: Index) -> dict[tuple[int, int], tuple[int, int]]:
@@ -162,31 +170,19 @@ def leaks_of_block(b: tv.Block, items: list[np.ndarray], index: Index) -> dict[t
     if len(h) < 2 or not index.classes:
         return found
     doc = np.repeat(np.arange(len(b)), b.words_per_text)
-    doc_start, doc_end = b.word_off[:-1][doc], b.word_off[1:][doc]
     pairs = np.where(doc[:-1] == doc[1:], pair_hash(h), U(0))  # 0 over a text's end
     at, member = index.hits(pairs)
     for k, c in enumerate(index.classes):
-        start = window_starts(c, at[member[:, k]], len(h), doc_start, doc_end)
-        if not len(start):
+        hit = class_hits(c, at[member[:, k]], doc)
+        if not len(hit):
             continue
-        seen: set[tuple[int, int, int]] = set()
-        for rep in range(REPEATS):
-            keys = walk_keys(h, start, doc_end[start], c.odd, c.picks, rep)
-            left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
-            for w in np.flatnonzero(right > left):
-                s = int(start[w])
-                for i in dict.fromkeys(c.owner[left[w]:right[w]].tolist()):
-                    n = len(items[i])
-                    d = int(doc[s])
-                    if (place := (d, i, (s - int(b.word_off[d])) // n)) in seen:
-                        continue
-                    seen.add(place)
-                    if found.get((d, i), (1,))[0] == 0:
-                        continue
-                    lo = max(s - n, int(b.word_off[d]))
-                    dist, _ = edit_distance(items[i], h[lo:min(s + 2 * n + 2 * tau(n), int(doc_end[s]))])
-                    if dist <= tau(n) and dist < found.get((d, i), (n,))[0]:
-                        found[d, i] = (dist, lo - int(b.word_off[d]))
+        for i, d, lo, hi in item_regions(c, hit, pairs[hit], index.need, index.span, b, doc):
+            n = len(items[i])
+            if found.get((d, i), (1,))[0] == 0:
+                continue
+            dist, _ = edit_distance(items[i], h[lo:hi])
+            if dist <= tau(n) and dist < found.get((d, i), (n,))[0]:
+                found[d, i] = (dist, lo - int(b.word_off[d]))
     return found
 
 

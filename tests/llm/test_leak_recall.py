@@ -29,3 +29,19 @@ def test_adjacent_copies_get_one_answer(n, cut):
         assert hits <= set(range(20))
         lost += len(hits) not in (0, 20)
     assert lost == 0
+
+
+@pytest.mark.parametrize("kind", ["replace", "delete", "insert", "mixed"])
+@pytest.mark.parametrize("n", [8, 20, 40, 80, 200])
+def test_every_item_a_quarter_edited_is_found(n, kind):
+    rng = random.Random(n)
+    items = [sentence(rng, n) for _ in range(60)]
+    texts = []
+    for item in items:
+        w, left = item.split(), D.tau(n)
+        for what in ("replace", "delete", "insert") if kind == "mixed" else (kind,):
+            w = edited(rng, w, left if what == kind else min(left, -(-D.tau(n) // 3)), what)
+            left -= min(left, -(-D.tau(n) // 3))
+        texts.append(" ".join([sentence(rng, 30), *w, sentence(rng, 30)]))
+    assert found(items, texts) == set(range(60))
+    assert found(items, [sentence(rng, n) for _ in range(20)]) == set()
