@@ -10,7 +10,7 @@ from pathlattice.operators import updates as U
 from pathlattice.plans import ksp
 from pathlattice.sources import snapshot as S
 
-from conftest import EXTRA_UPDATES
+from seed_graph import EXTRA_UPDATES
 
 
 def _edges(spark, seed_map_path, extra=False):
