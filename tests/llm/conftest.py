@@ -1,26 +1,16 @@
 import random
 
 import pytest
+from llm_texts import sentence
 
 from pathlattice.session import build_session
 
-SF = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def llm_spark():
     return build_session(shuffle_partitions=4)
 
 
-def words(rng: random.Random, n: int) -> list[str]:
-    syllables = "ka lo mi ren tu vas zor pel dri fa nog shi".split()
-    return ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(n)]
-
-
-def sentence(rng: random.Random, n: int) -> str:
-    return " ".join(words(rng, n))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """(doc_id, text, lang, source, score, key, node, _gone, Line): nulls, empty and blank texts, ties, repeated rows, equal ids,

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF, sentence
+from llm_texts import SF, sentence
 
 from pathlattice.llm import decontaminate as D
 from pathlattice.llm import line_dedup as L

@@ -4,7 +4,7 @@ import random
 
 import pyarrow as pa
 import pytest
-from conftest import sentence
+from llm_texts import sentence
 from test_recall import edited
 
 from pathlattice.llm import decontaminate as D

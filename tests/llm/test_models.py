@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from conftest import SF, sentence
+from llm_texts import SF, sentence
 
 from pathlattice.llm import html_extract as H
 from pathlattice.llm import language_id, queries, quality_classifier, toxicity

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import sentence
+from llm_texts import sentence
 
 from pathlattice.llm import line_dedup as L
 
