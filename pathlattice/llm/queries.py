@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import decontaminate, html_extract, language_id, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, toxicity
+from pathlattice.llm import (decontaminate, html_extract, language_id, line_dedup, lm_score, ngram_join, packing, piece_codec,
+                             quality_classifier, quality_rules, toxicity)
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +111,17 @@ def op5(spark, sf_dir):
 @register("op2_lm_score")
 def op2(spark, sf_dir):
     return lm_score.score(spark, table(spark, sf_dir, "documents"))
+
+
+def piece_model() -> str:
+    """The piece model file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op12_sentencepiece")
+def op12(spark, sf_dir):
+    coded = piece_codec.codec(spark, table(spark, sf_dir, "documents"), piece_model())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
