@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import (decontaminate, html_extract, language_id, line_dedup, lm_score, ngram_join, packing, piece_codec,
-                             quality_classifier, quality_rules, toxicity)
+from pathlattice.llm import (decontaminate, filter_audit, html_extract, language_id, line_dedup, lm_score, ngram_join,
+                             packing, piece_codec, quality_classifier, quality_rules, toxicity)
 from pathlattice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,37 @@ def op12(spark, sf_dir):
     coded = piece_codec.codec(spark, table(spark, sf_dir, "documents"), piece_model())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+OP13_SQL = r"""
+WITH base AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+known AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+smallest AS (SELECT t, min(doc_id) AS lo FROM base GROUP BY t),
+marks AS (SELECT b.part, coalesce(k.good, false) AS good, coalesce(k.toxic, false) AS toxic,
+  CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+  + 4 * CAST(100 * length(regexp_replace(b.t, '[^A-Z]+', '', 'g')) > 5 * length(b.t) AS INT)
+  + 8 * CAST(regexp_matches(b.t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(s.lo < b.doc_id, false) AS INT) AS mask
+  FROM base b JOIN smallest s ON s.t = b.t LEFT JOIN known k ON k.doc_id = b.doc_id),
+combos AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM marks GROUP BY part, mask),
+f(c, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT o, s, bits[s] AS bit, coalesce(list_sum(bits[1:s - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s) x),
+rows_ AS (SELECT part, o, s, bit, coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+  coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS removed,
+  coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0) AS redundant,
+  coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+  coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS good_lost,
+  coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS toxic_lost
+  FROM combos, steps GROUP BY part, o, s, bit)
+SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM rows_"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13(spark, sf_dir):
+    return filter_audit.filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -140,6 +140,32 @@ def blocks(col, lower: bool = False, limit: int = BLOCK_BYTES, space=SPACE):
         yield parse(data, off, lower, lo, space)
 
 
+def parts(col, limit: int = BLOCK_BYTES):
+    """Like ``pieces``, with texts longer than ``limit`` cut behind a space byte: bytes, offsets, first row, and whether more of that one
+    row follows. A word longer than ``limit`` stays whole."""
+    data, off = buffers(col)
+    i, n = 0, len(off) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+        a, end = int(off[i]), int(off[j])
+        while end - a > limit:  # one long text
+            b = a + limit
+            spaces = np.flatnonzero(SPACE[data[a:b]])
+            while not len(spaces) and b < end:
+                b = min(end, b + limit)
+                spaces = np.flatnonzero(SPACE[data[b - limit:b]]) + (b - limit - a)
+            if not len(spaces) or a + int(spaces[-1]) + 1 >= end:
+                break
+            cut = a + int(spaces[-1]) + 1
+            yield data[a:cut], np.array([0, cut - a]), i, True
+            a = cut
+        if j == i + 1:
+            yield data[a:end], np.array([0, end - a]), i, False
+        else:
+            yield data[a:end], off[i:j + 1] - a, i, False
+        i = j
+
+
 def sums_by(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of ``values[off[i]:off[i+1]]`` (rows of a matrix or scalars); an empty range sums to 0."""
     if len(off) == 1:
