@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm import (decontaminate, filter_audit, html_extract, language_id, line_dedup, lm_score, ngram_join,
+from pathlattice.llm import (decontaminate, filter_audit, hard_negatives, html_extract, language_id, line_dedup, lm_score, ngram_join,
                              packing, piece_codec, quality_classifier, quality_rules, toxicity)
 from pathlattice.llm.common import table
 
@@ -159,3 +159,26 @@ SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS
 @register("op13_filter_audit", OP13_SQL)
 def op13(spark, sf_dir):
     return filter_audit.filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+pos AS (SELECT a.vec_id AS anchor_id, a.label, a.e, v.vec_id AS positive_id, list_dot_product(a.e, v.e) AS ps
+  FROM a JOIN v ON v.label = a.label AND v.vec_id <> a.vec_id
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY ps DESC, v.vec_id) <= 5),
+neg AS (SELECT a.vec_id AS anchor_id, v.vec_id AS negative_id, list_dot_product(a.e, v.e) AS ns
+  FROM a JOIN v ON v.label <> a.label)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY ns DESC, negative_id) AS INT)
+  AS rank, negative_id, CAST(ps AS BIGINT) AS positive_score, CAST(ns AS BIGINT) AS negative_score
+FROM pos p JOIN neg n ON n.anchor_id = p.anchor_id AND 80 * ps <= 100 * ns AND ns <= ps
+QUALIFY rank <= 5"""
+
+
+@register("op11_hard_negatives", OP11_SQL)
+def op11(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"), moved)
