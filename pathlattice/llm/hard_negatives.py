@@ -54,15 +54,14 @@ def rotation(dim: int) -> np.ndarray:
 class Codes:
     """Sign codes of rows with alignment and residual, for intervals of their scores."""
 
-    def __init__(self, m: np.ndarray):
-        dim = m.shape[1]
-        f = m.astype(np.float64)
+    def __init__(self, f: np.ndarray):
+        dim = f.shape[1]
         turned = f @ rotation(dim)
         bits = turned >= 0
         words = -(-dim // 64)
-        padded = np.zeros((len(m), words * 64), bool)
-        padded[:, :dim] = bits
-        self.words = np.packbits(padded, axis=1, bitorder="little").view(np.uint64).reshape(len(m), words)
+        wide = np.zeros((len(f), words * 64), bool)
+        wide[:, :dim] = bits
+        self.words = np.packbits(wide, axis=1, bitorder="little").view(np.uint64).reshape(len(f), words)
         self.ones = bits.sum(axis=1).astype(np.float64)
         self.align = np.abs(turned).sum(axis=1) / np.sqrt(dim)
         square = (f * f).sum(axis=1)
@@ -73,9 +72,8 @@ class Codes:
 class Planes:
     """Turned anchors, each rounded to ``PLANES`` bits a dimension, as bit planes."""
 
-    def __init__(self, m: np.ndarray):
-        dim = m.shape[1]
-        f = m.astype(np.float64)
+    def __init__(self, f: np.ndarray):
+        dim = f.shape[1]
         turned = f @ rotation(dim)
         self.low = turned.min(axis=1)
         span = turned.max(axis=1) - self.low
@@ -87,9 +85,9 @@ class Planes:
         self.square = (f * f).sum(axis=1)
         self.dim = dim
         words = -(-dim // 64)
-        padded = np.zeros((PLANES, len(m), words * 64), bool)
-        padded[:, :, :dim] = (level[None] >> np.arange(PLANES)[:, None, None]) & 1
-        self.planes = np.packbits(padded, axis=2, bitorder="little").view(np.uint64).reshape(PLANES, len(m), words)
+        wide = np.zeros((PLANES, len(f), words * 64), bool)
+        wide[:, :, :dim] = (level[None] >> np.arange(PLANES)[:, None, None]) & 1
+        self.planes = np.packbits(wide, axis=2, bitorder="little").view(np.uint64).reshape(PLANES, len(f), words)
 
     def interval(self, c: Codes, rows: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bound of the score of each anchor of ``which`` with each row of ``rows``."""
@@ -109,15 +107,32 @@ class Planes:
         return mid - half, mid + half
 
 
-def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of ``a`` and ``b`` (int64) in pairs, held inside 64 bits."""
-    bound = a.shape[1] * float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0))
-    if bound < 2**53:
-        return np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
-    if bound < 2**62:
-        return np.einsum("ij,ij->i", a, b)
-    exact = (sum(x * y for x, y in zip(r, s)) for r, s in zip(a.tolist(), b.tolist()))
-    return np.array([min(max(x, -LIMIT), LIMIT) for x in exact], np.int64)
+class Numbers:
+    """Vectors of whole numbers with exact inner products: in doubles where they hold every sum, in 64 bits, else in Python's numbers."""
+
+    def __init__(self, m: np.ndarray):
+        self.m, self.f = m, m.astype(np.float64)
+        self.most = float(np.abs(self.f).max(initial=0))
+
+    def scores(self, which: np.ndarray, other: "Numbers", rows: np.ndarray, wanted: np.ndarray):
+        """Scores of the pairs that ``wanted (which x rows)`` marks, held inside 64 bits: positions in both, and the scores.
+
+        Where much is wanted, one product of the whole block is cheaper than picking the pairs."""
+        bound = self.m.shape[1] * self.most * other.most
+        p, r = np.nonzero(wanted)
+        if bound < 2**53 and 8 * len(p) > wanted.size:
+            return p, r, (self.f[which] @ other.f[rows].T)[p, r].astype(np.int64)
+        if bound < 2**53:
+            parts = [np.einsum("ij,ij->i", self.f[which[p[i:i + PAIRS]]], other.f[rows[r[i:i + PAIRS]]]).astype(np.int64)
+                     for i in range(0, len(p), PAIRS)]
+        elif bound < 2**62:
+            parts = [np.einsum("ij,ij->i", self.m[which[p[i:i + PAIRS]]], other.m[rows[r[i:i + PAIRS]]])
+                     for i in range(0, len(p), PAIRS)]
+        else:
+            a, b = self.m[which].tolist(), other.m[rows].tolist()
+            parts = [np.array([min(max(sum(x * y for x, y in zip(a[i], b[j])), -LIMIT), LIMIT)
+                               for i, j in zip(p.tolist(), r.tolist())], np.int64)]
+        return p, r, np.concatenate([np.zeros(0, np.int64), *parts])
 
 
 def first_of(key: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -142,15 +157,16 @@ class Group:
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vecs: list[np.ndarray]):
         order = np.argsort(labels, kind="stable")
         self.ids, self.labels = ids[order], labels[order]
-        self.m = padded([vecs[i] for i in order.tolist()], max([len(v) for v in vecs] + [1]))
-        self.codes = Codes(self.m)
+        self.dim = max([len(v) for v in vecs] + [1])
+        self.numbers = Numbers(padded([vecs[i] for i in order.tolist()], self.dim))
+        self.codes = Codes(self.numbers.f)
 
     def search(self, anchors: "Anchors", which: np.ndarray, lo: int, hi: int, barred, k: int):
         """First ``k`` rows of ``lo:hi`` for each anchor of ``which`` and each of its bands, without those that ``barred``
         marks: positions in ``which``, bands, rows, scores.
 
         A row is scored only if its interval reaches a band and is not surely below the ``k`` best there so far."""
-        planes = anchors.planes(self.m.shape[1])
+        numbers, planes = anchors.at(self.dim)
         low, high = anchors.low[which], anchors.high[which]  # anchors x bands
         bands = low.shape[1]
         least = low.astype(np.float64) - 1 - np.abs(low) * 1e-9
@@ -165,15 +181,11 @@ class Group:
                 # k other rows surely score so much, if they are in the band at all
                 sure = np.where(out | (down < least) | (up > most), -np.inf, down)
                 least = np.maximum(least, np.partition(sure, len(rows) - k, axis=1)[:, len(rows) - k, None])
-            maybe = np.zeros(up.shape, bool)
-            for j in range(bands):
-                maybe |= (up >= least[:, j, None]) & (down <= most[:, j, None])
-            p, r = np.nonzero(maybe & ~out)
-            if not len(p):
-                continue
-            r = rows[r]
-            s = np.concatenate([score(anchors.m(self.m.shape[1])[which[p[i:i + PAIRS]]], self.m[r[i:i + PAIRS]])
-                                for i in range(0, len(p), PAIRS)])
+            floor, ceiling = least.min(axis=1), most.max(axis=1)
+            maybe = (up >= floor[:, None]) & (down <= ceiling[:, None])
+            p, r, s = numbers.scores(which, self.numbers, rows, maybe & ~out)
+            fit = (s >= floor[p]) & (s <= ceiling[p])
+            p, r, s = p[fit], rows[r[fit]], s[fit]
             for j in range(bands):
                 ok = (s >= low[p, j]) & (s <= high[p, j])
                 key, row, points = np.r_[key, p[ok] * bands + j], np.r_[row, r[ok]], np.r_[points, s[ok]]
@@ -191,18 +203,13 @@ class Anchors:
 
     def __init__(self, ids, labels, vecs, low, high):
         self.ids, self.labels, self.vecs, self.low, self.high = ids, labels, vecs, low, high
-        self._m: dict[int, np.ndarray] = {}
-        self._planes: dict[int, Planes] = {}
-
-    def m(self, dim: int) -> np.ndarray:
-        if dim not in self._m:
-            self._m[dim] = padded(self.vecs, dim)
-        return self._m[dim]
-
-    def planes(self, dim: int) -> Planes:
-        if dim not in self._planes:
-            self._planes[dim] = Planes(self.m(dim))
-        return self._planes[dim]
+        self._at: dict[int, tuple[Numbers, Planes]] = {}
+
+    def at(self, dim: int) -> tuple[Numbers, Planes]:
+        if dim not in self._at:
+            numbers = Numbers(padded(self.vecs, dim))
+            self._at[dim] = numbers, Planes(numbers.f)
+        return self._at[dim]
 
 
 def positives(group: Group, anchors: Anchors, k: int):

@@ -44,7 +44,7 @@ def test_intervals_hold_and_tell_rows_apart(dim):
     rows[:50] = rows[50:100] + rng.integers(-9, 9, (50, dim))
     rows[100:110] = 0
     anchors = np.concatenate([rows[:40], np.zeros((1, dim), np.int64), 1000 * rows[:3]])
-    low, high = H.Planes(anchors).interval(H.Codes(rows), np.arange(400), np.arange(len(anchors)))
+    low, high = H.Planes(anchors.astype(float)).interval(H.Codes(rows.astype(float)), np.arange(400), np.arange(len(anchors)))
     exact = anchors @ rows.T
     assert (low <= exact).all() and (exact <= high).all()
     if dim == 64:  # the interval must be worth something: it refutes most of the unrelated rows for the close score of a near copy
