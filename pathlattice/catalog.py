@@ -444,11 +444,15 @@ def q_query_unknown_ids(spark, sf_dir):
     return ksp.unknown_ids(ksp.query_table(spark, PART_QUERY_WITH_UNKNOWN), td.part_edges(spark, sf_dir))
 
 
-def _round1_parts(spark, sf_dir):
+def _round1_parts(spark, sf_dir, known: bool = False):
+    """The state before round 1 and the adjacency; ``known``: over the nodes that start a trip, others are no nodes."""
     edges = td.part_edges(spark, sf_dir)
-    seeds = ksp.valid_seeds(ksp.query_table(spark, PART_QUERY), edges)
-    s0 = seeds.select("query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"))
-    return s0, ksp.expand(s0, ksp.adjacency(edges), broadcast=True)
+    nodes = edges.select(F.col("src").alias("id")).distinct() if known else None
+    return ksp.first_state(ksp.valid_seeds(ksp.query_table(spark, PART_QUERY), edges, nodes)), ksp.adjacency(edges, nodes)
+
+
+# more rows than any node has in round 1: nothing is cut
+ALL_ROWS = 2**31 - 1
 
 
 ROUND1 = O.part_graph() + O.seeds_cte(PART_QUERY, "edges_part") + O.search_ctes("edges_part", 1, K)[0]
@@ -462,32 +466,42 @@ BWD1 = """SELECT s.query_id, s.side, e.src AS node, s.cost + e.weight AS cost,
 
 @register("expand_forward_1", W(ROUND1, FWD1))
 def q_expand_forward_1(spark, sf_dir):
-    _, ext = _round1_parts(spark, sf_dir)
-    return ext.filter(F.col("side") == ksp.START)
+    s0, adj = _round1_parts(spark, sf_dir)
+    return ksp.expand(s0, adj).filter(F.col("side") == ksp.START)
 
 
 @register("expand_backward_1", W(ROUND1, BWD1))
 def q_expand_backward_1(spark, sf_dir):
-    _, ext = _round1_parts(spark, sf_dir)
-    return ext.filter(F.col("side") == ksp.END)
+    s0, adj = _round1_parts(spark, sf_dir)
+    return ksp.expand(s0, adj).filter(F.col("side") == ksp.END)
 
 
 @register("merge_messages", W(ROUND1, f"{FWD1}\nUNION\n{BWD1}"))
 def q_merge_messages(spark, sf_dir):
-    _, ext = _round1_parts(spark, sf_dir)
-    return ext.dropDuplicates()
+    return ksp.step(*_round1_parts(spark, sf_dir), ALL_ROWS).filter("is_new").select(*ksp.STATE_COLS)
 
 
 @register("state_merge", W(ROUND1, f"SELECT query_id, side, node, cost, path FROM s0\nUNION\n{FWD1}\nUNION\n{BWD1}"))
 def q_state_merge(spark, sf_dir):
-    s0, ext = _round1_parts(spark, sf_dir)
-    return s0.unionByName(ext).dropDuplicates()
+    return ksp.step(*_round1_parts(spark, sf_dir), ALL_ROWS).select(*ksp.STATE_COLS)
+
+
+KNOWN_NODES = "known_nodes AS (SELECT DISTINCT src AS id FROM edges_part)"
+KNOWN_SEEDS = "known_seeds AS (SELECT * FROM s0 WHERE node IN (SELECT id FROM known_nodes))"
+
+
+@register("state_merge_known_nodes", W(ROUND1 + [KNOWN_NODES, KNOWN_SEEDS], f"""
+SELECT query_id, side, node, cost, path FROM known_seeds
+UNION SELECT * FROM ({FWD1.replace("FROM s0", "FROM known_seeds")}) f WHERE node IN (SELECT id FROM known_nodes)
+UNION SELECT * FROM ({BWD1.replace("FROM s0", "FROM known_seeds")}) b WHERE node IN (SELECT id FROM known_nodes)"""))
+def q_state_merge_known_nodes(spark, sf_dir):
+    """An edge to an id that is no node brings nothing into the state."""
+    return ksp.step(*_round1_parts(spark, sf_dir, known=True), ALL_ROWS).select(*ksp.STATE_COLS)
 
 
 @register("top_k_per_node", W(ROUND1, "SELECT * FROM s1"))
 def q_top_k_per_node(spark, sf_dir):
-    s0, ext = _round1_parts(spark, sf_dir)
-    return ksp.top_k(s0.unionByName(ext).dropDuplicates(), K).select(*ksp.STATE_COLS)
+    return ksp.step(*_round1_parts(spark, sf_dir), K).select(*ksp.STATE_COLS)
 
 
 PART_STATE = O.part_graph() + O.seeds_cte(PART_QUERY, "edges_part") + O.search_ctes("edges_part", STEPS, K)[0]
@@ -563,8 +577,10 @@ def _reweighted(spark, sf_dir, log_from=None):
     t = td.trip_rows(spark, sf_dir)
     if log_from is None:
         return U.reweight(cands, U.last_update_per_edge(t.filter(F.col("seq") > cut)))
-    log = t.filter(F.col("seq") > F.lit(log_from))
-    return U.replay(cands, log, cut)
+    # the log as four topic partitions, and how far the snapshot had read each of them
+    places = t.withColumn("partition", F.pmod("src", F.lit(4)).cast("int")).withColumn("offset", F.col("seq"))
+    progress = ST.progress_of(places.filter(F.col("seq") <= cut))
+    return U.replay(cands, places.filter(F.col("seq") > F.lit(log_from)), progress)
 
 
 @register("reweight_paths", W(RW, "SELECT query_id, old_line, total, line FROM rw_paths"))
@@ -660,39 +676,38 @@ def q_stream_snapshot_publish(spark, sf_dir):
     return snap.select(*[c.strip() for c in EDGE_STATE_COLS.split(",")])
 
 
-def _speed_layer(spark, sf_dir):
+def _speed_layer(spark, sf_dir, messages: bool = False):
     t, cut = _snapshot_rows(spark, sf_dir)
     cands_base, emit = scratch_path(spark, "candidates"), scratch_path(spark, "emitted")
     _event_candidates(spark, sf_dir, cut).select("query_id", "total", "line") \
         .write.mode("overwrite").parquet(f"{cands_base}/v=0")
     stream = _edge_message_stream(spark, sf_dir, "speed", rows=t.filter(F.col("seq") > cut), malformed=None)
-    J.run(J.reweight_stream(stream, cands_base, scratch_path(spark, "speed-updates"), emit,
-                            scratch_path(spark, "speed-ck")))
+    J.run(J.reweight_stream(stream, cands_base, scratch_path(spark, "speed-updates"),
+                            ST.message_sink("json", path=emit) if messages else emit, scratch_path(spark, "speed-ck")))
     return f"{cands_base}-weighted", emit
 
 
 @register("stream_reweight_paths", W(RW, "SELECT query_id, total, line FROM rw_paths"))
 def q_stream_reweight_paths(spark, sf_dir):
     base, _ = _speed_layer(spark, sf_dir)
-    return spark.read.parquet(S.latest_path(spark, base))
-
-
-def _last_emitted(spark, emit):
-    e = spark.read.parquet(emit)
-    last = e.agg(F.max("batch")).first()[0]
-    return e.filter(F.col("batch") == last)
+    return J.weighted_paths(spark, base)
 
 
 @register("stream_best_path", W(RW, f"SELECT * FROM ({RW_RANKED}) r WHERE rank <= 3"))
 def q_stream_best_path(spark, sf_dir):
     _, emit = _speed_layer(spark, sf_dir)
-    return _last_emitted(spark, emit).select("query_id", "rank", "total", F.col("value").alias("line"))
+    return J.newest_emitted(spark, emit).select("query_id", "rank", "total", F.col("value").alias("line"))
 
 
-@register("best_path_emit", W(RW, f"SELECT query_id, rank, total, line AS key, line AS value FROM ({RW_RANKED}) r WHERE rank <= 3"))
+@register("best_path_emit", W(RW, f"SELECT query_id, rank, line AS value FROM ({RW_RANKED}) r WHERE rank <= 3"))
 def q_best_path_emit(spark, sf_dir):
-    _, emit = _speed_layer(spark, sf_dir)
-    return _last_emitted(spark, emit).select("query_id", "rank", "total", "key", "value")
+    """K3: the speed layer sends its messages itself; a reader takes the newest of each query and rank."""
+    _, emit = _speed_layer(spark, sf_dir, messages=True)
+    m = ST.first_delivery(spark.read.schema("key string, value string").json(f"{emit}/batch=*"))
+    part = F.split("key", "/")
+    m = m.select(part[0].cast("bigint").alias("batch"), part[1].cast("bigint").alias("query_id"),
+                 part[2].cast("bigint").alias("rank"), "value")
+    return m.groupBy("query_id", "rank").agg(F.max_by("value", "batch").alias("value"))
 
 
 @register("latest_query", W([O.TRIPS_EVENT, QGROUPS], """
@@ -724,6 +739,25 @@ def q_superseded_queries(spark, sf_dir):
     return state.join(kept, "query_id", "left_anti").select("client", "seq")
 
 
+@register("preempted_search", O.ksp_sql(O.event_graph(), "edges_event", [MANY_QUERIES[1]], EVENT_STEPS, K))
+def q_preempted_search(spark, sf_dir):
+    """ST8 in a running search: after round 1 a newer query replaces the first, whose rows then leave the search."""
+    edges = G.collapse_edges(td.event_trips(spark, sf_dir), "last")
+    path = scratch_path(spark, "status")
+    spark.createDataFrame([(q, False) for q, _, _ in MANY_QUERIES[:2]], "query_id bigint, superseded boolean").write.parquet(path)
+    asked = []
+
+    def status():
+        asked.append(path)
+        if len(asked) == 2:  # between rounds 1 and 2
+            spark.createDataFrame([(MANY_QUERIES[0][0], True)], "query_id bigint, superseded boolean").write.mode("append").parquet(path)
+        return spark.read.schema("query_id bigint, superseded boolean").parquet(path)
+
+    run = ksp.search(edges, ksp.query_table(spark, MANY_QUERIES[:2]), ksp.SearchConfig(steps=EVENT_STEPS, k=K),
+                     between_rounds=J.superseded_filter(status))
+    return ksp.results(run.state)
+
+
 @register("recompute_on_snapshot", O.ksp_sql(O.event_graph(), "edges_event", EVENT_QUERY, EVENT_STEPS, K))
 def q_recompute_on_snapshot(spark, sf_dir):
     _, base = _publish(spark, sf_dir)
@@ -735,7 +769,32 @@ def q_recompute_on_snapshot(spark, sf_dir):
     queries = ksp.query_table(spark, EVENT_QUERY)
     J.run(J.recompute_stream(stream, base, queries, res, scratch_path(spark, "recompute-ck"),
                              ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
-    return spark.read.parquet(S.latest_path(spark, res)).select("query_id", "total", "hops", "line")
+    return J.current_results(spark, res)
+
+
+@register("recompute_active_queries", O.ksp_sql(O.event_graph(), "edges_event", [MANY_QUERIES[0], MANY_QUERIES[2]], EVENT_STEPS, K))
+def q_recompute_active_queries(spark, sf_dir):
+    """ST9 with a registry: one query from the first published version on, one added and one retired while the stream runs."""
+    _, base = _publish(spark, sf_dir)
+    events, registry = scratch_path(spark, "versions"), scratch_path(spark, "registry")
+    versions = sorted({v for v, _ in S.edge_versions(spark, base)})
+    for v in (versions[-2], versions[-1]):
+        spark.createDataFrame([(v,)], "version bigint").coalesce(1).write.mode("append").parquet(events)
+    stream = spark.readStream.schema("version bigint").option("maxFilesPerTrigger", 1).parquet(events)
+    J.register_queries(spark, registry, ksp.query_table(spark, MANY_QUERIES[:2]))
+    asked = []
+
+    def active():
+        asked.append(registry)
+        if len(asked) == 2:
+            J.register_queries(spark, registry, ksp.query_table(spark, [MANY_QUERIES[2]]))
+            J.register_queries(spark, registry, ksp.query_table(spark, [MANY_QUERIES[1]]), active=False)
+        return J.active_queries(spark, registry)
+
+    res = scratch_path(spark, "recomputed")
+    J.run(J.recompute_stream(stream, base, active, res, scratch_path(spark, "recompute-ck"),
+                             ksp.SearchConfig(steps=EVENT_STEPS, k=K)))
+    return J.current_results(spark, res)
 
 
 # ============================================================== map layers

@@ -172,12 +172,17 @@ def node_state(rows: DataFrame) -> DataFrame:
         pts = rows.select("id", "lon", "lat", "first_seq", "role")
     else:
         pts = node_points(rows)
-    # source before target at one change, as one number
-    order = F.col("first_seq") * 2 + F.col("role")
-    g = pts.withColumn("_o", order).groupBy("id").agg(
-        F.min_by("lon", "_o").alias("lon"), F.min_by("lat", "_o").alias("lat"), F.min("_o").alias("_o"))
-    return g.select("id", "lon", "lat", F.floor(F.col("_o") / 2).cast(pts.schema["first_seq"].dataType).alias("first_seq"),
-                    F.pmod("_o", F.lit(2)).cast("int").alias("role"))
+    # the first change of each role is one hash aggregate (min_by skips rows whose order is null); nothing is computed with the order
+    def when(role, c):
+        return F.when(F.col("role") == role, F.col(c))
+
+    g = pts.groupBy("id").agg(*(x for r in (0, 1) for x in (
+        F.min(when(r, "first_seq")).alias(f"seq{r}"), F.min_by("lon", when(r, "first_seq")).alias(f"lon{r}"),
+        F.min_by("lat", when(r, "first_seq")).alias(f"lat{r}"))))
+    source = F.col("seq0").isNotNull() & (F.col("seq1").isNull() | (F.col("seq0") <= F.col("seq1")))
+    return g.select("id", *(F.when(source, F.col(f"{c}0")).otherwise(F.col(f"{c}1")).alias(n)
+                            for c, n in (("lon", "lon"), ("lat", "lat"), ("seq", "first_seq"))),
+                    F.when(source, 0).otherwise(1).alias("role"))
 
 
 def node_points(updates: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathlattice.functions.messages import decode_hops, encode_line
+from pathlattice.sources.streams import not_covered, with_place
 
 
 def hops(candidates: DataFrame) -> DataFrame:
@@ -55,6 +56,16 @@ def best_k(paths: DataFrame, k: int = 3, keys=("query_id",)) -> DataFrame:
         .withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def replay(candidates: DataFrame, update_log: DataFrame, snapshot_seq) -> DataFrame:
-    """ST5 / ST10: candidates computed on the snapshot with ``max_seq = snapshot_seq``, overlaid by the later updates."""
-    return reweight(candidates, last_update_per_edge(update_log, since_seq=snapshot_seq))
+def last_places(updates: DataFrame) -> DataFrame:
+    """The newest update per edge with its place: ``(src, dst, new_weight, seq, partition, offset)``."""
+    return updates.groupBy("src", "dst").agg(
+        F.max_by("weight", "seq").alias("new_weight"), F.max("seq").alias("seq"),
+        F.max_by("partition", "seq").alias("partition"), F.max_by("offset", "seq").alias("offset"))
+
+
+def replay(candidates: DataFrame, update_log: DataFrame, progress: DataFrame) -> DataFrame:
+    """ST5 / ST10: candidates computed on a snapshot that holds the messages of ``progress (partition, offset)``, overlaid by the others.
+
+    Of each edge the newest update of the log counts; where the snapshot holds that one, its weight is in the candidates already.
+    An update that came late, older in time than the snapshot's newest but not in it, is replayed."""
+    return reweight(candidates, not_covered(last_places(with_place(update_log)), progress).select("src", "dst", "new_weight"))

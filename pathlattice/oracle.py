@@ -94,11 +94,12 @@ def search_ctes(edges: str, steps: int, k: int, prefix: str = "s") -> tuple[list
 
 
 def meet_cte(state: str) -> str:
-    return f"""meet AS (
+    return f"""half_s AS MATERIALIZED (SELECT query_id, node, cost, path FROM {state} WHERE side = 'start'),
+half_e AS MATERIALIZED (SELECT query_id, node, cost, path FROM {state} WHERE side = 'end'),
+meet AS MATERIALIZED (
   SELECT a.query_id, a.node, a.cost + b.cost AS total,
          CAST(a.cost + b.cost AS VARCHAR) || ' ' || a.path || CAST(a.node AS VARCHAR) || b.path AS line
-  FROM {state} a JOIN {state} b ON a.query_id = b.query_id AND a.node = b.node
-  WHERE a.side = 'start' AND b.side = 'end')"""
+  FROM half_s a JOIN half_e b ON a.query_id = b.query_id AND a.node = b.node)"""
 
 
 RESULT_CTE = "result AS (SELECT DISTINCT query_id, total, line FROM meet)"

@@ -189,6 +189,12 @@ def expand(frontier: DataFrame, adj: DataFrame, broadcast: bool = True,
     return j.select(*_extension_columns())
 
 
+def first_state(seeds: DataFrame) -> DataFrame:
+    """The state before the first round: every seed at cost 0 with an empty path, all of it new."""
+    return seeds.select("query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"),
+                        F.lit(True).alias("is_new"), F.lit(1).alias("rank"))
+
+
 def hub_table(adj: DataFrame, hub_rows: int) -> DataFrame:
     """Nodes whose adjacency on one side exceeds ``hub_rows``; at most ``|adj| / hub_rows`` rows."""
     return (adj.groupBy("side", "frm").count()
@@ -319,7 +325,8 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
            prepared: PreparedGraph | None = None) -> SearchRun:
     """G1 + G2 (+ G4): run the rounds for every query of ``queries`` together.
 
-    ``between_rounds(round, state)`` may return a filtered state (e.g. drop superseded queries);
+    ``between_rounds(round, state)`` may return a filtered state (e.g. drop superseded queries); it is asked in each round, before
+    the round is materialised and counted;
     ``prepared``: an adjacency built by ``prepare`` for these edges (kept after the search)."""
     cfg = config or SearchConfig()
     spark = edges.sparkSession
@@ -332,9 +339,7 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
     shuffled = None  # (salted adjacency, hub table or None), built the first time a frontier is too large
     try:
         seeds = valid_seeds(queries, edges, nodes, adj=adj)
-        state, counters = _materialise(seeds.select(
-            "query_id", "side", "node", F.lit(0).cast("bigint").alias("cost"), F.lit("").alias("path"),
-            F.lit(True).alias("is_new"), F.lit(1).alias("rank")), buckets)
+        state, counters = _materialise(first_state(seeds), buckets)
         run = SearchRun(state, [dict(round=0, **{k: v for k, v in counters.items() if k != "new_buckets"})])
         for r in range(1, cfg.steps + 1):
             frontier_rows = counters["new_rows"]
@@ -360,11 +365,11 @@ def search(edges: DataFrame, queries: DataFrame, config: SearchConfig | None = N
                     cached.append(salted)
                     shuffled = (salted, hubs)
                 nxt = step(state, shuffled[0], cfg.k, broadcast=False, hubs=shuffled[1], prune=prune)
+            if between_rounds is not None:  # before the round is stored, so that it holds and counts what goes on
+                nxt = between_rounds(r, nxt)
             state, counters = _materialise(nxt, buckets)
             run.rounds.append(dict(round=r, broadcast=broadcast,
                                    **{k: v for k, v in counters.items() if k != "new_buckets"}))
-            if between_rounds is not None:
-                state = between_rounds(r, state)
         run.state = state
         return run
     finally:

@@ -37,8 +37,10 @@ NODE_DOCUMENT = T.StructType([
 # Seed document: one JSON object keyed by node id.
 SEED_MAP = T.MapType(T.StringType(), NODE_VALUE)
 
-# Raw message rows (Kafka value or text line) with a total order.
+# Raw message rows with a total order and their place in the topic (null in files that do not carry it).
 MESSAGE = T.StructType([
     T.StructField("seq", T.LongType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
     T.StructField("value", T.StringType()),
 ])

@@ -35,19 +35,21 @@ def write_results_parquet(results: DataFrame, path: str) -> str:
 
 
 def read_results_text(spark: SparkSession, path: str) -> DataFrame:
-    """``(query_id, total, line)`` of a text publish; an empty result gives an empty table."""
+    """``(query_id, total, line)`` of a text publish; an empty result gives an empty table. Ids have the type that the
+    publish had (its status table knows)."""
     parts = F.split("value", "\t", 2)
+    id_type = read_status(spark, path).schema["query_id"].dataType
     rows = spark.read.schema("value string").text(f"{path}/lines").filter(F.trim("value") != "").select(
-        parts[0].cast("bigint").alias("query_id"), F.trim(parts[1]).alias("line"))
+        parts[0].cast(id_type).alias("query_id"), F.trim(parts[1]).alias("line"))
     return rows.select("query_id", line_total("line").alias("total"), "line")
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """``(query_id, n_lines)`` of every query that the publish answered."""
-    return spark.read.schema("query_id bigint, n_lines bigint").parquet(f"{path}/status")
+    return spark.read.parquet(f"{path}/status")
 
 
-def export_query_text(results: DataFrame, query_id: int, path: str) -> str:
+def export_query_text(results: DataFrame, query_id, path: str) -> str:
     """One query's lines, sorted, as plain text."""
     (results.filter(F.col("query_id") == query_id).repartitionByRange("total", "line")
      .sortWithinPartitions("total", "line").select("line").write.mode("overwrite").text(path))

@@ -6,7 +6,7 @@ that carries Spark's ``_SUCCESS`` marker, so a reader never sees a half-written
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,25 +22,34 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Completed snapshot versions under ``base``, ascending."""
+def numbered(spark: SparkSession, base: str, prefix: str, complete: bool = False) -> list[int]:
+    """Numbers of the folders ``<base>/<prefix>N``, ascending; with ``complete`` those with Spark's ``_SUCCESS`` marker only."""
     fs, p, jvm = _fs(spark, base)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+        if st.isDirectory() and name.startswith(prefix):
+            if not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Completed snapshot versions under ``base``, ascending."""
+    return numbered(spark, base, "v=", complete=True)
+
+
 def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
     """Delete all but the newest ``keep`` complete versions."""
     for v in versions(spark, base)[:-keep]:
-        fs, p, _ = _fs(spark, f"{base.rstrip('/')}/v={v}")
-        fs.delete(p, True)
+        delete(spark, f"{base.rstrip('/')}/v={v}")
 
 
 def write_snapshot(docs: DataFrame, base: str, version: int) -> str:
@@ -62,16 +71,18 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 def read_snapshot_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(documents, quarantine)``. Malformed lines go to the quarantine; a key (and part) repeated
-    in the files keeps its last line (file order, then line order within the file)."""
+    in the files keeps its last line: by file, then place of the split in the file, then line in the split, so a file that is
+    read in several splits keeps its own order whichever task reads which. A key on many lines sends one line per task (a window limit)."""
     raw = (spark.read.schema(_DOC_TOLERANT).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-           .withColumn("_file", F.input_file_name())
+           .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+           # the number inside the split: what counts on from the task's first line
            .withColumn("_line", F.monotonically_increasing_id()))
     bad = raw.filter(F.col("_corrupt_record").isNotNull() | F.col("key").isNull() | F.col("val").isNull())
     good = raw.filter(F.col("_corrupt_record").isNull() & F.col("key").isNotNull() & F.col("val").isNotNull())
-    last = (good.groupBy("key", F.coalesce("part", F.lit(0)).alias("_p"))
-            .agg(F.max_by(F.struct("part", "val"), F.struct("_file", "_line")).alias("d"))
-            .select("key", "d.part", "d.val"))
+    newest = Window.partitionBy("key", "_p").orderBy(F.desc("_file"), F.desc("_start"), F.desc("_line"))
+    last = good.withColumn("_p", F.coalesce("part", F.lit(0))).withColumn("_n", F.row_number().over(newest)) \
+        .filter("_n = 1").select("key", "part", "val")
     return last, bad.select("_file", "_corrupt_record")
 
 
@@ -86,6 +97,7 @@ def load_seed_map(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- versioned edge tables (base + deltas)
 #
 # ``<base>/full/v=N`` holds a complete edge state, ``<base>/delta/v=N`` only the edges changed by publish N.
+# ``<base>/progress/v=N`` holds the last message offset per partition that version N holds.
 # A publish writes a delta (its size is the change, not the graph); every few publishes a full version is
 # compacted. Readers take the newest full version and merge the later deltas into it.
 
@@ -105,6 +117,32 @@ def write_edge_delta(changes: DataFrame, base: str, version: int) -> None:
     changes.write.mode("overwrite").parquet(f"{base.rstrip('/')}/delta/v={int(version)}")
 
 
+def write_progress(progress: DataFrame, base: str, version: int) -> None:
+    """Written before the version itself, so a complete version has its progress."""
+    progress.select("partition", "offset").coalesce(1).write.mode("overwrite").parquet(f"{base.rstrip('/')}/progress/v={int(version)}")
+
+
+def read_progress(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
+    """The messages that ``version`` (default: newest) holds; None where no progress was kept."""
+    vs = [v for v in versions(spark, f"{base.rstrip('/')}/progress") if version is None or v <= version]
+    return spark.read.parquet(f"{base.rstrip('/')}/progress/v={vs[-1]}") if vs else None
+
+
+def edges_changed(spark: SparkSession, base: str, since: int, version: int) -> DataFrame | None:
+    """``(src, dst)`` of the edges whose weight differs between two versions; None where the deltas between are gone."""
+    vs = edge_versions(spark, base)
+    between = sorted({v for v, _ in vs if since < v <= version})
+    deltas = {v for v, kind in vs if kind == "delta"}
+    if not all(v in deltas for v in between) or not any(kind == "full" and v <= since for v, kind in vs):
+        return None
+    if not between:
+        return read_edge_table(spark, base, version).select("src", "dst").limit(0)
+    keys = spark.read.parquet(*(f"{base.rstrip('/')}/delta/v={v}" for v in between)).select("src", "dst").distinct()
+    old = read_edge_table(spark, base, since).join(keys, ["src", "dst"], "left_semi").select("src", "dst", F.col("weight").alias("_old"))
+    now = read_edge_table(spark, base, version).join(keys, ["src", "dst"], "left_semi")
+    return now.join(old, ["src", "dst"], "left").filter(~F.col("weight").eqNullSafe(F.col("_old"))).select("src", "dst")
+
+
 def apply_deltas(full: DataFrame, deltas: DataFrame) -> DataFrame:
     """Merge changed edges into a full edge state without aggregating the whole table.
 

@@ -17,6 +17,8 @@ from pathlattice.operators import graph as G
 from pathlattice.operators import updates as U
 from pathlattice.plans import ksp
 from pathlattice.sources import snapshot as S
+from pathlattice.sources.keyed import KeyedTable
+from pathlattice.sources.streams import not_covered, progress_of, with_place
 
 
 def _start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
@@ -52,6 +54,11 @@ def parsed_edge_stream(messages: DataFrame) -> DataFrame:
     return parse_edges(messages, keep=("seq",))
 
 
+def edge_updates(messages: DataFrame) -> DataFrame:
+    """The valid edge updates of messages, with their place in the topic."""
+    return parse_edges(with_place(messages), keep=("seq", "partition", "offset")).filter("valid").drop("valid")
+
+
 def collect_edges(messages: DataFrame, sink_path: str, checkpoint: str, processing_time: str | None = None):
     """S6 sink: parsed edge updates appended as Parquet (valid and quarantined rows, flagged)."""
     return _start(parsed_edge_stream(messages), checkpoint, fmt="parquet", path=sink_path,
@@ -71,20 +78,21 @@ def edge_upsert_stream(messages: DataFrame, sink_path: str, checkpoint: str, com
                        processing_time: str | None = None):
     """ST2: stateful per-edge aggregate (last weight, first coordinates) in update mode.
 
-    State holds one row per distinct edge (RocksDB; no watermark: edges never expire). Each batch's updated
+    State holds one row per distinct edge and topic partition (RocksDB; no watermark: edges never expire). Each batch's updated
     rows go into the versioned edge store at ``sink_path``: the first batch as a full version, later ones as
-    deltas, compacted every ``compact_every`` batches; ``current_edges`` merges them."""
-    e = parsed_edge_stream(messages).filter("valid")
-    agg = e.groupBy("src", "dst").agg(
+    deltas, compacted every ``compact_every`` batches; ``current_edges`` merges them. The progress of the topic's partitions is
+    kept with each version."""
+    agg = edge_updates(messages).groupBy("src", "dst", "partition").agg(
         F.max_by("weight", "seq").alias("weight"), F.max("seq").alias("last_seq"),
-        *(F.min_by(c, "seq").alias(c) for c in G.COORDINATES), F.min("seq").alias("first_seq"))
+        *(F.min_by(c, "seq").alias(c) for c in G.COORDINATES), F.min("seq").alias("first_seq"), F.max("offset").alias("offset"))
     spark = messages.sparkSession
 
     def sink(df: DataFrame, batch_id: int):
-        rows = df.select(*G.EDGE_STATE)
+        rows = df.select(*G.EDGE_STATE, "partition", "offset")
         have = [x for x in S.edge_versions(spark, sink_path) if x[0] <= batch_id]
+        S.write_progress(progress_of(rows, S.read_progress(spark, sink_path, batch_id)), sink_path, batch_id + 1)
         if not have:
-            S.write_edge_full(rows, sink_path, batch_id + 1)
+            S.write_edge_full(G.edge_state(rows), sink_path, batch_id + 1)
         else:
             _publish(spark, sink_path, rows, batch_id + 1, compact_every)
 
@@ -100,7 +108,7 @@ def current_edges(spark: SparkSession, sink_path: str) -> DataFrame:
 
 def publish_stream(messages: DataFrame, base_state: DataFrame, snapshot_base: str, log_path: str,
                    checkpoint: str, min_changes: int = 5, max_delay_s: float = 2.0, compact_every: int = 10,
-                   processing_time: str | None = None):
+                   processing_time: str | None = None, base_progress: DataFrame | None = None):
     """ST3: keep a change log; publish a new edge-table version when more than ``min_changes`` changes are
     pending, or at least one is pending and ``max_delay_s`` passed since the last publish.
 
@@ -108,90 +116,164 @@ def publish_stream(messages: DataFrame, base_state: DataFrame, snapshot_base: st
     version is compacted (``S.read_edge_table`` merges). Version ``v=b+1`` holds every change-log batch up
     to ``b``, so "pending" is decided by batch id, not by ``seq``: messages may arrive out of ``seq`` order
     (Kafka partitions, file listings). Values are last-wins by ``seq``, so arrival order never changes the
-    published table. ``base_state``: the first full version (``G.edge_state`` columns)."""
+    published table. Each version keeps its progress (last offset per partition). Batches of the log that a version holds are deleted.
+
+    With ``processing_time`` a heartbeat of one empty row a second is united with the messages, so pending changes are published in time
+    while the topic is idle. ``base_state``: the first full version (``G.edge_state`` columns), ``base_progress``: its messages."""
     import time
 
     spark = messages.sparkSession
     state = {"last": time.monotonic()}
     if not S.edge_versions(spark, snapshot_base):
+        if base_progress is not None:
+            S.write_progress(base_progress, snapshot_base, 0)
         S.write_edge_full(base_state, snapshot_base, 0)
+    if processing_time:
+        messages = messages.unionByName(heartbeat(spark, messages))
 
     def sink(df: DataFrame, batch_id: int):
-        rows = parsed_edge_stream(df).filter("valid").drop("valid")
-        rows.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        rows = edge_updates(df)
+        if not rows.isEmpty():
+            rows.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
         current = S.edge_versions(spark, snapshot_base)[-1][0]
-        pending_rows = spark.read.parquet(log_path).filter(
-            (F.col("batch") >= current) & (F.col("batch") <= batch_id))
-        pending = pending_rows.count()
-        due = pending > min_changes or (pending > 0 and time.monotonic() - state["last"] > max_delay_s)
-        if due:
-            _publish(spark, snapshot_base, pending_rows, batch_id + 1, compact_every)
+        pending_rows = _log_rows(spark, log_path, current, batch_id)
+        pending = 0 if pending_rows is None else pending_rows.count()
+        if pending > min_changes or (pending > 0 and time.monotonic() - state["last"] > max_delay_s):
+            _publish_log(spark, snapshot_base, log_path, pending_rows, batch_id + 1, compact_every)
             state["last"] = time.monotonic()
 
     return _start(messages, checkpoint, sink=sink, processing_time=processing_time)
 
 
+def heartbeat(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """One row a second with the columns of ``messages``, all null: a batch comes along even when no message does."""
+    beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return beat.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields))
+
+
+def _log_rows(spark: SparkSession, log_path: str, first: int, last: int) -> DataFrame | None:
+    """The change-log batches ``first`` to ``last``; None if there are none."""
+    have = [b for b in S.numbered(spark, log_path, "batch=") if first <= b <= last]
+    if not have:
+        return None
+    return spark.read.parquet(*(f"{log_path}/batch={b}" for b in have))
+
+
+def _publish_log(spark: SparkSession, snapshot_base: str, log_path: str, rows: DataFrame, version: int, compact_every: int) -> None:
+    S.write_progress(progress_of(rows, S.read_progress(spark, snapshot_base)), snapshot_base, version)
+    _publish(spark, snapshot_base, rows, version, compact_every)
+    for b in S.numbered(spark, log_path, "batch="):
+        if b < version:
+            S.delete(spark, f"{log_path}/batch={b}")
+
+
 def _publish(spark: SparkSession, snapshot_base: str, rows: DataFrame, version: int, compact_every: int) -> None:
-    S.write_edge_delta(G.edge_state(rows.drop("batch")), snapshot_base, version)
-    deltas_since_full = [v for v, kind in S.edge_versions(spark, snapshot_base)
-                         if kind == "delta" and v > max(x for x, k in S.edge_versions(spark, snapshot_base) if k == "full")]
-    if len(deltas_since_full) >= compact_every:
+    S.write_edge_delta(G.edge_state(rows), snapshot_base, version)
+    vs = S.edge_versions(spark, snapshot_base)
+    full = max(v for v, kind in vs if kind == "full")
+    if len([v for v, kind in vs if kind == "delta" and v > full]) >= compact_every:
         S.write_edge_full(S.read_edge_table(spark, snapshot_base, version), snapshot_base, version)
 
 
 def flush(spark: SparkSession, snapshot_base: str, log_path: str, compact_every: int = 10) -> DataFrame:
     """Publish whatever is still pending (end of stream) and return the newest edge table."""
     current = S.edge_versions(spark, snapshot_base)[-1][0]
-    log = spark.read.parquet(log_path)
-    last_batch = log.agg(F.max("batch")).first()[0]
-    if last_batch is not None and last_batch >= current:
-        _publish(spark, snapshot_base, log.filter(F.col("batch") >= current), last_batch + 1, compact_every)
+    last = max(S.numbered(spark, log_path, "batch="), default=-1)
+    rows = _log_rows(spark, log_path, current, last)
+    if rows is not None:
+        _publish_log(spark, snapshot_base, log_path, rows, last + 1, compact_every)
     return S.read_edge_table(spark, snapshot_base)
 
 
 # ---------------------------------------------------------------- ST4 + ST6 + K3: speed layer
 
-def reweight_stream(messages: DataFrame, candidates_base: str, updates_base: str, emit_path: str,
-                    checkpoint: str, best: int = 3, processing_time: str | None = None, weighted_base: str | None = None):
-    """ST4 + ST6 + ST5: per batch, merge the batch into the table of last updates per edge (by ``seq``), re-weight the
-    newest batch result (``candidates_base/v=N``: ``query_id, total, line`` and optionally ``max_seq``) with it, write the
-    result to ``weighted_base/v=<batch + 1>`` (default ``<candidates_base>-weighted``) and emit the best walks.
-
-    A new batch result may be published into ``candidates_base`` at any time; the next batch takes it up, and replays
-    onto it the updates after its ``max_seq`` (all, without that column: they are absolute weights). Re-weighting
-    always starts from the batch result with the merged table, so the outcome does not depend on the order in
-    which batches arrive, and a retried batch rewrites the same versions. The two newest versions of the update table and
-    of the output are kept."""
+def reweight_stream(messages: DataFrame, candidates_base: str, updates_base: str, emit: str | Callable[[DataFrame, int], None],
+                    checkpoint: str, best: int = 3, processing_time: str | None = None, weighted_base: str | None = None,
+                    compact_every: int = 10, buckets: int = 8):
+    """ST4 + ST6 + ST5: per batch, put the batch's last updates into the table of last updates per edge, re-weight the candidate
+    walks that hold an edge changed by it, and emit the best walks of their queries.
+
+    Candidates are the newest batch result (see ``batch_result``). When one is taken up, an index ``(src, dst) -> query, walk`` is
+    written beside its re-weighted walks (``weighted_base/c=<result>/index`` and ``/lines``, default ``<candidates_base>-weighted``), with all updates that its
+    progress does not hold; later batches look the changed edges up there and write the walks that hold them as a delta
+    (``weighted_paths`` merges). Nothing else is rewritten: work follows the change, not the candidates. A walk is always re-weighted from the batch result with
+    the whole table of updates, so the outcome does not depend on the order in which messages arrive, and a retried batch writes
+    the same versions again. ``emit``: a folder (``batch=<id>`` each), or a function ``(rows, batch_id)``, e.g.
+    ``streams.message_sink``; ``buckets``: folders per full version, for a few hundred MB each; a batch emits the queries that it touched (``newest_emitted`` reads the state of all)."""
     spark = messages.sparkSession
     out_base = weighted_base or f"{candidates_base.rstrip('/')}-weighted"
+    updates = KeyedTable(spark, updates_base, ["src", "dst"], ["src", "dst"], buckets, compact_every, order="seq")
 
     def sink(df: DataFrame, batch_id: int):
-        ups = parsed_edge_stream(df).filter("valid").select("seq", "src", "dst", "weight")
-        have = S.versions(spark, updates_base)
-        prev = [v for v in have if v <= batch_id]
-        if prev:
-            old = spark.read.parquet(f"{updates_base}/v={prev[-1]}").select(
-                "seq", "src", "dst", F.col("new_weight").alias("weight"))
-            ups = old.unionByName(ups)
-        merged = ups.groupBy("src", "dst").agg(F.max_by("weight", "seq").alias("new_weight"),
-                                               F.max("seq").alias("seq"))
-        merged.write.mode("overwrite").parquet(f"{updates_base}/v={batch_id + 1}")
-        latest = spark.read.parquet(f"{updates_base}/v={batch_id + 1}")
-        cands = spark.read.parquet(S.latest_path(spark, candidates_base))
-        if "max_seq" in cands.columns:
-            since = cands.agg(F.max("max_seq")).first()[0]
-            latest = latest.filter(F.lit(since).isNull() | (F.col("seq") > F.lit(since)))
-        U.reweight(cands, latest.select("src", "dst", "new_weight")).select("query_id", "total", "line") \
-            .write.mode("overwrite").parquet(f"{out_base}/v={batch_id + 1}")
-        top = U.best_k(spark.read.parquet(f"{out_base}/v={batch_id + 1}"), best)
-        for base in (updates_base, out_base):
-            S.drop_versions(spark, base, keep=2)
-        emit_rows(top).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{emit_path}/batch={batch_id}")
+        version = batch_id + 1
+        places = updates.change(U.last_places(edge_updates(df)), version)
+        result = batch_result(spark, candidates_base)
+        if result is None:
+            return
+        name, candidates, progress = result
+        index, lines = _walk_tables(spark, out_base, name, compact_every, buckets)
+        live = updates.read(version)
+        live = live if progress is None else not_covered(live, progress)
+        if not lines.versions(batch_id):
+            walks = candidates.select("query_id", "line")
+            index.write(U.hops(walks).select("src", "dst", "query_id", F.col("line").alias("old_line")), 0)
+            lines.write(U.reweight(walks, live), version)
+            for c in S.numbered(spark, out_base, "c="):
+                if c < name and c not in S.numbered(spark, out_base, "c=")[-2:]:
+                    S.delete(spark, f"{out_base}/c={c}")
+            now = lines.read(version)
+        else:
+            hit = index.read(0, places).join(updates.delta(version).select("src", "dst"), ["src", "dst"], "left_semi") \
+                .select("query_id", F.col("old_line").alias("line")).distinct()
+            queries = lines.change(U.reweight(hit, live), version)
+            if not queries:
+                return
+            now = lines.read(version, queries).join(lines.delta(version).select("query_id").distinct(), "query_id", "left_semi")
+        top = emit_rows(U.best_k(now.select("query_id", "total", "line"), best))
+        if callable(emit):
+            emit(top, batch_id)
+        else:
+            top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{emit}/batch={batch_id}")
 
     return _start(messages, checkpoint, sink=sink, processing_time=processing_time)
 
 
+def _walk_tables(spark: SparkSession, base: str, name: int, compact_every: int = 10, buckets: int = 8) -> tuple[KeyedTable, KeyedTable]:
+    index = KeyedTable(spark, f"{base}/c={name}/index", ["src", "dst", "query_id", "old_line"], ["src", "dst"], buckets)
+    lines = KeyedTable(spark, f"{base}/c={name}/lines", ["query_id", "old_line"], ["query_id"], buckets, compact_every)
+    return index, lines
+
+
+def weighted_paths(spark: SparkSession, weighted_base: str) -> DataFrame:
+    """All candidate walks as the speed layer has them: ``(query_id, total, line)`` of the newest batch result taken up."""
+    for c in reversed(S.numbered(spark, weighted_base, "c=")):
+        _, lines = _walk_tables(spark, weighted_base, c)
+        if lines.versions():
+            return lines.read().select("query_id", "total", "line")
+    raise FileNotFoundError(f"no walks under {weighted_base}")
+
+
+def batch_result(spark: SparkSession, base: str) -> tuple[int, DataFrame, DataFrame | None] | None:
+    """``(name, candidates, progress)`` of the newest batch result: of ``recompute_stream`` (one state per batch, see
+    ``current_results``) or a plain version folder ``v=N`` with ``query_id, total, line``, its progress in ``<base>-progress/v=N``."""
+    base = base.rstrip("/")
+    states = S.versions(spark, f"{base}-status")
+    have = states or S.versions(spark, base)
+    if not have:
+        return None
+    name = have[-1]
+    rows = current_results(spark, base) if states else spark.read.parquet(f"{base}/v={name}")
+    known = name in S.versions(spark, f"{base}-progress")
+    return name, rows, spark.read.parquet(f"{base}-progress/v={name}") if known else None
+
+
+def newest_emitted(spark: SparkSession, emit_path: str) -> DataFrame:
+    """Of each query the rows of the newest batch that emitted it."""
+    e = spark.read.parquet(emit_path)
+    last = e.groupBy("query_id").agg(F.max("batch").alias("batch"))
+    return e.join(last, ["query_id", "batch"], "left_semi")
+
+
 def emit_rows(top: DataFrame) -> DataFrame:
     """K3: best-walk messages ``(query_id, rank, total, key, value)``; key = value = the line."""
     return top.select("query_id", "rank", "total", F.col("line").alias("key"), F.col("line").alias("value"))
@@ -214,7 +296,8 @@ def superseded_filter(status: Callable[[], DataFrame] | DataFrame) -> Callable[[
     """ST8 hook for ``ksp.search(between_rounds=…)``: drop the state of queries that are no longer newest.
 
     ``status()`` gives ``(query_id, superseded)`` and is called anew between rounds (a table reader lists its files again),
-    so a newer query arriving during the search stops the older one at the next round boundary."""
+    so a newer query arriving during the search stops the older one at the next round boundary. The filter is part of the round's job:
+    rows of a stopped query are neither stored nor counted."""
     def hook(_round: int, state: DataFrame) -> DataFrame:
         now = status() if callable(status) else status
         return state.join(now.filter("superseded").select("query_id"), "query_id", "left_anti")
@@ -223,27 +306,99 @@ def superseded_filter(status: Callable[[], DataFrame] | DataFrame) -> Callable[[
 
 # ---------------------------------------------------------------- ST9: recompute on a new snapshot
 
-def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: DataFrame, results_base: str,
+def query_registry(spark: SparkSession, base: str) -> KeyedTable:
+    """The path queries to keep answered: ``(query_id, starts, ends, active)``, newest entry per query."""
+    return KeyedTable(spark, base, ["query_id"], ["query_id"], buckets=1)
+
+
+def register_queries(spark: SparkSession, base: str, queries: DataFrame, active: bool = True) -> int:
+    """Add (or with ``active=False`` retire) queries; returns the registry's new version."""
+    table = query_registry(spark, base)
+    version = max((v for v, _ in table.versions()), default=-1) + 1
+    table.change(queries.select("query_id", "starts", "ends").withColumn("active", F.lit(active)), version)
+    return version
+
+
+def active_queries(spark: SparkSession, base: str) -> DataFrame:
+    return query_registry(spark, base).read().filter("active").drop("active")
+
+
+def recompute_stream(version_events: DataFrame, snapshot_base: str, queries: DataFrame | Callable[[], DataFrame], results_base: str,
                      checkpoint: str, config: ksp.SearchConfig | None = None,
                      processing_time: str | None = None):
-    """ST9: for each batch of "snapshot published" events, rerun the path queries on the newest version
-    and publish the results as ``results_base/v=<version>`` (with ``max_seq`` of the snapshot, for ST10)."""
+    """ST9: for each batch of "snapshot published" events, answer the active queries on the newest version.
+
+    ``queries``: a table, or a function that is asked anew in each batch (``lambda: active_queries(spark, base)``), so queries may be added and
+    retired while the stream runs. Only queries are searched that are new, changed, or that a change of the graph can reach: the
+    nodes of a query's kept search state are stored, and an edge whose weight differs between the two snapshots
+    touches a query when its source is among the start side's nodes, its target among the end side's, or one of them is a
+    requested id. An untouched query keeps its earlier result, which the new snapshot gives as well.
+
+    Batch ``b`` writes ``<results_base>/v=b+1`` (results of the queries searched), ``-reach`` (their nodes), ``-progress`` (the messages that
+    the snapshot holds) and last ``-status`` (every active query and the version of its result); ``current_results`` reads them."""
     spark = version_events.sparkSession
+    base = results_base.rstrip("/")
 
     def sink(df: DataFrame, batch_id: int):
         newest = df.agg(F.max("version")).first()[0]
         if newest is None:
             return
+        version = batch_id + 1
+        asked = (queries() if callable(queries) else queries).select("query_id", "starts", "ends").dropDuplicates(["query_id"])
+        earlier = [v for v in S.versions(spark, f"{base}-status") if v < version]
+        redo, kept = asked, None
+        if earlier:
+            before = spark.read.parquet(f"{base}-status/v={earlier[-1]}")
+            same = before.join(asked, ["query_id", "starts", "ends"], "left_semi")
+            touched = _touched_queries(spark, snapshot_base, base, same, newest)
+            if touched is not None:
+                kept = same.join(touched, "query_id", "left_anti").select("query_id", "starts", "ends", "computed")
+                redo = asked.join(kept.select("query_id"), "query_id", "left_anti")
         snap = S.read_edge_table(spark, snapshot_base, newest)
-        edges = snap.select("src", "dst", "weight")
-        res = ksp.k_shortest_paths(edges, queries, config)
-        max_seq = snap.agg(F.max("last_seq")).first()[0]
-        res.withColumn("max_seq", F.lit(max_seq).cast("bigint")).write.mode("overwrite").parquet(
-            f"{results_base}/v={newest}")
+        run = ksp.search(snap.select("src", "dst", "weight"), redo, config) if not redo.isEmpty() else None
+        if run is not None:
+            ksp.results(run.state).write.mode("overwrite").parquet(f"{base}/v={version}")
+            run.state.select("query_id", "side", "node").distinct().write.mode("overwrite").parquet(f"{base}-reach/v={version}")
+        progress = S.read_progress(spark, snapshot_base, newest)
+        if progress is not None:
+            progress.write.mode("overwrite").parquet(f"{base}-progress/v={version}")
+        done = redo.withColumn("computed", F.lit(version))
+        done = done if kept is None else done.unionByName(kept)
+        done.withColumn("snapshot", F.lit(newest)).write.mode("overwrite").parquet(f"{base}-status/v={version}")
 
     return _start(version_events, checkpoint, sink=sink, processing_time=processing_time)
 
 
+def _touched_queries(spark: SparkSession, snapshot_base: str, base: str, status: DataFrame, newest: int) -> DataFrame | None:
+    """``query_id`` of the queries of ``status`` that the changes up to snapshot ``newest`` can reach; None if that cannot be told."""
+    since = status.agg(F.max("snapshot")).first()[0]
+    changed = None if since is None else S.edges_changed(spark, snapshot_base, since, newest)
+    if changed is None:
+        return None
+    ends = changed.select(F.lit(ksp.START).alias("side"), F.col("src").alias("node")).unionByName(
+        changed.select(F.lit(ksp.END).alias("side"), F.col("dst").alias("node"))).distinct()
+    both = changed.select(F.col("src").alias("node")).unionByName(changed.select(F.col("dst").alias("node"))).distinct()
+    requested = status.select("query_id", F.explode(F.array_union("starts", "ends")).alias("node")).join(both, "node", "left_semi")
+    computed = [r[0] for r in status.select("computed").distinct().collect()]  # at most one per version kept
+    reach = spark.read.option("basePath", f"{base}-reach").parquet(*(f"{base}-reach/v={v}" for v in computed))
+    held = reach.join(status.select("query_id", F.col("computed").alias("v")), ["query_id", "v"], "left_semi")
+    return held.join(ends, ["side", "node"], "left_semi").select("query_id").unionByName(requested.select("query_id")).distinct()
+
+
+def current_results(spark: SparkSession, results_base: str) -> DataFrame:
+    """The results of the active queries as ``recompute_stream`` left them: ``(query_id, total, hops, line)``."""
+    base = results_base.rstrip("/")
+    status = spark.read.parquet(S.latest_path(spark, f"{base}-status"))
+    computed = [r[0] for r in status.select("computed").distinct().collect()]
+    have = [v for v in S.versions(spark, base) if v in computed]
+    if not have:
+        return status.select("query_id", *(F.lit(None).cast(t).alias(c) for c, t in
+                                           (("total", "bigint"), ("hops", "bigint"), ("line", "string")))).limit(0)
+    rows = spark.read.option("basePath", base).parquet(*(f"{base}/v={v}" for v in have))
+    return rows.join(status.select("query_id", F.col("computed").alias("v")), ["query_id", "v"], "left_semi") \
+        .select("query_id", "total", "hops", "line")
+
+
 # ---------------------------------------------------------------- S7 + ST7 + G4 + K2: batch layer as a stream
 
 def path_query_stream(messages: DataFrame, graph_source: Callable[[], tuple[object, DataFrame]],

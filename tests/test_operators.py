@@ -196,7 +196,8 @@ def test_a_new_batch_result_is_taken_up_mid_stream(spark, tmp_path):
     from pathlattice.streaming import jobs as J
 
     def publish(v, rows):
-        spark.createDataFrame(rows, "query_id bigint, total bigint, line string, max_seq bigint").write.parquet(str(tmp_path / f"c/v={v}"))
+        spark.createDataFrame([(0, rows[0][3])], "partition int, offset bigint").write.parquet(str(tmp_path / f"c-progress/v={v}"))
+        spark.createDataFrame([r[:3] for r in rows], "query_id bigint, total bigint, line string").write.parquet(str(tmp_path / f"c/v={v}"))
 
     def message(seq, text):
         spark.createDataFrame([(seq, text)], "seq bigint, value string").write.mode("append").parquet(str(tmp_path / "in"))
@@ -204,8 +205,7 @@ def test_a_new_batch_result_is_taken_up_mid_stream(spark, tmp_path):
     def drain():
         stream = spark.readStream.schema("seq bigint, value string").parquet(str(tmp_path / "in"))
         J.run(J.reweight_stream(stream, str(tmp_path / "c"), str(tmp_path / "u"), str(tmp_path / "emit"), str(tmp_path / "ck")))
-        return {(r.query_id, r.value) for r in spark.read.parquet(str(tmp_path / "emit")).filter(
-            f"batch = (SELECT max(batch) FROM parquet.`{tmp_path}/emit`)").collect()}
+        return {(r.query_id, r.value) for r in J.newest_emitted(spark, str(tmp_path / "emit")).collect()}
 
     publish(1, [(1, 5, "5 1 5 2", 0)])
     message(1, "1 9 2 0.0 0.0 0.0 0.0")
