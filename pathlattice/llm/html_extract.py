@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +51,20 @@ NAMES = (
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|ads?|advert\w*|adverts|banner|sponsor\w*|promo\w*|"
     r"cookies?|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|"
     r"comments?|disqus|replies|pagination|pager|toolbar|widget|complementary|contentinfo")
-NAMED = re.compile(rf"(?:^|[\s_-])(?:{NAMES})(?:$|[\s_-])", re.I)
-NAMED_WHOLE = re.compile(rf"(?:^|\s)(?:{NAMES})(?:$|\s)", re.I)  # not as a part of a name such as has-sidebar
+# What may stand behind such a name in a compound (comments-section), and what before it only says how a wrapper looks (has-sidebar).
+TAILS = (r"section|list|block|box|area|wrap|wrapper|container|panel|links?|buttons?|icons?|bar|slot|unit|left|right|top|bottom|inner|items?|"
+         r"form|thread|feed|posts?|articles?|stories|news")
+LOOKS = r"has|with|without|no|is|show|hide"
+NAMED_WHOLE = re.compile(rf"(?:^|\s)(?:{NAMES})(?=$|\s)", re.I)
+NAMED_COMPOUND = re.compile(rf"(?:^|\s)(?!(?:{LOOKS})[_-])(?:[^\s_-]+[_-]+)*?(?:{NAMES})(?:[_-]+(?:{NAMES}|{TAILS}|\d+))*(?=$|\s)", re.I)
+NAMED_PART = re.compile(rf"(?:^|[\s_.-])(?:{NAMES})(?:$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")  # of any name, so values are passed over
 READ = frozenset("class id role hidden aria-hidden".split())
 WHITE = re.compile(r"\s+")
 SALTS = 16
+# Elements nested deeper belong to the container at this depth, as in browsers; their text stays.
+MAX_DEPTH = 512
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -80,7 +88,7 @@ def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
     return tag in BOILERPLATE or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
 
 
-def is_named(tag: str, attrs: dict[str, str], pattern: re.Pattern = NAMED) -> bool:
+def is_named(tag: str, attrs: dict[str, str], pattern: re.Pattern = NAMED_COMPOUND) -> bool:
     """Whether class, id or role name an element as something beside the text."""
     return tag not in ("html", "body", "main", "article") and any(pattern.search(attrs.get(k, "")) for k in ("class", "id", "role"))
 
@@ -88,50 +96,75 @@ def is_named(tag: str, attrs: dict[str, str], pattern: re.Pattern = NAMED) -> bo
 def page_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
     """Blocks outside boilerplate: text, code points in links, and the paths of its containers, outermost first.
 
-    A name is no proof: an element that only its name makes boilerplate stays for the vote when it holds all unlinked text of the page, or
-    over three quarters of it and the name is a part of a longer one (``has-sidebar``). What is boilerplate inside it still goes."""
-    spared: set[int] = set()
+    A name is no proof. An element with a whole name (``sidebar``) stays for the vote only when nothing else has text that is not linked. One
+    with a compound name (``page-header``, ``elementor-widget``) stays too when it holds over three quarters of that text, or a
+    quarter with the page's heading, an ``article`` or a ``main`` in it. What is boilerplate inside it still goes. A name that is only
+    a part of another word group (``related-news-page``) takes nothing out; it halves the container's votes."""
+    blocks, whole, heads = parse_blocks(page)
+    if not whole:
+        return [x[:3] for x in blocks]
+    # blocks by the outermost named element around them that does not stay
+    under: dict[int, list[int]] = {}
+    sizes: dict[int, int] = {}
+    worth = [max(0, len(text) - linked) for text, linked, *_ in blocks]
+    level = [0] * len(blocks)
+
+    def put(i: int) -> None:
+        chain = blocks[i][3]
+        k = chain[level[i]] if level[i] < len(chain) else -1
+        under.setdefault(k, []).append(i)
+        sizes[k] = sizes.get(k, 0) + worth[i]
+
+    for i in range(len(blocks)):
+        put(i)
+    total = sum(worth)
+    tried: set[int] = set()
     while True:
-        blocks, named, kept = parse_blocks(page, spared)
-        most = max(named, key=lambda k: named[k][0], default=None)
-        if most is None or not named[most][0]:
-            return blocks
-        size, whole = named[most]
-        rest = kept + sum(n for n, _ in named.values()) - size
-        if kept if whole else 3 * rest >= size:
-            return blocks
-        spared.add(most)
-
-
-def parse_blocks(page: str, spared: set[int]) -> tuple[list[tuple[str, int, tuple[str, ...]]], dict[int, tuple[int, bool]], int]:
-    """The blocks; by the position of each outermost element that its name alone makes boilerplate, the unlinked code points that go
-    with it and whether the name is a whole one; and the unlinked code points that stay. ``spared``: such elements that stay."""
-    out: list[tuple[str, int, tuple[str, ...]]] = []
-    stack: list[tuple[str, str, bool, int]] = []  # tag, step, boilerplate at or above it, position of the named one (-1: none)
-    named: dict[int, tuple[int, bool]] = {}
+        k = max((k for k in sizes if k >= 0 and k not in tried), key=lambda k: (sizes[k], -k), default=None)
+        if k is None or not sizes[k]:
+            break
+        size = sizes[k]
+        if not (sizes.get(-1, 0) == 0 if whole[k] else 4 * size > 3 * total or (k in heads and 4 * size >= total)):
+            tried.add(k)
+            continue
+        del sizes[k]
+        for i in under.pop(k):
+            level[i] += 1
+            put(i)
+    return [blocks[i][:3] for i in sorted(under.get(-1, []))]
+
+
+def parse_blocks(page: str) -> tuple[list[tuple[str, int, tuple[str, ...], tuple[int, ...]]], dict[int, bool], set[int]]:
+    """In one pass: the blocks outside boilerplate elements, each with the positions of the elements around it that their names make
+    boilerplate, outermost first; whether each such name is a whole one; and those with a heading, ``article`` or ``main`` in them."""
+    out: list[tuple[str, int, tuple[str, ...], tuple[int, ...]]] = []
+    # tag, path, boilerplate at or above it, named at or above it, paths of the containers down to it
+    stack: list[tuple[str, str, bool, tuple[int, ...], tuple[str, ...]]] = []
+    whole: dict[int, bool] = {}
+    heads: set[int] = set()
     text: list[str] = []
-    linked = at = links = 0
+    linked = at = links = articles = 0
 
     def flush():
         nonlocal linked
         if text:
             block = WHITE.sub(" ", entities.unescape("".join(text))).strip()
             if block:
-                path, found = "", []
-                for tag, name, *_ in stack:
-                    path += "/" + name
-                    if tag in CONTAINERS:
-                        found.append(path)
-                out.append((block, linked, tuple(found) or ("",)))
+                out.append((block, linked, (stack[-1][4] if stack else ()) or ("",), stack[-1][3] if stack else ()))
             text.clear()
         linked = 0
 
+    def cut(i: int) -> None:
+        nonlocal articles
+        flush()
+        articles -= sum(x[0] == "article" for x in stack[i:])
+        del stack[i:]
+
     def close(tags) -> None:
         """Close the innermost open element of ``tags`` and all inside it, not reaching out of its container."""
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in tags:
-                flush()
-                del stack[i:]
+                cut(i)
                 return
             if stack[i][0] in CONTAINERS or stack[i][0] in ("ul", "ol", "table", "dl"):
                 return
@@ -142,9 +175,6 @@ def parse_blocks(page: str, spared: set[int]) -> tuple[list[tuple[str, int, tupl
             text.append(piece)
             if links:
                 linked += len(piece.strip())
-        elif piece and stack[-1][3] >= 0 and not links:
-            size, whole = named[stack[-1][3]]
-            named[stack[-1][3]] = size + len(piece.strip()), whole
 
     while True:
         m = TOKEN.search(page, at)
@@ -162,8 +192,7 @@ def parse_blocks(page: str, spared: set[int]) -> tuple[list[tuple[str, int, tupl
             elif tag in BLOCKS:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        flush()
-                        del stack[i:]
+                        cut(i)
                         break
             continue
         if tag in RAW:
@@ -185,16 +214,32 @@ def parse_blocks(page: str, spared: set[int]) -> tuple[list[tuple[str, int, tupl
             flush()
             if tag not in VOID:
                 attrs = attributes(m[3])
-                out_of_text, by_name = stack[-1][2:] if stack else (False, -1)
-                if is_boilerplate(tag, attrs):
-                    out_of_text, by_name = True, -1
-                elif not out_of_text and at not in spared and is_named(tag, attrs):
-                    out_of_text, by_name = True, at
-                    named[at] = 0, is_named(tag, attrs, NAMED_WHOLE)
-                stack.append((tag, step(tag, attrs), out_of_text, by_name))
+                path, out_of_text, named, containers = stack[-1][1:] if stack else ("", False, (), ())
+                deep = len(stack) >= MAX_DEPTH
+                # the header of an article is the article's
+                of_article = tag == "header" and articles > 0
+                if is_boilerplate(tag, attrs) and not (of_article and is_boilerplate("div", attrs) is False):
+                    out_of_text = True
+                elif not (out_of_text or of_article or deep) and is_named(tag, attrs):
+                    named += (at,)
+                    whole[at] = is_named(tag, attrs, NAMED_WHOLE)
+                if tag in ("h1", "article", "main") and not out_of_text:
+                    heads.update(named)
+                articles += tag == "article"
+                if not deep:
+                    path = f"{path}/{step(tag, attrs)}"
+                    containers = (*containers, path) if tag in CONTAINERS else containers
+                stack.append((tag, path, out_of_text, named, containers))
                 links = 0
     flush()
-    return out, named, sum(max(0, len(b) - k) for b, k, _ in out)
+    return out, whole, heads
+
+
+@lru_cache(maxsize=4096)
+def doubtful(path: str) -> bool:
+    """Whether a part of the name of the path's last step speaks of something beside the text."""
+    last = path.rsplit("/", 1)[-1]
+    return "." in last and NAMED_PART.search(last[last.index("."):]) is not None
 
 
 def container_scores(blocks) -> dict[str, float]:
@@ -205,7 +250,7 @@ def container_scores(blocks) -> dict[str, float]:
         worth = float(max(0, len(block) - 2 * linked))
         for path in reversed(paths):
             last = path.rsplit("/", 1)[-1].split(".")[0]
-            scores[path] = scores.get(path, 0.0) + worth * (2 if last in ("article", "main") else 1)
+            scores[path] = scores.get(path, 0.0) + worth * (2 if last in ("article", "main") else 1) / (1 + doubtful(path))
             worth /= 2
     return scores
 

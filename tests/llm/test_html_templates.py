@@ -43,3 +43,42 @@ def test_layout_wrappers_do_not_empty_a_page():
     # hidden elements, and long comments beside a text, still go
     assert text(f"<body><div hidden>{story}</div><p>x</p></body>") == "x"
     assert text(f"<body><p>short story</p><div class=comments>{BODY}</div></body>") == "short story"
+
+
+def test_names_that_are_parts_only_lower_the_vote(llm_spark):
+    column = "<div class=column>" + "<p>words of another column beside the story, of some length and not linked</p>" * 8 + "</div>"
+    story = "".join(f"<p>{'long text of the story goes on and on ' * 3} {k}</p>" for k in range(6))
+    for name in ("content has-sidebar", "related-news-page", "with-menu", "page-with-comments-layout"):
+        page = f"<body><div class='{name}'>{story}</div>{column}</body>"
+        blocks = [b for b, _, _ in H.page_blocks(page)]
+        assert sum(b.startswith("long text") for b in blocks) == 6, name
+    # compound names go, as whole names do, in the article too
+    for name in ("post-comments", "comments-section", "sidebar-left", "site-footer", "ad-slot", "share-buttons", "related-posts", "cookie-banner",
+                 "main-nav", "newsletter-signup"):
+        page = f"<body><article><h1>The heading</h1>{BODY}<div class={name}><p>words that are not the story</p></div></article></body>"
+        text, = extracted(llm_spark, page) if name == "post-comments" else ["\n".join(b for b, _, _ in H.page_blocks(page))]
+        assert "not the story" not in text and text.startswith("The heading"), name
+
+
+def test_the_header_of_an_article_is_the_article_s(llm_spark):
+    page = (f"<body><header><h1>Site name</h1></header><article><header class=entry-header><h1>The heading</h1><nav>menu</nav></header>{BODY}"
+            f"<footer>about the author</footer></article><header>late banner</header></body>")
+    text, = extracted(llm_spark, page)
+    assert text.startswith("The heading\nlong text") and text.endswith(" 7")
+    hidden = f"<body><article><header hidden><h1>Gone</h1></header>{BODY}</article></body>"
+    assert extracted(llm_spark, hidden)[0].startswith("long text")
+
+
+def test_deep_nesting_is_read_in_one_pass():
+    import time
+
+    deep = 3000
+    page = "<body>" + "<div class='sidebar'><p>some words here</p>" * deep + "</div>" * deep + f"<div>{BODY}</div></body>"
+    t = time.perf_counter()
+    blocks = H.page_blocks(page)
+    assert [b for b, _, _ in blocks][-1].endswith(" 7") and len(blocks) == 8
+    plain = "<body>" + "<div><p>words</p>" * deep + "</div>" * deep + "</body>"
+    assert len(H.page_blocks(plain)) == deep
+    spared = "<body>" + "<div class='page-header'><p>some words here</p>" * 400 + "</div>" * 400 + "</body>"
+    assert H.page_blocks(spared)
+    assert time.perf_counter() - t < 20
