@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,44 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def map_arrow_lean(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``map_arrow`` whose tasks give their memory back when they end, as Python workers live on for other stages."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return map_arrow(df, run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of this Python process to the system: Arrow's pool and the C heap."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Jobs started inside hand their rows to Python in Arrow batches of at most ``rows``: for rows that are large each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fold(doc_id, mod: int):
     """crc32 of the id as text, modulo ``mod`` (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(mod)

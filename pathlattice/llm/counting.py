@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm.common import map_arrow, partitions_for, stage
+from pathlattice.llm.common import map_arrow_lean, partitions_for, stage
 
 U = np.uint64
 KEYS_PER_SHARD = 1_500_000
@@ -28,6 +28,13 @@ def shard_bounds(n: int) -> np.ndarray:
     return np.array([(i << 64) // n for i in range(n)], dtype=U)
 
 
+def by_shard(keys: np.ndarray, bounds: np.ndarray) -> tuple[list[int], list[int]]:
+    """The shards of sorted keys and where each one's keys begin, then their end. The work follows the keys, not the shards."""
+    of = np.searchsorted(bounds, keys, "right") - 1
+    start = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return of[start].tolist(), [*start.tolist(), len(keys)]
+
+
 def narrow(keys: np.ndarray, low: int, width: int) -> bytes:
     """Keys of one shard in 6 bytes: their top 47 bits inside the shard and their lowest bit. Two keys of a shard fall
     together with probability 2^-47, whatever the size of the corpus, as shards do not grow."""
@@ -93,17 +100,16 @@ def key_sums(spark: SparkSession, chunks: DataFrame, make: Callable[[dict], tupl
     def send(batches):
         for row in rows_of(batches, columns):
             k, w = make(row)
-            cut = np.append(np.searchsorted(k, bounds), len(k)).tolist()
-            used = [i for i in range(n) if cut[i + 1] > cut[i]]
+            used, cut = by_shard(k, bounds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), pa.array([row["chunk"]] * len(used), pa.int64()),
-                 pa.array([narrow(k[cut[i]:cut[i + 1]], i * (1 << 64) // n, -(-(1 << 64) // n)) for i in used],
+                 pa.array([narrow(k[a:b], i * (1 << 64) // n, -(-(1 << 64) // n)) for i, a, b in zip(used, cut, cut[1:])],
                           pa.binary()),
-                 pa.array([planes(w[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
+                 pa.array([planes(w[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
                 names=["shard", "chunk", "keys", "weights"])
 
     columns = chunks.columns
-    sent = map_arrow(chunks, send,
+    sent = map_arrow_lean(chunks, send,
                      "shard int, chunk bigint, keys binary, weights binary").repartition(n, "shard")
 
     def add(table: pa.Table) -> pa.Table:
@@ -151,13 +157,12 @@ def shared_keys(spark: SparkSession, postings: DataFrame, n_keys: int) -> DataFr
                                   for c, t in (("kinds", np.int8), ("keys", U), ("nodes", np.int64)))
             order = np.argsort(keys)
             kinds, keys, nodes = kinds[order], keys[order], nodes[order]
-            cut = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
-            used = [i for i in range(n) if cut[i + 1] > cut[i]]
+            used, cut = by_shard(keys, bounds)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), *(pa.array([a[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary())
-                                               for a in (kinds, keys, nodes))], names=["shard", "kinds", "keys", "nodes"])
+                [pa.array(used, pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
+                                               for x in (kinds, keys, nodes))], names=["shard", "kinds", "keys", "nodes"])
 
-    sent = map_arrow(postings.select("kinds", "keys", "nodes"), send,
+    sent = map_arrow_lean(postings.select("kinds", "keys", "nodes"), send,
                      "shard int, kinds binary, keys binary, nodes binary").repartition(n, "shard")
 
     def meet(table: pa.Table) -> pa.Table:

@@ -30,15 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import drop_folder, free_name, map_arrow, partitions_for, small, stage
-from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together, rows_of, shard_bounds, shared_keys, sums_of
+from pathlattice.llm.common import drop_folder, free_name, map_arrow_lean, partitions_for, small, small_batches, stage
+from pathlattice.llm.counting import by_chunk, by_shard, from_planes, key_sums, planes, put_together, rows_of, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
 from pathlattice.session import scratch_path
 
 U = np.uint64
 WORDS = 5
 CHUNK_KEYS = 1_000_000
-PREFIX_PER_SHARD = 2_000_000
+PREFIX_PER_SHARD = 1_000_000
+PAIR_ROWS = 500  # rows of two sets each in one Arrow batch
 DELETE_BELOW = 48
 
 
@@ -90,16 +91,15 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
             k, o = np.concatenate(keys), np.concatenate(owners)
             order = np.argsort(k, kind="stable")
             k, o = k[order], o[order]
-            cut = np.append(np.searchsorted(k, bounds), len(k)).tolist()
-            used = [i for i in range(shards) if cut[i + 1] > cut[i]]
+            used, cut = by_shard(k, bounds)
             # within a shard 32 bits tell keys apart well enough: a false equal only keeps a document for the exact steps
             k = (k * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32)
             null = pa.nulls(len(used), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [null, null, pa.nulls(len(used), id_kind), null, null, null, pa.array(used, pa.int32()),
                  pa.array([first_row] * len(used), pa.int64()),
-                 pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in used], pa.binary()),
-                 pa.array([planes(o[cut[i]:cut[i + 1]]) for i in used], pa.binary())],
+                 pa.array([k[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                 pa.array([planes(o[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
                 names=["row", "tag", "doc_id", "n", "s1", "s2", "shard", "first_row", "keys", "owners"])
 
         for batch in batches:
@@ -125,7 +125,7 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
         if held:
             yield flush()
 
-    return map_arrow(docs.select("doc_id", "text", "tag"), run, schema)
+    return map_arrow_lean(docs.select("doc_id", "text", "tag"), run, schema)
 
 
 def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
@@ -159,10 +159,19 @@ def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
     return counted.groupBy("first_row").applyInArrow(add, "row bigint, shared bigint")
 
 
-def chunked_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+def chunked_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
     """``chunk, nodes, sizes, shingles``: the sets of ``nodes (node, doc_id, s1, s2)``, packed by chunk."""
     side = nodes.select("node", F.col("doc_id").alias("_id"), "s1", "s2")
     joined = docs.select("doc_id", "text").join(small(side, n_nodes, 64), F.col("doc_id") == F.col("_id"))
+    # an id on many rows makes its node once, not once a row
+    rows_of_id = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeated = stage(spark, rows_of_id, "repeated-ids")
+    n_repeated = repeated.count()
+    if n_repeated:
+        repeated = small(repeated, n_repeated, 16)
+        joined = joined.join(repeated, "doc_id", "left_anti").unionByName(
+            joined.join(repeated, "doc_id", "left_semi").withColumn("_h", F.xxhash64("text"))
+            .dropDuplicates(["node", "_h"]).drop("_h"))
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -189,7 +198,7 @@ def chunked_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
         if held:
             yield flush()
 
-    return map_arrow(joined.select("text", "node", "s1", "s2"), run,
+    return map_arrow_lean(joined.select("text", "node", "s1", "s2"), run,
                      "chunk bigint, nodes binary, sizes binary, shingles binary")
 
 
@@ -295,7 +304,7 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
                                               for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
     joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "sums")
-    return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
+    return shared_keys(spark, map_arrow_lean(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
 
 
 def node_sets(chunks: DataFrame) -> DataFrame:
@@ -306,7 +315,7 @@ def node_sets(chunks: DataFrame) -> DataFrame:
                                               pa.array([s.tobytes() for _, s in rows], pa.binary())],
                                              names=["node", "shingles"])
 
-    return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
+    return map_arrow_lean(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
 
 
 def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> DataFrame:
@@ -333,7 +342,7 @@ def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> Data
     columns = rows.columns
     rows = spark.read.schema(both.schema).parquet(path).filter("kind = 'rows'").select(*columns)  # listed anew
     stats = nodes.agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("keys"), F.max("n").alias("largest")).first()
-    chunks = stage(spark, chunked_sets(docs, nodes, stats["nodes"]), "shingle-sets")
+    chunks = stage(spark, chunked_sets(spark, docs, nodes, stats["nodes"]), "shingle-sets")
     posts = postings(spark, chunks, stats["keys"] or 0, stats["largest"] or 1)
     posts = stage(spark, posts.join(small(nodes.select("node", F.col("n").alias("mark")), stats["nodes"], 32), "node"),
                   "shingle-postings")
@@ -352,11 +361,12 @@ def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> Data
                     ok.append(linked_sizes(int((both[1:] == both[:-1]).sum()), len(a), len(b)))
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return map_arrow(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
+        return map_arrow_lean(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
-    found = linked_groups(spark, *(posts.filter(f"kind = {k}").select("key", "node", "mark") for k in (0, 2)),
-                          verify, "shingle", posts.filter("kind = 1").select("key", "node", "mark"),
-                          lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y))
+    with small_batches(spark, PAIR_ROWS):
+        found = linked_groups(spark, *(posts.filter(f"kind = {k}").select("key", "node", "mark") for k in (0, 2)),
+                              verify, "shingle", posts.filter("kind = 1").select("key", "node", "mark"),
+                              lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y))
     named = classes.join(found, F.col("of.row") == found.node, "left").withColumn(
         "component", F.coalesce("component", "of.row"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
