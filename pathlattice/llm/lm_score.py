@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import fold, map_arrow, stage
+from pathlattice.llm.common import fold, map_arrow, map_arrow_lean, small_batches, stage
 from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together, rows_of
 
 U = np.uint64
 ODD = U(1)
 END, START = U(0x3C6EF372FE94F82B) | ODD, U(0x1B873593CC9E2D51) | ODD
 CHUNK_TOKENS = 1_000_000
+TEXT_ROWS = 1000  # texts in one Arrow batch
 SLICE_TOKENS = 250_000
 PACKED = ["chunk", "folds", "lengths", "words", "codes"]
 EM_FOLD = 1
@@ -213,9 +214,14 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, uniform: float) -> np.ndarra
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs (doc_id, text)``."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    chunks = stage(spark, token_chunks(docs), "lm-chunks")
+    with small_batches(spark, TEXT_ROWS):
+        chunks = stage(spark, token_chunks(docs), "lm-chunks")
+    with small_batches(spark, 1):  # a chunk is some 10 MB
+        return stage(spark, scored(spark, chunks, docs.schema["doc_id"].dataType.simpleString()), "lm-scores")
+
 
+def scored(spark: SparkSession, chunks: DataFrame, id_type: str) -> DataFrame:
+    """The scores of the texts in ``chunks``."""
     def keys(row):
         c = Chunk(row)
         return c.keys, c.training_weights()
@@ -252,6 +258,6 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                          pa.array(tv.sums_by(base, off)), pa.array(tv.sums_by(np.log10(p), off))],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return map_arrow(chunks.select("ids", *PACKED).join(by_chunk(sums), "chunk"), run,
+    return map_arrow_lean(chunks.select("ids", *PACKED).join(by_chunk(sums), "chunk"), run,
                      f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                      "base_score double, score double")

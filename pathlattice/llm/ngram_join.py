@@ -39,6 +39,7 @@ U = np.uint64
 WORDS = 5
 CHUNK_KEYS = 1_000_000
 PREFIX_PER_SHARD = 1_000_000
+TEXT_ROWS = 1000  # texts in one Arrow batch
 PAIR_ROWS = 500  # rows of two sets each in one Arrow batch
 DELETE_BELOW = 48
 
@@ -320,6 +321,11 @@ def node_sets(chunks: DataFrame) -> DataFrame:
 
 def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``, and ``tag``, the given bigint column."""
+    with small_batches(spark, TEXT_ROWS):  # every step with Python tasks is written inside
+        return linked_documents(spark, docs, tag)
+
+
+def linked_documents(spark: SparkSession, docs: DataFrame, tag: str | None) -> DataFrame:
     docs = docs.select("doc_id", "text", (F.col(tag) if tag else F.lit(None)).cast("bigint").alias("tag"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = partitions_for(spark, size // 12, PREFIX_PER_SHARD)  # prefixes are 3/8 of the words
