@@ -23,10 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back: cuts the lineage, so a lost
-    executor repeats one step, and a costly step runs once for several uses."""
+    executor repeats one step, and a costly step runs once for several uses. The exchanges behind the written table are
+    not read again, so Spark deletes their files when the write ends instead of some time later."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote and no later step reads."""
+    for df in staged:
+        drop_folder(df.sparkSession, df.staged_at)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -50,19 +60,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks give their memory back when they end, as Python workers live on for other stages."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
-
 
-def map_arrow_lean(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``map_arrow`` whose tasks give their memory back when they end, as Python workers live on for other stages."""
     def run(batches):
         try:
             yield from fn(batches)
         finally:
             give_back()
 
-    return map_arrow(df, run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def give_back() -> None:
@@ -81,15 +88,22 @@ def give_back() -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Jobs started inside hand their rows to Python in Arrow batches of at most ``rows``: for rows that are large each."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the jobs started inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def small_batches(spark: SparkSession, rows: int):
+    """Jobs started inside hand their rows to Python in Arrow batches of at most ``rows``: for rows that are large each."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def fold(doc_id, mod: int):
@@ -144,7 +158,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
         small_star = large.join(low, large.a == low.n).select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        e = stage(spark, small_star.filter("a <> b").distinct(), "cc")
+        before, e = e, stage(spark, small_star.filter("a <> b").distinct(), "cc")
+        drop(before)
         now = mark(e)
         if tuple(now) == tuple(last):
             break

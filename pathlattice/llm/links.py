@@ -15,24 +15,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlattice.llm.common import components, small, stage
+from pathlattice.llm.common import components, drop, small, stage
 
 
 def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None,
                   verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None,
-                  close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+                  close: Callable[[Column, Column], Column] | None = None, spent: DataFrame | None = None) -> DataFrame:
     """``node, component`` of all nodes with a link; ``component`` is the smallest node of the group.
 
     ``index (key, node)``: the postings. ``probe``: the ``(key, node)`` requests of all nodes; whichever end of a link
     asks, it must have a request for a key under which the other end stands. Without it, the postings are the requests.
     ``wider``: more postings that only answer requests. ``close``: a cheap necessary condition on the ``mark`` column that the
-    postings then carry; pairs that fail it are never sent on. ``verify``: the linked pairs among ``(a, b)``."""
+    postings then carry; pairs that fail it are never sent on. ``verify``: the linked pairs among ``(a, b)``.
+    ``spent``: the staged table behind the postings, if it may be deleted when they have been read for the last time."""
     if close is None:
         index = index.withColumn("mark", F.lit(None).cast("bigint"))
     near = close or (lambda x, y: F.lit(True))
     sizes = stage(spark, index.groupBy("key").agg(F.count(F.lit(1)).alias("len")).filter("len > 1"), f"{name}-lists")
     runs = stage(spark, index.join(small(sizes, sizes.count(), 32), "key").select("key", "node", "mark", "len"),
                  f"{name}-runs")
+    drop(sizes)
+    if spent is not None and probe is None:
+        drop(spent)
     degree = runs.groupBy("node").agg(F.sum(F.col("len") - 1).alias("degree"))
     # degree first, then the smaller node, as one sortable pair of numbers
     ranked = runs.join(degree, "node").select("key", F.struct(
@@ -47,9 +51,12 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     star = stage(spark, star, f"{name}-star")
     edges = stage(spark, verify(star).select("a", "b"), f"{name}-edges")
 
+    if probe is not None:
+        drop(runs)
     found = components(spark, edges)
     found = stage(spark, found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"),
                   f"{name}-found")
+
     def place(postings):
         return postings.join(found, "node", "left").select(
             "key", "node", "mark", F.struct(F.coalesce("size", F.lit(1)).alias("size"),
@@ -68,6 +75,10 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
                                                                   F.col("mark").alias("own_mark"))
     pairs = asking.join(placed, "key").filter((F.col("own") < F.col("place")) & near(F.col("own_mark"), F.col("mark"))).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    rest = pairs.join(star, ["a", "b"], "left_anti")
-    more = stage(spark, verify(stage(spark, rest, f"{name}-rest")).select("a", "b"), f"{name}-edges")
+    rest = stage(spark, pairs.join(star, ["a", "b"], "left_anti"), f"{name}-rest")
+    drop(star, placed, found, *([runs] if probe is None else []))
+    if spent is not None and probe is not None:
+        drop(spent)
+    more = stage(spark, verify(rest).select("a", "b"), f"{name}-edges")
+    drop(rest)
     return components(spark, edges.unionByName(more))

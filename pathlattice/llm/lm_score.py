@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import fold, map_arrow, map_arrow_lean, small_batches, stage
+from pathlattice.llm.common import fold, map_arrow, small_batches, stage
 from pathlattice.llm.counting import by_chunk, from_planes, key_sums, planes, put_together, rows_of
 
 U = np.uint64
@@ -258,6 +258,6 @@ def scored(spark: SparkSession, chunks: DataFrame, id_type: str) -> DataFrame:
                          pa.array(tv.sums_by(base, off)), pa.array(tv.sums_by(np.log10(p), off))],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return map_arrow_lean(chunks.select("ids", *PACKED).join(by_chunk(sums), "chunk"), run,
+    return map_arrow(chunks.select("ids", *PACKED).join(by_chunk(sums), "chunk"), run,
                      f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                      "base_score double, score double")

@@ -13,7 +13,9 @@ documents link at Jaccard similarity >= 0.75, which is a symmetric difference of
 3. Every document indexes the subsets of its own band's segments (and, in bands below ``DELETE_BELOW`` shingles, their one-deletion
    neighbourhoods, whose number of rows is only worth it there). Its requests are allocated by cost: the count of a segment's rarest shingle
    bounds its list, so the H + 1 cheapest units are taken, and those no other document can answer are not sent at all.
-4. Lists go through ``links``: leader tests first, then all that is left apart, each candidate verified exactly on the full sets.
+4. Lists go through ``links``: leader tests first, then all that is left apart. Every set has ``PARITIES`` bits, each telling whether an
+   odd number of its shingles falls into a hash range; two sets differ in at least as many shingles as in bits, which refutes most pairs of
+   groups that share segments without being linked, before any set is sent. What is left is verified exactly on the full sets.
 
 Result: ``doc_id, n_shingles, component_id`` for every row; ``component_id`` is the smallest id of the group (by links), itself included.
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathlattice.llm import textvec as tv
-from pathlattice.llm.common import drop_folder, free_name, map_arrow_lean, partitions_for, small, small_batches, stage
+from pathlattice.llm.common import drop, drop_folder, free_name, map_arrow, partitions_for, small, small_batches, stage
 from pathlattice.llm.counting import by_chunk, by_shard, from_planes, key_sums, planes, put_together, rows_of, shard_bounds, shared_keys, sums_of
 from pathlattice.llm.links import linked_groups
 from pathlattice.session import scratch_path
@@ -42,6 +44,8 @@ PREFIX_PER_SHARD = 1_000_000
 TEXT_ROWS = 1000  # texts in one Arrow batch
 PAIR_ROWS = 500  # rows of two sets each in one Arrow batch
 DELETE_BELOW = 48
+PARITIES = 1024  # a multiple of 64
+LONGS = [f"p{i}" for i in range(PARITIES // 64)]
 
 
 def linked_sizes(common: int, a: int, b: int) -> bool:
@@ -126,7 +130,7 @@ def scan(docs: DataFrame, shards: int) -> DataFrame:
         if held:
             yield flush()
 
-    return map_arrow_lean(docs.select("doc_id", "text", "tag"), run, schema)
+    return map_arrow(docs.select("doc_id", "text", "tag"), run, schema)
 
 
 def possible(spark: SparkSession, scanned: DataFrame, shards: int) -> DataFrame:
@@ -199,7 +203,7 @@ def chunked_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, n_nodes
         if held:
             yield flush()
 
-    return map_arrow_lean(joined.select("text", "node", "s1", "s2"), run,
+    return map_arrow(joined.select("text", "node", "s1", "s2"), run,
                      "chunk bigint, nodes binary, sizes binary, shingles binary")
 
 
@@ -305,7 +309,7 @@ def postings(spark: SparkSession, chunks: DataFrame, n_keys: int, largest: int)
                                               for x in (kinds, out, nodes)], names=["kinds", "keys", "nodes"])
 
     joined = chunks.join(by_chunk(sums), "chunk").select("nodes", "sizes", "shingles", "sums")
-    return shared_keys(spark, map_arrow_lean(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
+    return shared_keys(spark, map_arrow(joined, run, "kinds binary, keys binary, nodes binary"), n_keys)
 
 
 def node_sets(chunks: DataFrame) -> DataFrame:
@@ -316,7 +320,37 @@ def node_sets(chunks: DataFrame) -> DataFrame:
                                               pa.array([s.tobytes() for _, s in rows], pa.binary())],
                                              names=["node", "shingles"])
 
-    return map_arrow_lean(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
+    return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, "node bigint, shingles binary")
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of ``PARITIES`` hash ranges whether the set has an odd number of shingles there, as 64-bit numbers."""
+    odd = np.bincount((s % U(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
+def node_parities(chunks: DataFrame) -> DataFrame:
+    """``node, n, p0, p1, ...``: size and parities of each node's set."""
+    def run(batches):
+        for chunk in rows_of(batches, ["nodes", "sizes", "shingles"]):
+            rows = unpack(chunk)
+            bits = np.array([parities(s) for _, s in rows], np.int64).reshape(-1, len(LONGS))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
+                 *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(len(LONGS)))], names=["node", "n", *LONGS])
+
+    return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, ", ".join(f"{c} bigint" for c in ("node", "n", *LONGS)))
+
+
+def not_refuted(pairs: DataFrame, told: DataFrame, n_nodes: int) -> DataFrame:
+    """Of ``(a, b)`` those that can be linked by their parities; none that is linked is lost."""
+    told = small(told, n_nodes, 16 + PARITIES // 8)
+    for side in ("a", "b"):
+        named = told.select(*(F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in told.columns))
+        pairs = pairs.join(named, side)
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in LONGS[1:]),
+                 F.bit_count(F.col("p0_a").bitwiseXOR(F.col("p0_b"))))
+    return pairs.filter(7 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b")
 
 
 def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> DataFrame:
@@ -352,8 +386,10 @@ def linked_documents(spark: SparkSession, docs: DataFrame, tag: str | None) -> D
     posts = postings(spark, chunks, stats["keys"] or 0, stats["largest"] or 1)
     posts = stage(spark, posts.join(small(nodes.select("node", F.col("n").alias("mark")), stats["nodes"], 32), "node"),
                   "shingle-postings")
+    told = stage(spark, node_parities(chunks), "shingle-parities")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        pairs = stage(spark, not_refuted(pairs, told, stats["nodes"]), "shingle-near")
         sets = node_sets(chunks)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a") \
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
@@ -367,12 +403,13 @@ def linked_documents(spark: SparkSession, docs: DataFrame, tag: str | None) -> D
                     ok.append(linked_sizes(int((both[1:] == both[:-1]).sum()), len(a), len(b)))
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return map_arrow_lean(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
+        return map_arrow(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
     with small_batches(spark, PAIR_ROWS):
         found = linked_groups(spark, *(posts.filter(f"kind = {k}").select("key", "node", "mark") for k in (0, 2)),
                               verify, "shingle", posts.filter("kind = 1").select("key", "node", "mark"),
-                              lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y))
+                              lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y), posts)
+    drop(chunks, told)
     named = classes.join(found, F.col("of.row") == found.node, "left").withColumn(
         "component", F.coalesce("component", "of.row"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))

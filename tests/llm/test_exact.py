@@ -205,6 +205,45 @@ def test_word_distance_within_its_band():
             assert got == row[-1] if row[-1] <= most else got > most
 
 
+def test_similarity_of_many_pairs_at_once():
+    """The side-by-side check of pairs, on short and long ranges, few and many different words, against the plain table."""
+    rng = random.Random(4)
+    pairs = []
+    for _ in range(1500):
+        words = rng.choice([2, 8, 1000])
+        a = [rng.randrange(words) for _ in range(rng.choice([1, 4, 9, 30, 63, 64, 65, 90]))]
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 3 + 3)):
+            p, kind = rng.randrange(len(b) + 1), rng.randrange(3)
+            b[p:p + (kind != 0)] = [] if kind == 1 else [rng.randrange(words)]
+        pairs.append((a, b))
+    pairs += [([], []), ([], [1]), ([1], [])]
+    flat = [(np.array(sum((p[k] for p in pairs), []), np.uint64), np.cumsum([0] + [len(p[k]) for p in pairs])) for k in (0, 1)]
+    got = L.within(*flat[0], *flat[1])
+    for (a, b), ok in zip(pairs, got):
+        row = list(range(len(b) + 1))
+        for x, u in enumerate(a, 1):
+            new = [x]
+            for y, z in enumerate(b, 1):
+                new.append(min(row[y] + 1, new[-1] + 1, row[y - 1] + (u != z)))
+            row = new
+        assert ok == (row[-1] <= int((1 - L.SIMILARITY) * max(len(a), len(b)))), (a, b)
+
+
+def test_parities_refute_no_link():
+    from pathlattice.llm import ngram_join as J
+
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 40, 400, 3000):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 63, n // 10 + 1, dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            differ = int(np.bitwise_count(J.parities(a).view(np.uint64) ^ J.parities(b).view(np.uint64)).sum())
+            assert differ <= len(a) + len(b) - 2 * common
+            assert 7 * differ <= len(a) + len(b) or not J.linked_sizes(common, len(a), len(b))
+
+
 def encoder():
     from tokenizers import Tokenizer
 
