@@ -20,14 +20,17 @@ from pathlattice.llm.common import components, drop, small, stage
 
 def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None,
                   verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None,
-                  close: Callable[[Column, Column], Column] | None = None, spent: DataFrame | None = None) -> DataFrame:
+                  close: Callable[[Column, Column], Column] | None = None, spent: DataFrame | None = None,
+                  told: DataFrame | None = None, may_link: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``node, component`` of all nodes with a link; ``component`` is the smallest node of the group.
 
     ``index (key, node)``: the postings. ``probe``: the ``(key, node)`` requests of all nodes; whichever end of a link
     asks, it must have a request for a key under which the other end stands. Without it, the postings are the requests.
     ``wider``: more postings that only answer requests. ``close``: a cheap necessary condition on the ``mark`` column that the
     postings then carry; pairs that fail it are never sent on. ``verify``: the linked pairs among ``(a, b)``.
-    ``spent``: the staged table behind the postings, if it may be deleted when they have been read for the last time."""
+    ``spent``: the staged table behind the postings, if it may be deleted when they have been read for the last time.
+    ``told (node, told)`` and ``may_link``: a stronger necessary condition, on a wider column that only joins the rows of lists that the
+    first step left apart; refuted pairs make no rows."""
     if close is None:
         index = index.withColumn("mark", F.lit(None).cast("bigint"))
     near = close or (lambda x, y: F.lit(True))
@@ -73,10 +76,18 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     asked = placed if probe is None else place(marked(probe))
     asking = asked.join(tops, "key").filter("place < top").select("key", F.col("node").alias("x"), F.col("place").alias("own"),
                                                                   F.col("mark").alias("own_mark"))
-    pairs = asking.join(placed, "key").filter((F.col("own") < F.col("place")) & near(F.col("own_mark"), F.col("mark"))).select(
+    facing, passes = placed, near(F.col("own_mark"), F.col("mark"))
+    if told is not None:
+        asking = stage(spark, asking, f"{name}-asking")
+        facing = placed.join(asking.select("key").distinct(), "key", "left_semi").join(told, "node")
+        passes = passes & may_link(F.col("own_told"), F.col("told"))
+        asked_with = asking.join(told.select(F.col("node").alias("x"), F.col("told").alias("own_told")), "x")
+    else:
+        asked_with = asking
+    pairs = asked_with.join(facing, "key").filter((F.col("own") < F.col("place")) & passes).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     rest = stage(spark, pairs.join(star, ["a", "b"], "left_anti"), f"{name}-rest")
-    drop(star, placed, found, *([runs] if probe is None else []))
+    drop(star, placed, found, *([runs] if probe is None else []), *([asking] if told is not None else []))
     if spent is not None and probe is not None:
         drop(spent)
     more = stage(spark, verify(rest).select("a", "b"), f"{name}-edges")

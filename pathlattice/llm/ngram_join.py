@@ -15,8 +15,8 @@ documents link at Jaccard similarity >= 0.75, which is a symmetric difference of
    bounds its list, so the H + 1 cheapest units are taken, and those no other document can answer are not sent at all.
 4. Lists go through ``links``: leader tests first, then all that is left apart. Every set has ``PARITIES`` bits, each telling whether an
    odd number of its shingles falls into a hash range; two sets differ in at least as many shingles as in bits, which refutes most pairs of
-   groups that share segments without being linked: a quarter of the bits inside the join of the lists, so that refuted pairs make no
-   rows, all bits before any set is sent. What is left is verified exactly on the full sets.
+   groups that share segments without being linked, before any set is sent and, in the second step, inside the join of the lists, so that
+   refuted pairs make no rows. What is left is verified exactly on the full sets.
 
 Result: ``doc_id, n_shingles, component_id`` for every row; ``component_id`` is the smallest id of the group (by links), itself included.
 
@@ -47,7 +47,6 @@ PAIR_ROWS = 500  # rows of two sets each in one Arrow batch
 DELETE_BELOW = 48
 PARITIES = 1024  # a multiple of 64
 LONGS = [f"p{i}" for i in range(PARITIES // 64)]
-MARK_LONGS = 4  # of the parities folded into the postings
 
 
 def linked_sizes(common: int, a: int, b: int) -> bool:
@@ -344,32 +343,17 @@ def node_parities(chunks: DataFrame) -> DataFrame:
     return map_arrow(chunks.select("nodes", "sizes", "shingles"), run, ", ".join(f"{c} bigint" for c in ("node", "n", *LONGS)))
 
 
-def marks(told: DataFrame) -> DataFrame:
-    """``node, mark``: size, and the parities of wider hash ranges (of ranges put together they add up)."""
-    folded = []
-    for k in range(MARK_LONGS):
-        bits = F.col(LONGS[k])
-        for c in LONGS[k + MARK_LONGS::MARK_LONGS]:
-            bits = bits.bitwiseXOR(F.col(c))
-        folded.append(bits.alias(f"q{k}"))
-    return told.select("node", F.struct("n", *folded).alias("mark"))
-
-
 def may_link(a, b):
-    """Whether sets of these two mark columns can be linked."""
-    differ = sum((F.bit_count(a[f"q{k}"].bitwiseXOR(b[f"q{k}"])) for k in range(MARK_LONGS)), F.lit(0))
-    return (100 * F.least(a["n"], b["n"]) >= 75 * F.greatest(a["n"], b["n"])) & (7 * differ <= a["n"] + b["n"])
+    """Whether sets of these two columns (structs of ``n, p0, p1, ...``) can be linked; no linked pair is refuted."""
+    differ = sum((F.bit_count(a[c].bitwiseXOR(b[c])) for c in LONGS), F.lit(0))
+    return 7 * differ <= a["n"] + b["n"]
 
 
-def not_refuted(pairs: DataFrame, told: DataFrame, n_nodes: int) -> DataFrame:
-    """Of ``(a, b)`` those that can be linked by their parities; none that is linked is lost."""
-    told = small(told, n_nodes, 16 + PARITIES // 8)
+def not_refuted(pairs: DataFrame, told: DataFrame) -> DataFrame:
+    """Of ``(a, b)`` those that ``may_link``."""
     for side in ("a", "b"):
-        named = told.select(*(F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in told.columns))
-        pairs = pairs.join(named, side)
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in LONGS[1:]),
-                 F.bit_count(F.col("p0_a").bitwiseXOR(F.col("p0_b"))))
-    return pairs.filter(7 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b")
+        pairs = pairs.join(told.select(F.col("node").alias(side), F.col("told").alias(f"told_{side}")), side)
+    return pairs.filter(may_link(F.col("told_a"), F.col("told_b"))).select("a", "b")
 
 
 def groups(spark: SparkSession, docs: DataFrame, tag: str | None = None) -> DataFrame:
@@ -403,11 +387,13 @@ def linked_documents(spark: SparkSession, docs: DataFrame, tag: str | None) -> D
     stats = nodes.agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("keys"), F.max("n").alias("largest")).first()
     chunks = stage(spark, chunked_sets(spark, docs, nodes, stats["nodes"]), "shingle-sets")
     posts = postings(spark, chunks, stats["keys"] or 0, stats["largest"] or 1)
-    told = stage(spark, node_parities(chunks), "shingle-parities")
-    posts = stage(spark, posts.join(small(marks(told), stats["nodes"], 24 + 8 * MARK_LONGS), "node"), "shingle-postings")
+    posts = stage(spark, posts.join(small(nodes.select("node", F.col("n").alias("mark")), stats["nodes"], 32), "node"),
+                  "shingle-postings")
+    parity_rows = stage(spark, node_parities(chunks), "shingle-parities")
+    told = small(parity_rows.select("node", F.struct("n", *LONGS).alias("told")), stats["nodes"], 16 + PARITIES // 8)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stage(spark, not_refuted(pairs, told, stats["nodes"]), "shingle-near")
+        pairs = stage(spark, not_refuted(pairs, told), "shingle-near")
         sets = node_sets(chunks)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a") \
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
@@ -426,8 +412,8 @@ def linked_documents(spark: SparkSession, docs: DataFrame, tag: str | None) -> D
     with small_batches(spark, PAIR_ROWS):
         found = linked_groups(spark, *(posts.filter(f"kind = {k}").select("key", "node", "mark") for k in (0, 2)),
                               verify, "shingle", posts.filter("kind = 1").select("key", "node", "mark"),
-                              may_link, posts)
-    drop(chunks, told)
+                              lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y), posts, told, may_link)
+    drop(chunks, parity_rows)
     named = classes.join(found, F.col("of.row") == found.node, "left").withColumn(
         "component", F.coalesce("component", "of.row"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
