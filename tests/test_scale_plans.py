@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pathlattice.catalog import _message_files
 from pathlattice.functions.messages import decode_hops, is_zero_hop, parse_edges
+from pathlattice.operators import sequence
 from pathlattice.operators import updates as U
 
 LINES = ["0 7", "12 1 5 2 7 3", "3 1 3 2", "11 1 2 1 9 1"]
@@ -45,3 +46,14 @@ def test_a_large_batch_has_several_files(spark, tmp_path):
     assert len(back.inputFiles()) >= 20 and 5 <= per_batch <= 7
     assert back.count() == 1000 and back.agg(F.sum("seq")).first()[0] == 999 * 500
     assert _message_files(df, str(tmp_path / "few"), batches=4) == 1
+
+
+def test_groups_are_counted_only_in_full_buckets(spark, monkeypatch):
+    rows = [(0, i, i) for i in range(60)] + [(g, i, 100 * g + i) for g in range(1, 30) for i in range(5)] + [(None, i, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    for buckets in (1, 7, 4096):  # few buckets: full ones without a hot group
+        monkeypatch.setattr(sequence, "COUNT_BUCKETS", buckets)
+        plain, hot = sequence._split_hot(df, ["g"], 40)
+        assert {r.g for r in hot.select("g").distinct().collect()} == {0, None}
+        assert plain.count() == 29 * 5
+        assert sequence._split_hot(df, ["g"], 60)[1] is None
