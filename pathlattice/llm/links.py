@@ -18,10 +18,27 @@ from pyspark.sql import functions as F
 from pathlattice.llm.common import components, drop, small, stage
 
 
+ROUNDS = 6
+
+
+def refuted(spark: SparkSession, facing: DataFrame, more: list[str], refute: Callable[[DataFrame], DataFrame], name: str,
+            tested: DataFrame | None = None) -> DataFrame:
+    """The pairs ``node, leader`` of ``facing`` that are not refuted and not among ``tested (a, b)``, each once, with the columns ``more``."""
+    facing = stage(spark, facing.distinct(), f"{name}-facing")
+    pairs = facing.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    out = facing.join(refute(pairs), (F.least("node", "leader") == F.col("a")) & (F.greatest("node", "leader") == F.col("b"))) \
+        .select("node", "leader", *more)
+    out.spent = facing
+    return out
+
+
 def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None,
                   verify: Callable[[DataFrame], DataFrame], name: str, wider: DataFrame | None = None,
                   close: Callable[[Column, Column], Column] | None = None, spent: DataFrame | None = None,
-                  told: DataFrame | None = None, may_link: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+                  told: DataFrame | None = None, may_link: Callable[[Column, Column], Column] | None = None,
+                  refute: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``node, component`` of all nodes with a link; ``component`` is the smallest node of the group.
 
     ``index (key, node)``: the postings. ``probe``: the ``(key, node)`` requests of all nodes; whichever end of a link
@@ -30,7 +47,9 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     postings then carry; pairs that fail it are never sent on. ``verify``: the linked pairs among ``(a, b)``.
     ``spent``: the staged table behind the postings, if it may be deleted when they have been read for the last time.
     ``told (node, told)`` and ``may_link``: a stronger necessary condition, on a wider column that only joins the rows of lists that the
-    first step left apart; refuted pairs make no rows."""
+    first step left apart; refuted pairs make no rows.
+    ``refute`` (only without ``probe``): a stronger necessary condition on ``(a, b)``. With it a node is tested with the highest leader that it may
+    be linked with, and the first step is repeated, each list led by its largest component, while that finds many more links."""
     if close is None:
         index = index.withColumn("mark", F.lit(None).cast("bigint"))
     near = close or (lambda x, y: F.lit(True))
@@ -47,18 +66,26 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select(
         "key", "rank.degree", (-F.col("rank.low")).alias("leader"), F.col("rank.mark").alias("leader_mark"))
     # of the leaders of its lists a node is tested with the highest only; what that leaves apart is the second step's
-    star = runs.join(leaders, "key").filter((F.col("node") != F.col("leader")) & near(F.col("mark"), F.col("leader_mark"))) \
-        .groupBy("node").agg(F.max(F.struct("degree", (-F.col("leader")).alias("low"))).alias("best")) \
+    facing = runs.join(leaders, "key").filter((F.col("node") != F.col("leader")) & near(F.col("mark"), F.col("leader_mark")))
+    if refute is not None:
+        facing = refuted(spark, facing.select("node", "leader", "degree"), ["degree"], refute, name)
+    star = facing.groupBy("node").agg(F.max(F.struct("degree", (-F.col("leader")).alias("low"))).alias("best")) \
         .select("node", (-F.col("best.low")).alias("leader")) \
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     star = stage(spark, star, f"{name}-star")
+    if refute is not None:
+        drop(facing.spent)
     edges = stage(spark, verify(star).select("a", "b"), f"{name}-edges")
 
     if probe is not None:
         drop(runs)
-    found = components(spark, edges)
-    found = stage(spark, found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"),
-                  f"{name}-found")
+
+    def sized(links):
+        links = components(spark, links)
+        return stage(spark, links.join(links.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"),
+                     f"{name}-found")
+
+    found = sized(edges)
 
     def place(postings):
         return postings.join(found, "node", "left").select(
@@ -72,6 +99,28 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
     answering = runs.select("key", "node", "mark") if probe is None else \
         index if wider is None else index.unionByName(marked(wider))
     placed = stage(spark, place(answering), f"{name}-placed")
+    for _ in range(ROUNDS if refute is not None else 0):
+        tops = placed.groupBy("key").agg(F.max(F.struct("place", "node", "mark")).alias("top"))
+        facing = placed.join(tops, "key").filter((F.col("place") < F.col("top.place")) & near(F.col("mark"), F.col("top.mark"))) \
+            .select("node", F.col("top.node").alias("leader"), F.col("place.component").alias("own"),
+                    F.col("top.place.component").alias("other"))
+        facing = refuted(spark, facing, ["own", "other"], refute, name, star)
+        # of the pairs between two components one for each node
+        tests = facing.groupBy("node", "own", "other").agg(F.max("leader").alias("leader")) \
+            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        tests = stage(spark, tests, f"{name}-star")
+        drop(facing.spent)
+        more = stage(spark, verify(tests).select("a", "b"), f"{name}-edges")
+        known, linked = edges.count(), more.count()
+        before = star, edges, found, placed
+        star = stage(spark, star.unionByName(tests), f"{name}-star")
+        edges = stage(spark, edges.unionByName(more), f"{name}-edges")
+        drop(tests, more, *before[:2])
+        if linked <= known // 10:  # the old places only keep a few pairs more
+            break
+        found = sized(edges)
+        placed = stage(spark, place(answering), f"{name}-placed")
+        drop(*before[2:])
     tops = placed.groupBy("key").agg(F.max("place").alias("top"))
     asked = placed if probe is None else place(marked(probe))
     asking = asked.join(tops, "key").filter("place < top").select("key", F.col("node").alias("x"), F.col("place").alias("own"),
@@ -86,8 +135,13 @@ def linked_groups(spark: SparkSession, index: DataFrame, probe: DataFrame | None
         asked_with = asking
     pairs = asked_with.join(facing, "key").filter((F.col("own") < F.col("place")) & passes).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    if refute is not None:
+        facing = stage(spark, pairs, f"{name}-pairs")
+        pairs = refute(facing)
     rest = stage(spark, pairs.join(star, ["a", "b"], "left_anti"), f"{name}-rest")
     drop(star, placed, found, *([runs] if probe is None else []), *([asking] if told is not None else []))
+    if refute is not None:
+        drop(facing)
     if spent is not None and probe is not None:
         drop(spent)
     more = stage(spark, verify(rest).select("a", "b"), f"{name}-edges")

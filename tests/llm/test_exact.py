@@ -413,3 +413,78 @@ def test_decontamination_finds_planted_items(llm_spark, odd, none):
     assert clean == {d for d, _ in docs} - {d for d, _ in found}
     assert D.remove_leaks(llm_spark, odd, bench).columns == odd.columns
     assert D.find_leaks(llm_spark, none, bench).collect() == [] == D.find_leaks(llm_spark, odd, bench.limit(0)).collect()
+
+
+def test_keys_of_linked_lines_meet_and_stay_few():
+    """Lines at the limit of the similarity share a key, whatever counts as rare; frequent words are no keys of their own."""
+    rng = random.Random(6)
+    ranks = np.array([rng.choice([0, 3, 20, 5000]) for _ in range(1 << 12)] * (2 * L.RANKS >> 12), np.uint16)
+    order = L.Order(ranks)
+
+    def keys(words):
+        k, _ = L.rare_keys(np.array(words, np.uint64), np.array([0, len(words)]), order)
+        return set(k.tolist())
+
+    for _ in range(1500):
+        n = rng.randrange(5, 40)
+        a = [rng.randrange(1 << 63) for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randrange(n // 4 + 3)):
+            p = rng.randrange(len(b) + 1)
+            kind = rng.randrange(3)
+            b[p:p + (kind > 0)] = [rng.randrange(1 << 63)] * (kind < 2)
+        most = int((1 - L.SIMILARITY) * max(len(a), len(b)))
+        if len(b) >= L.MIN_WORDS and L.word_distance(np.array(a, np.uint64), np.array(b, np.uint64), most) <= most:
+            assert keys(a) & keys(b)
+    common = np.arange(1, 31, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    ranks = np.zeros(2 * L.RANKS, np.uint16)
+    ranks[(common >> L.RANK_SHIFT).astype(np.int64)] = 60000
+    k, _ = L.rare_keys(common, np.array([0, 30]), L.Order(ranks))
+    assert not {int(x) >> 28 for x in common} & set(k.tolist()) and len(k) <= 30 // 2 + 1
+
+
+def test_long_pairs_measured_side_by_side():
+    rng = random.Random(7)
+    pairs = []
+    for _ in range(300):
+        a = [rng.randrange(rng.choice([3, 1000])) for _ in range(rng.randrange(65, 160))]
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 3)):
+            p = rng.randrange(len(b) + 1)
+            kind = rng.randrange(3)
+            b[p:p + (kind > 0)] = [rng.randrange(1000)] * (kind < 2)
+        pairs.append((np.array(a, np.uint64), np.array(b, np.uint64)))
+    flat = [(np.concatenate([p[k] for p in pairs]), np.cumsum([0] + [len(p[k]) for p in pairs])) for k in (0, 1)]
+    most = np.array([max(len(a), len(b)) // 4 for a, b in pairs])
+    got = L.band_distances(*flat[0], *flat[1], most)
+    for (a, b), d, w in zip(pairs, got, most):
+        want = L.word_distance(a, b, int(w))
+        assert d == want if want <= w else d > w
+
+
+def test_line_groups_need_few_tests(llm_spark, monkeypatch):
+    """Groups whose lines share much with a longer line that they are not linked with: links are found by leaders that may be linked."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(2):
+        base = sentence(rng, 20).split()
+        rows.append(" ".join([*base, *sentence(rng, 30).split()]))
+        for _ in range(12):
+            w = list(base)
+            for p in rng.sample(range(20), 2):
+                w[p] = sentence(rng, 1)
+            rows.append(" ".join(w))
+    tested, real_within = [], L.linked_groups
+
+    def counted(spark, index, probe, verify, *a, **b):
+        def seen(pairs):
+            tested.append(pairs.count())
+            return verify(pairs)
+        return real_within(spark, index, probe, seen, *a, **b)
+
+    monkeypatch.setattr(L, "linked_groups", counted)
+    docs = llm_spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    want = lines_by_force([(i, t) for i, t in enumerate(rows)])
+    got = {r.doc_id: r.text for r in L.apply(llm_spark, docs).collect()}
+    assert got == {i: want[i, t] for i, t in enumerate(rows)}
+    assert sum(tested) <= 3 * len(rows)
